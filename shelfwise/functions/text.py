@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -30,8 +32,16 @@ def clean(c: Column) -> Column:
 
 
 def has_any(c: Column, words: list[str]) -> Column:
-    """True when any word occurs, case-insensitive; NULL text counts as False."""
-    return F.coalesce(F.lower(c).rlike(quoted(words)), F.lit(False))
+    """True when any word occurs, case-insensitive; NULL text counts as False.
+
+    Byte searches beat one alternation by several times on long texts. The one-element
+    array binds the lower-cased text, so it is built once for all words.
+    """
+
+    def found(t: Column) -> Column:
+        return reduce(or_, [t.contains(w.lower()) for w in dict.fromkeys(words)])
+
+    return F.coalesce(F.exists(F.array(F.lower(c)), found), F.lit(False))
 
 
 def first_group(c: Column, pattern: str, group: int = 1) -> Column:
