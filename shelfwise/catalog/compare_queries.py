@@ -1,0 +1,162 @@
+"""Comparison queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from shelfwise.catalog.registry import query
+from shelfwise.operators import matching
+from shelfwise.plans import compare, reskin
+from shelfwise.session import table
+from shelfwise.sources.schema import only_where_known
+
+_LATEST_SQL = """
+    WITH s AS (SELECT *, CAST(round(l_extendedprice * 100) AS BIGINT) AS base, CAST(round(l_discount * 100) AS BIGINT) AS pct FROM lineitem),
+      r AS (SELECT *, (base * (100 - pct) + 50) // 100 AS cur, row_number() OVER (
+        PARTITION BY l_suppkey, l_partkey ORDER BY l_shipdate DESC, l_orderkey DESC, l_linenumber DESC) AS rn FROM s),
+      latest AS (SELECT * FROM r WHERE rn = 1)
+"""
+
+
+@query("price_compare_by_shop", f"""{_LATEST_SQL}
+    SELECT s_suppkey::INT AS competitor_id, s_name AS name, n_name AS country, count(*) AS n_listings, min(cur) AS min_cents,
+      max(cur) AS max_cents, sum(cur)::DOUBLE / count(*) AS avg_cents,
+      (count(*) FILTER (cur < base))::DOUBLE / count(*) AS discounted_share, max(pct) AS max_discount_percent
+    FROM latest JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey GROUP BY 1, 2, 3""")
+def price_compare_by_shop(spark, d):
+    return compare.price_by_shop(reskin.latest(reskin.snapshots(spark, d)), reskin.shops(spark, d))
+
+
+@query("latest_snapshot", f"""{_LATEST_SQL}
+    SELECT l_suppkey::INT AS competitor_id, l_partkey AS product_no, l_orderkey AS run_no, cur AS current_cents,
+      strftime(l_shipdate, '%Y-%m-%d') AS scraped_on FROM latest""")
+def latest_snapshot(spark, d):
+    return reskin.latest(reskin.snapshots(spark, d)).select(
+        "competitor_id", "product_no", "run_no", "current_cents", F.date_format("scraped_at", "yyyy-MM-dd").alias("scraped_on"))
+
+
+@query("assortment", """
+    SELECT l_suppkey::INT AS competitor_id, count(*)::BIGINT AS n_listings, count(DISTINCT p_brand) AS n_brands, count(DISTINCT p_type) AS n_categories
+    FROM (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem) JOIN part ON p_partkey = l_partkey GROUP BY 1""")
+def assortment(spark, d):
+    pairs = table(spark, d, "lineitem").select(
+        F.col("l_suppkey").cast("int").alias("competitor_id"), F.col("l_partkey").alias("product_no")).distinct()
+    return compare.assortment(pairs, table(spark, d, "part"))
+
+
+def _stats_sql(group: str) -> str:
+    return f"""{_LATEST_SQL}
+    SELECT {group} AS grp, count(*)::BIGINT AS n_prices, min(cur) AS min_cents, max(cur) AS max_cents,
+      sum(cur)::DOUBLE / count(*) AS avg_cents, quantile_cont(cur, 0.5)::DOUBLE AS median_cents
+    FROM latest JOIN part ON p_partkey = l_partkey GROUP BY 1"""
+
+
+@query("price_stats_category", _stats_sql("p_type"))
+def price_stats_category(spark, d):
+    return compare.price_stats(reskin.latest(reskin.snapshots(spark, d)), table(spark, d, "part"), "p_type")
+
+
+@query("price_stats_brand", _stats_sql("p_brand"))
+def price_stats_brand(spark, d):
+    return compare.price_stats(reskin.latest(reskin.snapshots(spark, d)), table(spark, d, "part"), "p_brand")
+
+
+@query("discount_stats", f"""{_LATEST_SQL}
+    SELECT l_suppkey::INT AS competitor_id, (count(*) FILTER (cur < base))::DOUBLE / count(*) AS discounted_share,
+      (sum(pct) FILTER (cur < base))::DOUBLE / nullif(count(*) FILTER (cur < base), 0) AS mean_percent, max(pct) FILTER (cur < base) AS max_percent
+    FROM latest GROUP BY 1""")
+def discount_stats(spark, d):
+    return compare.discounts(reskin.latest(reskin.snapshots(spark, d)))
+
+
+@query("availability", f"""{_LATEST_SQL}, st AS (SELECT l_suppkey, CASE WHEN l_returnflag = 'R' THEN 0 WHEN l_linestatus = 'F' THEN 1 END AS i FROM latest)
+    SELECT l_suppkey::INT AS competitor_id, count(*) AS n_listings, count(*) - count(i) AS n_unknown,
+      sum(i)::DOUBLE / nullif(count(i), 0) AS in_stock_rate FROM st GROUP BY 1""")
+def availability(spark, d):
+    return compare.availability(reskin.latest(reskin.snapshots(spark, d)))
+
+
+def _match_listings(spark, d):
+    p = reskin.products(spark, d)
+    pairs = reskin.listings(spark, d)
+    return pairs.join(p, pairs.product_no == p.p_partkey).select(
+        "listing_key", "competitor_id", "product_no", "gtin", "canonical_name")
+
+
+_MATCH_SQL = """
+    WITH l AS (SELECT l_suppkey::INT AS competitor_id, ('0x' || substr(md5('https://shop' || l_suppkey || '.example.com/p/' || l_partkey), 1, 12))::BIGINT AS listing_key,
+        CASE WHEN p_partkey % 3 <> 0 THEN lpad((8710000000000 + p_partkey)::VARCHAR, 13, '0') END AS gtin,
+        trim(regexp_replace(lower(p_brand || ' ' || p_name || ' ' || p_type), '[^a-z0-9]+', ' ', 'g')) AS canonical_name
+      FROM (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem) JOIN part ON p_partkey = l_partkey),
+      g AS (SELECT gtin FROM l WHERE gtin IS NOT NULL GROUP BY 1 HAVING count(DISTINCT competitor_id) > 1),
+      rest AS (SELECT * FROM l WHERE gtin IS NULL OR gtin NOT IN (SELECT gtin FROM g)),
+      nm AS (SELECT canonical_name FROM rest GROUP BY 1 HAVING count(DISTINCT competitor_id) > 1)
+"""
+
+
+@query("match_products", f"""{_MATCH_SQL}
+    SELECT ('0x' || substr(md5('gtin|' || gtin), 1, 12))::BIGINT AS product_key, listing_key, competitor_id, 'gtin' AS match_method, 1.0::DOUBLE AS match_score
+    FROM l WHERE gtin IN (SELECT gtin FROM g)
+    UNION ALL
+    SELECT ('0x' || substr(md5('name|' || canonical_name), 1, 12))::BIGINT, listing_key, competitor_id, 'canonical_name', 0.7
+    FROM rest WHERE canonical_name IN (SELECT canonical_name FROM nm)""")
+def match_products(spark, d):
+    return matching.cross_shop(_match_listings(spark, d))
+
+
+@query("match_labels", f"""{_MATCH_SQL}
+    SELECT listing_key AS product_key, listing_key, CASE WHEN gtin IS NULL THEN 'canonical_name' ELSE 'gtin' END AS match_method,
+      CASE WHEN gtin IS NULL THEN 0.7 ELSE 1.0 END::DOUBLE AS match_score, 'auto' AS self_method FROM l""")
+def match_labels(spark, d):
+    rows = _match_listings(spark, d).withColumn("product_key", F.col("listing_key"))
+    own = matching.self_matches(rows).select("listing_key", F.col("match_method").alias("self_method"))
+    labelled = matching.labelled_matches(rows).withColumn("match_score", F.col("match_score").cast("double"))
+    return labelled.join(own, "listing_key")
+
+
+@query("price_gap", f"""{_LATEST_SQL}, best AS (SELECT l_partkey, l_suppkey, min(cur) AS c FROM latest GROUP BY 1, 2),
+      gap AS (SELECT o.l_suppkey, o.c - b.c AS g FROM best o JOIN best b ON b.l_partkey = o.l_partkey AND b.l_suppkey = 1 WHERE o.l_suppkey <> 1)
+    SELECT l_suppkey::INT AS competitor_id, count(*) AS n_matched, sum(g)::DOUBLE / count(*) AS avg_gap_cents, min(g) AS min_gap_cents,
+      max(g) AS max_gap_cents, count(*) FILTER (g < 0) AS n_cheaper FROM gap GROUP BY 1""")
+def price_gap(spark, d):
+    return compare.price_gap(reskin.latest(reskin.snapshots(spark, d)), base_shop=1)
+
+
+@query("review_weighted", """
+    WITH r AS (SELECT (user_id % 10)::INT AS competitor_id, CAST(round(value * 100) AS BIGINT) % 41 + 10 AS t,
+        CASE WHEN event_id % 3 = 0 THEN 10 ELSE 5 END AS scale, 1 + event_id % 7 AS n FROM events WHERE event_type = 'purchase')
+    SELECT competitor_id, sum(n)::BIGINT AS n_reviews,
+      sum((t * CASE WHEN scale = 10 THEN 2 ELSE 1 END * 5 * n // scale))::DOUBLE / (sum(n) * 10) AS rating
+    FROM r GROUP BY 1""")
+def review_weighted(spark, d):
+    n = F.col("event_id")
+    scale = F.when(n % 3 == 0, 10).otherwise(5)
+    tenths = (F.round(F.col("value") * 100).cast("bigint") % 41 + 10) * F.when(scale == 10, 2).otherwise(1)
+    rows = table(spark, d, "events").filter("event_type = 'purchase'").select(
+        (F.col("user_id") % 10).cast("int").alias("competitor_id"), tenths.alias("rating_tenths"),
+        scale.alias("rating_scale"), (1 + n % 7).alias("review_count"))
+    return compare.reviews_weighted(rows)
+
+
+@query("prices_of_shop", """
+    SELECT l_orderkey AS run_no, l_linenumber AS line_no, l_partkey AS product_no, CAST(round(l_extendedprice * 100) AS BIGINT) AS base_cents
+    FROM lineitem WHERE l_suppkey = 4""")
+def prices_of_shop(spark, d):
+    """Snapshots joined to their listing and filtered by shop; the filter reaches both scans."""
+    snaps = reskin.snapshots(spark, d)
+    pairs = only_where_known(snaps.select("competitor_id", "product_no").distinct(), "competitor_id", 4)
+    return snaps.join(pairs, ["competitor_id", "product_no"]).select("run_no", "line_no", "product_no", "base_cents")
+
+
+@query("preview_counts", """
+    SELECT o_orderkey, o_orderstatus, (SELECT count(*) FROM orders) AS n_total FROM orders ORDER BY o_orderkey LIMIT 5""")
+def preview_counts(spark, d):
+    return compare.preview(table(spark, d, "orders").select("o_orderkey", "o_orderstatus"), "o_orderkey", 5)
+
+
+@query("table_counts", """
+    SELECT 'supplier' AS table_name, count(*) AS n_rows FROM supplier UNION ALL SELECT 'part', count(*) FROM part
+    UNION ALL SELECT 'lineitem', count(*) FROM lineitem UNION ALL SELECT 'events', count(*) FROM events
+    UNION ALL SELECT 'pages', count(*) FROM pages""")
+def table_counts(spark, d):
+    return compare.table_counts({t: table(spark, d, t) for t in ("supplier", "part", "lineitem", "events", "pages")})

@@ -7,19 +7,21 @@ sizes below its threshold and otherwise a sort-merge join with adaptive skew spl
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def resolve_inner(facts: DataFrame, dim: DataFrame, key: str, id_column: str) -> DataFrame:
+def resolve_inner(facts: DataFrame, dim: DataFrame, key: Sequence[str], id_column: str) -> DataFrame:
     """Add the id; rows whose key the dimension lacks are dropped."""
-    return facts.join(dim.select(key, id_column), key, "inner")
+    return facts.join(dim.select(*key, id_column), list(key), "inner")
 
 
-def resolve_left(facts: DataFrame, dim: DataFrame, key: str, id_column: str) -> DataFrame:
+def resolve_left(facts: DataFrame, dim: DataFrame, key: Sequence[str], id_column: str) -> DataFrame:
     """Add the id, NULL when unknown; an id the row already has is kept."""
-    looked_up = dim.select(key, F.col(id_column).alias("_found"))
-    joined = facts.join(looked_up, key, "left")
+    looked_up = dim.select(*key, F.col(id_column).alias("_found"))
+    joined = facts.join(looked_up, list(key), "left")
     if id_column in facts.columns:
         joined = joined.withColumn(id_column, F.coalesce(F.col(id_column), F.col("_found")))
     else:
