@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from shelfwise.functions.text import clean, first_text
+from shelfwise.functions.text import bind, clean, first_text
 
 # Named character references decoded in visible text.
 NAMED_ENTITIES = {
@@ -40,12 +40,27 @@ def _numeric_entities(c: Column) -> Column:
     return F.when(c.contains("&#"), F.array_join(F.transform(pieces, piece), "")).otherwise(c)
 
 
+_ENTITY_LIST = " ".join(f"{k};{v}" for k, v in NAMED_ENTITIES.items() if v != " ")
+
+
+def _named_entities(c: Column) -> Column:
+    pairs = F.split(F.lit(_ENTITY_LIST), " ")
+
+    def step(acc: Column, pair: Column) -> Column:
+        name, char = F.substring_index(pair, ";", 1), F.substring_index(pair, ";", -1)
+        return F.replace(acc, F.concat(F.lit("&"), name, F.lit(";")), char)
+
+    return F.aggregate(pairs, F.replace(c, F.lit("&nbsp;"), F.lit(" ")), step)
+
+
 def unescape(c: Column) -> Column:
     """Decode character references; '&amp;' last, so that no text is decoded twice."""
-    out = _numeric_entities(c)
-    for name, char in NAMED_ENTITIES.items():
-        out = F.replace(out, F.lit(f"&{name};"), F.lit(char))
-    return F.when(c.contains("&"), F.replace(out, F.lit("&amp;"), F.lit("&"))).otherwise(c)
+
+    def decoded(t: Column) -> Column:
+        out = F.replace(_named_entities(_numeric_entities(t)), F.lit("&amp;"), F.lit("&"))
+        return F.when(t.contains("&"), out).otherwise(t)
+
+    return bind(c, decoded)
 
 
 def strip_tags(c: Column) -> Column:
@@ -75,9 +90,9 @@ def body_text(html: Column) -> Column:
 
 def attribute(tag: Column, name: str) -> Column:
     """Value of an attribute within one tag's text, NULL when absent."""
-    pattern = rf"""(?is)[\s"']{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
-    value = F.concat(*[F.regexp_extract(tag, pattern, g) for g in (1, 2, 3)])
-    return F.when(tag.rlike(pattern), unescape(value))
+    pattern = rf"""(?is)[\s"']{name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+    quoted_value = F.nullif(F.regexp_extract(tag, pattern, 1), F.lit(""))
+    return unescape(F.regexp_replace(quoted_value, r"""^["']|["']$""", ""))
 
 
 def tags(html: Column, names: str) -> Column:
@@ -90,29 +105,40 @@ def first_attribute(html: Column, tag: str, wanted: str, name: str) -> Column:
     return attribute(F.get(hits, F.lit(0)), name)
 
 
-def meta(html: Column, *names: str) -> Column:
+def metas(html: Column) -> Column:
+    """array<struct(property, name, content)> of the meta tags; stage it, then ask `meta`."""
+    return F.transform(tags(html, "meta"), lambda t: F.struct(
+        attribute(t, "property").alias("property"), attribute(t, "name").alias("name"),
+        attribute(t, "itemprop").alias("itemprop"), clean(attribute(t, "content")).alias("content")))
+
+
+def meta(metas_: Column, *names: str) -> Column:
     """Content of the first named meta tag; property before name, names in order."""
-    metas = tags(html, "meta")
     found = []
     for n in names:
         for attr in ("property", "name"):
-            content = F.transform(
-                F.filter(metas, lambda t: attribute(t, attr) == n), lambda t: clean(attribute(t, "content")))
-            found.append(F.get(F.filter(content, lambda v: v.isNotNull()), F.lit(0)))
+            hits = F.filter(metas_, lambda m: (m[attr] == n) & m["content"].isNotNull())
+            found.append(F.get(hits, F.lit(0))["content"])
     return F.coalesce(*found)
 
 
+def item_meta(metas_: Column, itemprop: str) -> Column:
+    return F.get(F.filter(metas_, lambda m: m["itemprop"] == itemprop), F.lit(0))["content"]
+
+
 def leading_text(html: Column, tag: str) -> Column:
     """Text directly after the first opening tag."""
     return clean(unescape(F.regexp_extract(html, rf"(?is)<{tag}\b[^>]*>([^<]*)", 1)))
 
 
-def title(html: Column, shop: str) -> Column:
+def title(html: Column, metas_: Column, shop: str) -> Column:
     """Heading, social title, document title: first one with text."""
     h1, doc = leading_text(html, "h1"), leading_text(html, "title")
-    if shop in ("bol", "maxiaxi"):
-        return F.coalesce(h1, doc) if shop == "maxiaxi" else h1
-    return F.coalesce(h1, meta(html, "og:title"), doc)
+    if shop == "bol":
+        return h1
+    if shop == "maxiaxi":
+        return F.coalesce(h1, doc)
+    return F.coalesce(h1, meta(metas_, "og:title"), doc)
 
 
 # ---- links ---------------------------------------------------------------

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from shelfwise import lexicon
-from shelfwise.functions.text import blank_to_null, clean, first_group
+from shelfwise.functions.text import bind, blank_to_null, clean, first_group
 
 MONEY = "decimal(12,2)"
 
@@ -25,19 +25,17 @@ def _comma_decimal(marks: Column) -> Column:
 
 def parse_eu(c: Column) -> Column:
     """A comma is the decimal mark; a lone dot is one unless it groups thousands."""
-    s = _digits_and_marks(c)
-    return (
+    return bind(_digits_and_marks(c), lambda s: (
         F.when(s.contains(","), _comma_decimal(s))
         .when(s.rlike(r"^\d{1,3}(?:\.\d{3})+$"), F.replace(s, F.lit("."), F.lit("")))
-        .otherwise(s)
-        .try_cast("double")
-    )
+        .otherwise(s))).try_cast("double")
 
 
 def parse_plain(c: Column) -> Column:
     """A comma is the decimal mark; without one the dot is."""
-    s = _digits_and_marks(c)
-    return F.when(s.contains(","), _comma_decimal(s)).otherwise(s).try_cast("double")
+    return bind(
+        _digits_and_marks(c),
+        lambda s: F.when(s.contains(","), _comma_decimal(s)).otherwise(s)).try_cast("double")
 
 
 def parse_support(c: Column) -> Column:
@@ -54,22 +52,27 @@ def parse_first(c: Column) -> Column:
     """First amount in the text; handles grouped thousands, dash cents, one-digit cents."""
     s = clean(F.translate(c.cast("string"), "\u00a0\u202f€", "  "))
     s = F.regexp_replace(s, r"(\d)\s*[.,]\s*[-–—]", "$1")
-    whole = F.regexp_replace(first_group(s, _FIRST_AMOUNT, 1), "[. ]", "")
-    cents = F.rpad(F.regexp_extract(s, _FIRST_AMOUNT, 2), 2, "0")
-    return F.concat(whole, F.lit("."), cents).try_cast("double")
+
+    def amount(t: Column) -> Column:
+        whole = F.regexp_replace(F.regexp_extract(t, _FIRST_AMOUNT, 1), "[. ]", "")
+        return F.concat(whole, F.lit("."), F.rpad(F.regexp_extract(t, _FIRST_AMOUNT, 2), 2, "0"))
+
+    # Without a match the text is '.00', which is no amount.
+    return F.nullif(bind(s, amount), F.lit(".00")).try_cast("double")
 
 
 def parse_number(c: Column) -> Column:
     """A JSON number or numeric text with an optional decimal comma."""
-    s = F.trim(F.replace(c.cast("string"), F.lit(","), F.lit(".")))
-    return F.when(s.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"), s).try_cast("double")
+    return bind(
+        F.trim(F.replace(c.cast("string"), F.lit(","), F.lit("."))),
+        lambda s: F.when(s.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"), s)).try_cast("double")
 
 
 PARSERS = {"bax": parse_eu, "bol": parse_first, "thomann": parse_plain}
 
 
 def sane(p: Column) -> Column:
-    return F.when((p >= 1) & (p <= 50000), p)
+    return bind(p, lambda x: F.when((x >= 1) & (x <= 50000), x))
 
 
 def looks_like_price(c: Column) -> Column:
@@ -89,20 +92,22 @@ def amounts_in_text(c: Column, any_number: bool) -> Column:
     if not any_number:
         return euro
     bare = F.regexp_extract_all(c, F.lit(lexicon.PLAIN_AMOUNT), F.lit(0))
-    return F.when(F.size(euro) > 0, euro).otherwise(bare)
+    return bind(euro, lambda e: F.when(F.size(e) > 0, e).otherwise(bare))
 
 
 def buy_block_prices(text: Column) -> Column:
     """struct(current, base): one amount is current; of several, lowest and highest."""
     prices = F.filter(
         F.transform(amounts_in_text(text, any_number=True), parse_eu), lambda p: p.isNotNull())
-    above = F.filter(prices, lambda p: p > 0)
-    first = F.get(prices, F.lit(0))
-    many = F.size(prices) >= 2
-    return F.struct(
-        F.when(many, F.coalesce(F.array_min(above), first)).otherwise(first).alias("current"),
-        F.when(many, F.coalesce(F.array_max(above), first)).alias("base"),
-    )
+
+    def low_and_high(found: Column) -> Column:
+        above = F.filter(found, lambda p: p > 0)
+        first, many = F.get(found, F.lit(0)), F.size(found) >= 2
+        return F.struct(
+            F.when(many, F.coalesce(F.array_min(above), first)).otherwise(first).alias("current"),
+            F.when(many, F.coalesce(F.array_max(above), first)).alias("base"))
+
+    return bind(prices, low_and_high)
 
 
 def lowest_sane_price(text: Column) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from functools import reduce
 from operator import or_
 
@@ -22,6 +23,14 @@ def quoted(words: list[str]) -> str:
     return "|".join(_JAVA_SPECIAL.sub(r"\\\1", w.lower()) for w in words)
 
 
+def bind(c: Column, f: Callable[[Column], Column]) -> Column:
+    """`f(c)` with `c` computed once, however often `f` uses it: a one-element transform.
+
+    Keeps plans small where a column function reads its argument several times.
+    """
+    return F.get(F.transform(F.array(c), f), F.lit(0))
+
+
 def blank_to_null(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 
@@ -119,7 +128,10 @@ def canonical_pair(brand: Column, model: Column, name: Column) -> Column:
 
 def model_name(c: Column, shop: str) -> Column:
     """Model text per shop; texts known to be no model become NULL."""
-    m = clean(c)
+    return bind(clean(c), lambda m: _model(m, shop))
+
+
+def _model(m: Column, shop: str) -> Column:
     n = F.length(m)
     if shop == "bax":
         bad = F.lower(m).isin(lexicon.BAD_MODELS["bax"]) | ((n > 30) & m.contains(" ")) | (n < 2)

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from shelfwise import lexicon
-from shelfwise.functions.text import blank_to_null, first_group, has_any, quoted, slug_label
+from shelfwise.functions.text import bind, blank_to_null, first_group, has_any, quoted, slug_label
 
 _SPLIT = r"^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
 
@@ -72,6 +72,13 @@ def encode_pairs(pairs: Column) -> Column:
         F.transform(pairs, lambda p: F.concat(_encoded(p["k"]), F.lit("="), _encoded(p["v"]))), "&")
 
 
+def parts(u: Column) -> Column:
+    """struct(scheme, host, path, query, fragment), to be bound where several are read."""
+    return F.struct(
+        scheme(u).alias("scheme"), host(u).alias("host"), path(u).alias("path"),
+        query(u).alias("query"), fragment(u).alias("fragment"))
+
+
 def strip_tracking(u: Column, shop: str) -> Column:
     """Drop the shop's tracking parameters.
 
@@ -79,59 +86,70 @@ def strip_tracking(u: Column, shop: str) -> Column:
     keeps blank values, drops fragment and trailing slash; the others keep the
     fragment. Urls without a query keep their text and skip the query work.
     """
+    return bind(u, lambda x: bind(parts(x), lambda p: _without_tracking(p, shop)))
+
+
+def _without_tracking(p: Column, shop: str) -> Column:
     drop = lexicon.TRACKING_KEYS[shop]
-    pairs = query_pairs(query(u))
+    pairs = query_pairs(p["query"])
     if shop == "thomann":
         prefix = lexicon.TRACKING_PREFIX[shop]
         kept = F.filter(
             pairs,
-            lambda p: ~F.lower(p["k"]).isin(drop) & ~F.startswith(F.lower(p["k"]), F.lit(prefix)))
-        where = F.regexp_replace(F.regexp_replace(path(u), r";[^/]*$", ""), r"/+$", "")
+            lambda q: ~F.lower(q["k"]).isin(drop) & ~F.startswith(F.lower(q["k"]), F.lit(prefix)))
+        where = F.regexp_replace(p["path"], r"(?:;[^/]*)?/*$", "")
     else:
-        with_value = F.filter(pairs, lambda p: p["v"] != "")
         key = (lambda k: k) if shop == "bol" else F.lower
-        kept = grouped_pairs(F.filter(with_value, lambda p: ~key(p["k"]).isin(drop)))
-        where = path(u)
-    new_query = F.when(query(u) != "", encode_pairs(kept)).otherwise(F.lit(""))
-    frag = fragment(u) if shop in ("bax", "maxiaxi") else F.lit("")
-    return build(scheme(u), host(u), where, new_query, frag)
+        kept = bind(
+            F.filter(pairs, lambda q: (q["v"] != "") & ~key(q["k"]).isin(drop)), grouped_pairs)
+        where = p["path"]
+    new_query = F.when(p["query"] != "", encode_pairs(kept)).otherwise(F.lit(""))
+    frag = p["fragment"] if shop in ("bax", "maxiaxi") else F.lit("")
+    return bind(new_query, lambda q: build(p["scheme"], p["host"], where, q, frag))
 
 
 # ---- resolving links -----------------------------------------------------
 
 def resolve(base: Column, href: Column) -> Column:
     """Absolute form of a link found on the page `base`."""
-    h = F.trim(href)
-    root = build(scheme(base), host(base), F.lit(""), F.lit(""), F.lit(""))
-    folder = F.regexp_replace(path(base), r"[^/]*$", "")
+    pair = F.struct(parts(base).alias("b"), F.trim(href).alias("h"), base.alias("page"))
+    return bind(pair, lambda x: _resolved(x["page"], x["b"], x["h"]))
+
+
+def _resolved(page: Column, b: Column, h: Column) -> Column:
+    none = F.lit("")
+    root = build(b["scheme"], b["host"], none, none, none)
+    folder = F.regexp_replace(b["path"], r"[^/]*$", "")
     joined = F.when(F.startswith(h, F.lit("/")), h).otherwise(
         F.concat(F.when(folder == "", F.lit("/")).otherwise(folder), h))
     return (
-        F.when(h == "", base)
+        F.when(h == "", page)
         .when(h.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), h)
-        .when(F.startswith(h, F.lit("//")), F.concat(scheme(base), F.lit(":"), h))
-        .when(F.startswith(h, F.lit("?")), F.concat(root, path(base), h))
-        .when(
-            F.startswith(h, F.lit("#")),
-            F.concat(build(scheme(base), host(base), path(base), query(base), F.lit("")), h))
+        .when(F.startswith(h, F.lit("//")), F.concat(b["scheme"], F.lit(":"), h))
+        .when(F.startswith(h, F.lit("?")), F.concat(root, b["path"], h))
+        .when(F.startswith(h, F.lit("#")), F.concat(F.regexp_replace(page, "#.*$", ""), h))
         .otherwise(F.concat(root, without_dot_segments(joined)))
     )
 
 
 def without_dot_segments(p: Column) -> Column:
     """Fold '.' and '..' segments; paths without them are left as they are."""
+    return bind(p, _folded)
+
+
+def _folded(p: Column) -> Column:
     tail = F.regexp_extract(p, r"([?#].*)$", 1)
     body = F.regexp_replace(p, r"[?#].*$", "")
-    segs = F.split(body, "/")
 
     def step(acc: Column, s: Column) -> Column:
         parent = F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(1)))
         return F.when(s == ".", acc).when(s == "..", parent).otherwise(F.concat(acc, F.array(s)))
 
-    folded = F.aggregate(segs, F.array().cast("array<string>"), step)
-    ends_open = body.rlike(r"/\.{1,2}$")
-    text = F.concat(F.array_join(folded, "/"), F.when(ends_open, F.lit("/")).otherwise(F.lit("")))
-    return F.when(body.rlike(r"(?:^|/)\.{1,2}(?:/|$)"), F.concat(text, tail)).otherwise(p)
+    folded = F.aggregate(F.split(body, "/"), F.array().cast("array<string>"), step)
+    open_end = F.when(body.rlike(r"/\.{1,2}$"), F.lit("/")).otherwise(F.lit(""))
+    return F.when(
+        body.rlike(r"(?:^|/)\.{1,2}(?:/|$)"), F.concat(F.array_join(folded, "/"), open_end, tail)
+    ).otherwise(p)
 
 
 def https_if_scheme_less(u: Column) -> Column:
@@ -241,19 +259,26 @@ def category_priority(u: Column) -> Column:
 
 def breadcrumbs(u: Column) -> Column:
     """array<struct(name, url)> of the folders above the page itself."""
-    segs = segments(u)
+    return bind(u, _breadcrumbs)
+
+
+def _breadcrumbs(u: Column) -> Column:
+    return bind(segments(u), lambda segs: _folders_above(u, segs))
+
+
+def _folders_above(u: Column, segs: Column) -> Column:
     is_leaf = F.endswith(F.element_at(segs, -1), F.lit(".html"))
     folders = F.when(is_leaf, F.slice(segs, 1, F.size(segs) - 1)).otherwise(segs)
     above = F.when(F.size(folders) > 1, F.slice(folders, 1, F.size(folders) - 1)).otherwise(
         F.array().cast("array<string>"))
     root = build(scheme(u), host(u), F.lit(""), F.lit(""), F.lit(""))
-    crumbs = F.transform(
-        above,
-        lambda s, i: F.struct(
+
+    def with_links(above_: Column) -> Column:
+        return F.transform(above_, lambda s, i: F.struct(
             slug_label(s).alias("name"),
-            F.concat(root, F.lit("/"), F.array_join(F.slice(above, 1, i + 1), "/")).alias("url"),
-        ),
-    )
+            F.concat(root, F.lit("/"), F.array_join(F.slice(above_, 1, i + 1), "/")).alias("url")))
+
+    crumbs = bind(above, with_links)
     named = F.filter(crumbs, lambda c: c["name"].isNotNull())
     return F.when(F.size(segs) > 0, named).otherwise(
         F.array().cast("array<struct<name:string,url:string>>"))

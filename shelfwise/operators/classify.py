@@ -74,10 +74,10 @@ _TILE = (
 def page_signals(pages: DataFrame) -> DataFrame:
     """pages(url, html) with the evidence columns and the decision product / listing / other."""
     h = F.col("html")
-    staged = pages.withColumn("_nodes", L.nodes(L.blocks(h))).withColumn(
+    staged = pages.withColumns({"_nodes": L.nodes(L.blocks(h)), "_metas": H.metas(h)}).withColumn(
         "_products", L.of_type(F.col("_nodes"), "Product"))
     product = L.first_node(F.col("_products"))
-    og_type = F.lower(F.coalesce(H.meta(h, "og:type"), F.lit("")))
+    og_type = F.lower(F.coalesce(H.meta(F.col("_metas"), "og:type"), F.lit("")))
     signals = staged.select(
         *pages.columns,
         F.size("_products").alias("n_products"),

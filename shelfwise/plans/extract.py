@@ -23,7 +23,7 @@ def _staged(pages: DataFrame, shop: str, parse_blocks: bool = True) -> DataFrame
     staged = pages.withColumn("source_url", url.strip_tracking(F.col("url"), shop))
     if parse_blocks:
         staged = staged.withColumn("_m", B.marks(h))
-    staged = staged.withColumn("_nodes", L.nodes(L.blocks(h)))
+    staged = staged.withColumns({"_nodes": L.nodes(L.blocks(h)), "_metas": H.metas(h)})
     return staged.withColumn("_p", L.first_product(F.col("_nodes"), shop))
 
 
@@ -67,7 +67,7 @@ def _with_discount(df: DataFrame, strict: bool, stated: Column | None = None) ->
 
 
 def bax(pages: DataFrame) -> DataFrame:
-    h, m = F.col("html"), F.col("_m")
+    h, m, metas = F.col("html"), F.col("_m"), F.col("_metas")
     s = _staged(pages, "bax").withColumns({
         "page_text": H.body_text(h),
         "_specs": B.specs(m),
@@ -84,12 +84,12 @@ def bax(pages: DataFrame) -> DataFrame:
         "_crumbs": _first_filled(
             not_self(ld_crumbs), not_self(_resolved(B.crumbs(m, "crumb"), "bax")),
             url.breadcrumbs(F.col("source_url"))),
-        "title": F.coalesce(F.col("ld_title"), text.without_shop_suffix(H.title(h, "bax"))),
+        "title": F.coalesce(F.col("ld_title"), text.without_shop_suffix(H.title(h, metas, "bax"))),
         "brand": F.coalesce(
-            F.col("ld_brand"), B.own_text(m, "brand"), H.meta(h, "product:brand"),
+            F.col("ld_brand"), B.own_text(m, "brand"), H.meta(metas, "product:brand"),
             B.spec_value(spec, "merk", "brand", "fabrikant")),
-        "image_url": F.coalesce(F.col("ld_image_url"), H.meta(h, "og:image")),
-        "description": F.coalesce(F.col("ld_description"), H.meta(h, "description", "og:description")),
+        "image_url": F.coalesce(F.col("ld_image_url"), H.meta(metas, "og:image")),
+        "description": F.coalesce(F.col("ld_description"), H.meta(metas, "description", "og:description")),
         "sku": F.coalesce(F.col("ld_sku"), B.spec_value(spec, "sku")),
         "mpn": F.coalesce(F.col("ld_mpn"), B.spec_value(spec, "mpn", "part number", "onderdeelnummer"),
                           text.part_number_in_text(body)),
@@ -100,7 +100,7 @@ def bax(pages: DataFrame) -> DataFrame:
         "currency": F.coalesce(F.col("ld_currency"), F.lit("EUR")),
         "_box": price.buy_block_prices(F.col("buy_text")),
         "_in_box": price.first_price_text(B.texts_within(m, "price", "buy")),
-        "_meta_price": H.meta(h, "product:price:amount", "og:price:amount"),
+        "_meta_price": H.meta(metas, "product:price:amount", "og:price:amount"),
         "_item_attr": text.clean(B.shown_attribute(m, "item_price")),
         "_item_text": B.own_text(m, "item_price"),
     })
@@ -138,7 +138,7 @@ def bax(pages: DataFrame) -> DataFrame:
 
 
 def thomann(pages: DataFrame) -> DataFrame:
-    h, m = F.col("html"), F.col("_m")
+    h, m, metas = F.col("html"), F.col("_m"), F.col("_metas")
     s = _staged(pages, "thomann").withColumns({
         "_price_box": B.all_text(m, "price_box"),
         "_wide_box": B.all_text(m, "price_or_stock_box"),
@@ -151,23 +151,23 @@ def thomann(pages: DataFrame) -> DataFrame:
     })
     categories = lambda a: F.filter(a, lambda c: url.is_category(c["url"]))
     ld_price = price.sane(price.parse_plain(F.col("_ld_price")))
-    metas = F.array_compact(F.array(
-        H.first_attribute(h, "meta", r"""itemprop=["']price["']""", "content"),
-        H.meta(h, "product:price:amount"), H.meta(h, "og:price:amount"),
+    candidates = F.array_compact(F.array(
+        H.item_meta(metas, "price"),
+        H.meta(metas, "product:price:amount"), H.meta(metas, "og:price:amount"),
         B.shown_attribute(m, "item_price"), B.own_text(m, "item_price")))
     s = s.withColumns({
         "listing_number": keys.article_number(h),
         "_crumbs": _first_filled(
             categories(F.col("_ld_crumbs")), _resolved(B.crumbs(m, "crumb_item"), "thomann"),
             categories(_resolved(B.crumbs(m, "crumb"), "thomann"))),
-        "title": F.coalesce(F.col("ld_title"), H.title(h, "thomann")),
+        "title": F.coalesce(F.col("ld_title"), H.title(h, metas, "thomann")),
         "brand": F.col("ld_brand"),
-        "image_url": F.coalesce(F.col("ld_image_url"), H.meta(h, "og:image")),
-        "description": F.coalesce(F.col("ld_description"), H.meta(h, "description", "og:description")),
+        "image_url": F.coalesce(F.col("ld_image_url"), H.meta(metas, "og:image")),
+        "description": F.coalesce(F.col("ld_description"), H.meta(metas, "description", "og:description")),
         "sku": F.col("ld_sku"), "mpn": F.col("ld_mpn"), "gtin": F.col("ld_gtin"),
         "model": text.model_name(F.col("ld_model"), "thomann"),
         "currency": F.coalesce(F.col("ld_currency"), F.lit("EUR")),
-        "_meta": price.first_sane(metas),
+        "_meta": price.first_sane(candidates),
         "_ref": price.reference_price(F.col("_wide_box")),
     })
     s = s.withColumns({
@@ -191,7 +191,7 @@ def thomann(pages: DataFrame) -> DataFrame:
 
 
 def bol(pages: DataFrame) -> DataFrame:
-    h, m = F.col("html"), F.col("_m")
+    h, m, metas = F.col("html"), F.col("_m"), F.col("_metas")
     s = _staged(pages, "bol").withColumns({
         "page_text": F.coalesce(classify.without_dialog(H.body_text(h)), F.lit("")),
         "_badge": F.coalesce(B.own_text(m, "stock"), B.all_text(m, "stock", 120)),
@@ -206,8 +206,8 @@ def bol(pages: DataFrame) -> DataFrame:
     s = s.filter(classify.has_allowed_crumb(F.col("_crumb_urls")) & classify.is_relevant(F.col("title"), F.col("url")))
     body = F.col("page_text")
     meta_price = F.coalesce(
-        text.clean(H.first_attribute(h, "meta", r"""itemprop=["']price["']""", "content")),
-        H.meta(h, "product:price:amount"))
+        H.item_meta(metas, "price"),
+        H.meta(metas, "product:price:amount"))
     shown = F.coalesce(
         B.own_text(m, "price_exact"),
         text.clean(F.get(F.filter(B.texts_within(m, "price", "buy_block"), lambda t: text.clean(t).isNotNull()), F.lit(0))),
@@ -253,13 +253,13 @@ def bol(pages: DataFrame) -> DataFrame:
 
 
 def maxiaxi(pages: DataFrame) -> DataFrame:
-    h, m, spec = F.col("html"), F.col("_m"), F.col("_specs")
-    s = pages.withColumn("_m", B.marks(h)).withColumns({
+    h, m, spec, metas = F.col("html"), F.col("_m"), F.col("_specs"), F.col("_metas")
+    s = pages.withColumns({"_m": B.marks(h), "_metas": H.metas(h)}).withColumns({
         "source_url": url.strip_tracking(F.col("url"), "maxiaxi"),
         "_specs": B.specs(m),
-        "title": H.title(h, "maxiaxi"),
+        "title": H.title(h, metas, "maxiaxi"),
         "image_url": text.first_text(
-            H.first_attribute(h, "img", r"fotorama__img|product-image-photo", "src"), H.meta(h, "og:image")),
+            H.first_attribute(h, "img", r"fotorama__img|product-image-photo", "src"), H.meta(metas, "og:image")),
         "description": F.substring(B.all_text(m, "description"), 1, 5000),
     })
     exact = lambda k: F.try_element_at(spec, F.lit(k))
