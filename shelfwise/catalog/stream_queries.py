@@ -1,0 +1,44 @@
+"""Streaming queries: run files loaded batch by batch end in the state of one batch load."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from shelfwise.catalog.registry import query
+from shelfwise.session import scratch_path, table
+from shelfwise.streaming import incremental
+
+FEED = (
+    T.StructType().add("user_id", "long").add("shop", "long").add("event_id", "long").add("cents", "long"))
+FILES = 12
+
+
+def _feed_dir(spark, d) -> str:
+    """The events as run files; every user comes back in many of them."""
+    path = scratch_path(spark, "runs")
+    e = table(spark, d, "events").select(
+        F.when(F.col("event_id") % 20 != 0, F.col("user_id")).alias("user_id"), (F.col("user_id") % 10).alias("shop"), "event_id",
+        F.round(F.col("value") * 100).cast("bigint").alias("cents"))
+    e.repartition(FILES, F.col("event_id") % FILES).write.json(path)
+    return path
+
+
+_SQL = """
+    WITH e AS (SELECT user_id, user_id % 10 AS shop, event_id, CAST(round(value * 100) AS BIGINT) AS cents FROM events WHERE event_id % 20 <> 0)
+"""
+
+
+@query("incremental_load", f"""{_SQL}
+    SELECT 'user' AS target, user_id AS k, min(shop) AS v FROM e GROUP BY user_id
+    UNION ALL SELECT 'fact', event_id, cents FROM e""")
+def incremental_load(spark, d):
+    users, facts = incremental.load_feed(
+        spark, _feed_dir(spark, d), FEED, "user_id", ["shop"], ["event_id", "cents"])
+    return users.select(F.lit("user").alias("target"), F.col("user_id").alias("k"), F.col("shop").alias("v")).unionByName(
+        facts.select(F.lit("fact").alias("target"), F.col("event_id").alias("k"), F.col("cents").alias("v")))
+
+
+@query("stream_first_seen", f"""{_SQL} SELECT DISTINCT user_id FROM e UNION ALL SELECT NULL""")
+def stream_first_seen(spark, d):
+    return incremental.first_seen(spark, _feed_dir(spark, d), FEED, "user_id")
