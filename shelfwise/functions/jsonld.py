@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from shelfwise import lexicon
-from shelfwise.functions.text import clean, first_nonblank
+from shelfwise.functions.text import bind, clean, first_nonblank
 
 _NO_NODES = "array<variant>"
 # Lists and @graph levels unfolded; published pages nest one or two.
@@ -42,7 +42,7 @@ def state_blocks(html: Column) -> Column:
 
 def kind(v: Column) -> Column:
     """OBJECT, ARRAY, STRING, ... of a variant; NULL for an absent one."""
-    return F.regexp_extract(F.schema_of_variant(v), "^([A-Z]+)", 1)
+    return F.substring_index(F.substring_index(F.schema_of_variant(v), "<", 1), "(", 1)
 
 
 def sub(v: Column, path: str) -> Column:
@@ -101,8 +101,13 @@ def first_product(nodes_: Column, shop: str) -> Column:
 
 def scalar(v: Column, path: str) -> Column:
     """Text of a scalar field; objects and lists give NULL, not their JSON text."""
-    return F.when(
-        ~kind(sub(v, path)).isin("OBJECT", "ARRAY"), F.try_variant_get(v, path, "string"))
+    return bind(sub(v, path), _scalar_text)
+
+
+def _scalar_text(x: Column) -> Column:
+    shape = F.schema_of_variant(x)
+    nested = F.startswith(shape, F.lit("OBJECT")) | F.startswith(shape, F.lit("ARRAY"))
+    return F.when(~nested, F.try_variant_get(x, "$", "string"))
 
 
 def text(v: Column, path: str) -> Column:
@@ -110,7 +115,8 @@ def text(v: Column, path: str) -> Column:
 
 
 def string_only(v: Column, path: str) -> Column:
-    return F.when(kind(sub(v, path)) == "STRING", F.try_variant_get(v, path, "string"))
+    return bind(sub(v, path), lambda x: F.when(
+        F.schema_of_variant(x) == "STRING", F.try_variant_get(x, "$", "string")))
 
 
 def _first_or_self(v: Column, path: str) -> Column:

@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 
 from shelfwise import lexicon
 
-# Java's \s is ASCII only; pages carry no-break and typographic spaces as well.
-SPACE = r"[\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+# Java's \s is ASCII only; pages carry no-break and typographic spaces as well (category Z).
+SPACE = r"[\s\x1c-\x1f\x85\p{Z}]"
+# Only runs that change are matched, so plain text passes without a replacement per blank.
+_UNEVEN_SPACE = rf"(?:(?! ){SPACE}| {SPACE}){SPACE}*"
 
 _JAVA_SPECIAL = re.compile(r"([\\.^$|?*+()\[\]{}\-])")
 
@@ -28,7 +30,8 @@ def bind(c: Column, f: Callable[[Column], Column]) -> Column:
 
     Keeps plans small where a column function reads its argument several times.
     """
-    return F.get(F.transform(F.array(c), f), F.lit(0))
+    # The lambda keeps optional parameters of `f` from being taken as the index.
+    return F.get(F.transform(F.array(c), lambda v: f(v)), F.lit(0))
 
 
 def blank_to_null(c: Column) -> Column:
@@ -37,7 +40,7 @@ def blank_to_null(c: Column) -> Column:
 
 def clean(c: Column) -> Column:
     """Collapse all white space to one blank, trim, empty becomes NULL."""
-    return blank_to_null(F.trim(F.regexp_replace(c.cast("string"), SPACE + "+", " ")))
+    return blank_to_null(F.trim(F.regexp_replace(c.cast("string"), _UNEVEN_SPACE, " ")))
 
 
 def has_any(c: Column, words: list[str]) -> Column:

@@ -1,11 +1,15 @@
 """Stored product pages to typed records, one plan per shop.
 
-pages(url, html) in, one wide row per product page out. Each stage adds columns that the
-next ones read more than once, so Catalyst keeps them apart and computes them once per row.
+pages(url, html) in, one wide row per product page out, without a shuffle. A shop is a list
+of stages. Each stage adds columns that later ones read more than once, so Catalyst keeps
+the stages apart and computes every column once per row.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,26 +19,51 @@ from shelfwise.functions import jsonld as L
 from shelfwise.functions import keys, price, stock, text, url
 from shelfwise.operators import classify, support
 
+Stage = Callable[[], dict[str, Column]]
 _CRUMBS = "array<struct<name:string,url:string>>"
+_BUILT: dict[tuple, dict[str, Column]] = {}
+
+
+def _built(stage: Stage) -> dict[str, Column]:
+    """Columns of a stage. They name their inputs and nothing else, so they are built once
+    per driver process and serve every later plan; building them takes seconds.
+    """
+    key = (stage.__name__, id(SparkContext._gateway))
+    if key not in _BUILT:
+        _BUILT[key] = stage()
+    return _BUILT[key]
+
 
+def _run(df: DataFrame, stages: list[Stage]) -> DataFrame:
+    for stage in stages:
+        df = df.withColumns(_built(stage))
+    return df
 
-def _staged(pages: DataFrame, shop: str, parse_blocks: bool = True) -> DataFrame:
-    h = F.col("html")
-    staged = pages.withColumn("source_url", url.strip_tracking(F.col("url"), shop))
-    if parse_blocks:
-        staged = staged.withColumn("_m", B.marks(h))
-    staged = staged.withColumns({"_nodes": L.nodes(L.blocks(h)), "_metas": H.metas(h)})
-    return staged.withColumn("_p", L.first_product(F.col("_nodes"), shop))
+
+def _kept(pages: DataFrame) -> list[str]:
+    return [c for c in pages.columns if c not in ("html", "url")]
 
 
-def _ld(shop: str) -> dict[str, Column]:
-    return L.product_fields(F.col("_p"), shop)
+def _c(name: str) -> Column:
+    return F.col(name)
+
+
+def _page_facts(shop: str) -> dict[str, Column]:
+    h = _c("html")
+    return {
+        "source_url": url.strip_tracking(_c("url"), shop), "_m": B.marks(h),
+        "_nodes": L.nodes(L.blocks(h)), "_metas": H.metas(h)}
+
+
+def _product_facts(shop: str) -> dict[str, Column]:
+    """Columns of the Product node, with the prefix ld_."""
+    return {f"ld_{k}": v for k, v in L.product_fields(_c("_p"), shop).items()}
 
 
 def _resolved(crumbs: Column, shop: str) -> Column:
     return F.transform(crumbs, lambda c: F.struct(
         c["name"].alias("name"),
-        url.strip_tracking(url.resolve(F.col("url"), c["url"]), shop).alias("url")))
+        url.strip_tracking(url.resolve(_c("url"), c["url"]), shop).alias("url")))
 
 
 def _first_filled(*arrays: Column) -> Column:
@@ -45,228 +74,337 @@ def _first_filled(*arrays: Column) -> Column:
     return chain
 
 
-def _crumb_columns(df: DataFrame) -> DataFrame:
-    c = F.col("_crumbs")
+def _crumb_columns() -> dict[str, Column]:
+    c = _c("_crumbs")
     n = F.size(c)
-    return df.withColumns({
+    return {
         "breadcrumb_path": F.transform(c, lambda x: x["name"]),
         "breadcrumb_urls": F.transform(c, lambda x: x["url"]),
         "breadcrumb_category": F.when(n >= 1, F.element_at(c, -1)["name"]),
         "breadcrumb_url": F.when(n >= 1, F.element_at(c, -1)["url"]),
         "breadcrumb_parent": F.when(n >= 2, F.get(c, n - 2)["name"]),
-    })
+    }
 
 
-def _with_discount(df: DataFrame, strict: bool, stated: Column | None = None) -> DataFrame:
-    cur, base = price.money(F.col("current_price")), price.money(F.col("base_price"))
-    amount = price.discount_amount(base, cur, strict)
-    out = df.withColumn("discount_amount", amount)
-    derived = price.percent_of(F.col("discount_amount"), base)
-    percent = derived if stated is None else F.coalesce(stated.cast("decimal(7,2)"), derived)
-    return out.withColumn("discount_percent", percent)
+def _no_crumbs() -> dict[str, Column]:
+    return {"_crumbs": F.array().cast(_CRUMBS)}
 
 
-def bax(pages: DataFrame) -> DataFrame:
-    h, m, metas = F.col("html"), F.col("_m"), F.col("_metas")
-    s = _staged(pages, "bax").withColumns({
-        "page_text": H.body_text(h),
-        "_specs": B.specs(m),
-        "buy_text": B.all_text(m, "buy"),
-        "_ld_crumbs": L.crumbs(F.col("_nodes")),
-        **{f"ld_{k}": v for k, v in _ld("bax").items()},
-        "_ld_price": L.scalar(L.offer(F.col("_p")), "$.price"),
-    })
-    spec, body = F.col("_specs"), F.col("page_text")
-    not_self = lambda a: F.filter(a, lambda c: c["url"] != F.col("source_url"))
-    ld_crumbs = F.transform(F.col("_ld_crumbs"), lambda c: F.struct(
+def _amount(strict: bool) -> dict[str, Column]:
+    return {"discount_amount": price.discount_amount(
+        price.money(_c("base_price")), price.money(_c("current_price")), strict)}
+
+
+def _strict_amount() -> dict[str, Column]:
+    return _amount(strict=True)
+
+
+def _percent() -> dict[str, Column]:
+    return {"discount_percent": price.percent_of(_c("discount_amount"), price.money(_c("base_price")))}
+
+
+# ---- first shop: everything from one page, service facts included --------
+
+def _bax_page():
+    return {**_page_facts("bax"), "page_text": H.body_text(_c("html"))}
+
+
+def _bax_product():
+    return {"_p": L.first_product(_c("_nodes"), "bax"), "_specs": B.specs(_c("_m")), "buy_text": B.all_text(_c("_m"), "buy"),
+            "_rating_text": F.coalesce(B.all_text(_c("_m"), "rating"), F.lit(""))}
+
+
+def _bax_json():
+    return {**_product_facts("bax"), "_ld_price": L.scalar(L.offer(_c("_p")), "$.price")}
+
+
+def _bax_crumbs():
+    def not_self(a):
+        return F.filter(a, lambda c: c["url"] != _c("source_url"))
+
+    listed = F.transform(L.crumbs(_c("_nodes")), lambda c: F.struct(
         c["name"].alias("name"), url.strip_tracking(c["url"], "bax").alias("url")))
-    s = s.withColumns({
-        "_crumbs": _first_filled(
-            not_self(ld_crumbs), not_self(_resolved(B.crumbs(m, "crumb"), "bax")),
-            url.breadcrumbs(F.col("source_url"))),
-        "title": F.coalesce(F.col("ld_title"), text.without_shop_suffix(H.title(h, metas, "bax"))),
+    shown = _resolved(B.crumbs(_c("_m"), "crumb"), "bax")
+    return {"_crumbs": text.bind(not_self(listed), lambda a: _first_filled(
+        a, not_self(shown), url.breadcrumbs(_c("source_url"))))}
+
+
+def _bax_identity():
+    h, m, metas, spec, body = (_c(n) for n in ("html", "_m", "_metas", "_specs", "page_text"))
+    return {
+        "title": F.coalesce(_c("ld_title"), text.without_shop_suffix(H.title(h, metas, "bax"))),
         "brand": F.coalesce(
-            F.col("ld_brand"), B.own_text(m, "brand"), H.meta(metas, "product:brand"),
+            _c("ld_brand"), B.own_text(m, "brand"), H.meta(metas, "product:brand"),
             B.spec_value(spec, "merk", "brand", "fabrikant")),
-        "image_url": F.coalesce(F.col("ld_image_url"), H.meta(metas, "og:image")),
-        "description": F.coalesce(F.col("ld_description"), H.meta(metas, "description", "og:description")),
-        "sku": F.coalesce(F.col("ld_sku"), B.spec_value(spec, "sku")),
-        "mpn": F.coalesce(F.col("ld_mpn"), B.spec_value(spec, "mpn", "part number", "onderdeelnummer"),
-                          text.part_number_in_text(body)),
-        "gtin": F.coalesce(F.col("ld_gtin"), B.spec_value(spec, "ean", "gtin"), text.gtin_in_text(body)),
+        "image_url": F.coalesce(_c("ld_image_url"), H.meta(metas, "og:image")),
+        "description": F.coalesce(_c("ld_description"), H.meta(metas, "description", "og:description")),
+        "sku": F.coalesce(_c("ld_sku"), B.spec_value(spec, "sku")),
+        "mpn": F.coalesce(
+            _c("ld_mpn"), B.spec_value(spec, "mpn", "part number", "onderdeelnummer"), text.part_number_in_text(body)),
+        "gtin": F.coalesce(_c("ld_gtin"), B.spec_value(spec, "ean", "gtin"), text.gtin_in_text(body)),
         "model": text.model_name(F.coalesce(
-            F.col("ld_model"), B.spec_value(spec, "model", "modelnummer", "typenummer"),
+            _c("ld_model"), B.spec_value(spec, "model", "modelnummer", "typenummer"),
             text.model_in_text(body, needs_digit=True)), "bax"),
-        "currency": F.coalesce(F.col("ld_currency"), F.lit("EUR")),
-        "_box": price.buy_block_prices(F.col("buy_text")),
+        "currency": F.coalesce(_c("ld_currency"), F.lit("EUR")),
+    }
+
+
+def _bax_price_sources():
+    m, metas = _c("_m"), _c("_metas")
+    item_text = B.own_text(m, "item_price")
+    return {
+        "_box": price.buy_block_prices(_c("buy_text")),
         "_in_box": price.first_price_text(B.texts_within(m, "price", "buy")),
-        "_meta_price": H.meta(metas, "product:price:amount", "og:price:amount"),
-        "_item_attr": text.clean(B.shown_attribute(m, "item_price")),
-        "_item_text": B.own_text(m, "item_price"),
-    })
-    # A text found in the buy block or an element must look like a price; the first source counts.
-    found_text = F.coalesce(
-        F.col("_in_box"), F.col("_meta_price"), F.col("_item_attr"),
-        F.when(price.looks_like_price(F.col("_item_text")), F.col("_item_text")))
-    gated = F.when(F.col("_in_box").isNull() | price.looks_like_price(F.col("_in_box")), found_text)
-    ld_price = price.parse_eu(F.col("_ld_price"))
-    s = s.withColumns({
-        "price_text": F.coalesce(text.clean(F.col("_ld_price")), gated),
-        "_first_price": F.coalesce(ld_price, price.parse_eu(gated)),
-    })
-    cur, alt, base = F.col("_first_price"), F.col("_box.current"), F.col("_box.base")
-    s = s.withColumn(
-        "current_price",
-        F.when(cur.isNull(), alt).when((cur >= base) & (alt < cur), alt).otherwise(cur))
-    s = s.withColumn("base_price", F.when(
-        F.col("current_price").isNull() | (base >= F.col("current_price")), base))
-    s = _with_discount(s, strict=False, stated=price.discount_in_text(F.col("buy_text")))
-    rating_text = F.coalesce(B.all_text(m, "rating"), F.lit(""))
+        "_stated": F.coalesce(
+            H.meta(metas, "product:price:amount", "og:price:amount"), text.clean(B.shown_attribute(m, "item_price")),
+            text.bind(item_text, lambda t: F.when(price.looks_like_price(t), t))),
+        "_stated_percent": price.discount_in_text(_c("buy_text")),
+    }
+
+
+def _bax_first_price():
+    """A text from the buy block must look like a price; it then goes before the other sources."""
+    box = _c("_in_box")
+    found = F.when(box.isNull(), _c("_stated")).when(price.looks_like_price(box), box)
+    return {"_found": found}
+
+
+def _bax_price_text():
+    return {
+        "price_text": F.coalesce(text.clean(_c("_ld_price")), _c("_found")),
+        "_first_price": F.coalesce(price.parse_eu(_c("_ld_price")), price.parse_eu(_c("_found"))),
+    }
+
+
+def _bax_current():
+    cur, alt, base = _c("_first_price"), _c("_box.current"), _c("_box.base")
+    return {"current_price": F.when(cur.isNull(), alt).when((cur >= base) & (alt < cur), alt).otherwise(cur)}
+
+
+def _bax_base():
+    cur, base = _c("current_price"), _c("_box.base")
+    return {"base_price": F.when(cur.isNull() | (base >= cur), base)}
+
+
+def _bax_amount():
+    return _amount(strict=False)
+
+
+def _bax_percent():
+    derived = _percent()["discount_percent"]
+    return {"discount_percent": F.coalesce(_c("_stated_percent").cast("decimal(7,2)"), derived)}
+
+
+def _bax_rest():
     rating = F.coalesce(
-        price.parse_number(F.col("ld_rating_value")), price.rating_in_text(rating_text, r"\b(\d(?:[.,]\d)?)\b"))
-    s = _crumb_columns(s).withColumns({
+        price.parse_number(_c("ld_rating_value")), price.rating_in_text(_c("_rating_text"), r"\b(\d(?:[.,]\d)?)\b"))
+    return {
         "in_stock": F.coalesce(
-            stock.from_availability(F.col("ld_availability"), "bax"), stock.from_text(F.col("buy_text"), "bax")),
-        "stock_status_text": F.coalesce(F.col("ld_availability"), F.col("buy_text")),
-        "rating_value": price.rating_within_scale(rating),
-        "review_count": F.coalesce(F.col("ld_review_count"), text.first_group(rating_text, r"\b(\d+)\b")),
-        "canonical_name": text.canonical_strict(F.col("brand"), F.col("title"), F.col("model")),
-        **support.service_columns(body, "bax"),
-        "customer_service_url": H.support_link(F.col("url"), h, "bax"),
-    })
-    return s.select(*_kept(pages), *_RECORD, *_SERVICE)
+            stock.from_availability(_c("ld_availability"), "bax"), stock.from_text(_c("buy_text"), "bax")),
+        "stock_status_text": F.coalesce(_c("ld_availability"), _c("buy_text")),
+        "rating_value": text.bind(rating, price.rating_within_scale),
+        "review_count": F.coalesce(_c("ld_review_count"), text.first_group(_c("_rating_text"), r"\b(\d+)\b")),
+        "canonical_name": text.canonical_strict(_c("brand"), _c("title"), _c("model")),
+        **support.service_columns(_c("page_text"), "bax"),
+        "customer_service_url": H.support_link(_c("url"), _c("html"), "bax"),
+    }
 
 
-def thomann(pages: DataFrame) -> DataFrame:
-    h, m, metas = F.col("html"), F.col("_m"), F.col("_metas")
-    s = _staged(pages, "thomann").withColumns({
+def bax(pages: DataFrame) -> DataFrame:
+    stages = [
+        _bax_page, _bax_product, _bax_json, _bax_crumbs, _bax_identity, _bax_price_sources, _bax_first_price, _bax_price_text,
+        _bax_current, _bax_base, _bax_amount, _bax_percent, _crumb_columns, _bax_rest]
+    return _run(pages, stages).select(*_kept(pages), *_RECORD, *_SERVICE)
+
+
+# ---- shop with article numbers and reference prices ----------------------
+
+def _thomann_page():
+    return _page_facts("thomann")
+
+
+def _thomann_product():
+    m = _c("_m")
+    return {
+        "_p": L.first_product(_c("_nodes"), "thomann"),
         "_price_box": B.all_text(m, "price_box"),
-        "_wide_box": B.all_text(m, "price_or_stock_box"),
+        "_ref": price.reference_price(B.all_text(m, "price_or_stock_box")),
         "_badge_text": text.clean(F.get(B.texts(m, "badge", 0, 0), F.lit(0))),
         "_badge_class": B.shown_attribute(m, "badge"),
-        "_ld_crumbs": L.crumbs(F.col("_nodes")),
-        **{f"ld_{k}": v for k, v in _ld("thomann").items()},
-        "_ld_price": L.scalar(L.offer(F.col("_p")), "$.price"),
-        "_link_stock": H.first_attribute(h, "link", r"""itemprop=["']availability""", "href"),
-    })
-    categories = lambda a: F.filter(a, lambda c: url.is_category(c["url"]))
-    ld_price = price.sane(price.parse_plain(F.col("_ld_price")))
+        "_link_stock": H.first_attribute(_c("html"), "link", r"""itemprop=["']availability""", "href"),
+    }
+
+
+def _thomann_json():
+    listed = L.scalar(L.offer(_c("_p")), "$.price")
+    return {**_product_facts("thomann"), "_ld_price": text.bind(
+        listed, lambda t: F.struct(price.sane(price.parse_plain(t)).alias("price"), text.clean(t).alias("text")))}
+
+
+def _thomann_crumbs():
+    def categories(a):
+        return F.filter(a, lambda c: url.is_category(c["url"]))
+
+    return {"_crumbs": text.bind(categories(L.crumbs(_c("_nodes"))), lambda a: _first_filled(
+        a, _resolved(B.crumbs(_c("_m"), "crumb_item"), "thomann"), categories(_resolved(B.crumbs(_c("_m"), "crumb"), "thomann"))))}
+
+
+def _thomann_identity():
+    h, m, metas = _c("html"), _c("_m"), _c("_metas")
     candidates = F.array_compact(F.array(
-        H.item_meta(metas, "price"),
-        H.meta(metas, "product:price:amount"), H.meta(metas, "og:price:amount"),
+        H.item_meta(metas, "price"), H.meta(metas, "product:price:amount"), H.meta(metas, "og:price:amount"),
         B.shown_attribute(m, "item_price"), B.own_text(m, "item_price")))
-    s = s.withColumns({
+    return {
         "listing_number": keys.article_number(h),
-        "_crumbs": _first_filled(
-            categories(F.col("_ld_crumbs")), _resolved(B.crumbs(m, "crumb_item"), "thomann"),
-            categories(_resolved(B.crumbs(m, "crumb"), "thomann"))),
-        "title": F.coalesce(F.col("ld_title"), H.title(h, metas, "thomann")),
-        "brand": F.col("ld_brand"),
-        "image_url": F.coalesce(F.col("ld_image_url"), H.meta(metas, "og:image")),
-        "description": F.coalesce(F.col("ld_description"), H.meta(metas, "description", "og:description")),
-        "sku": F.col("ld_sku"), "mpn": F.col("ld_mpn"), "gtin": F.col("ld_gtin"),
-        "model": text.model_name(F.col("ld_model"), "thomann"),
-        "currency": F.coalesce(F.col("ld_currency"), F.lit("EUR")),
+        "title": F.coalesce(_c("ld_title"), H.title(h, metas, "thomann")),
+        "brand": _c("ld_brand"),
+        "image_url": F.coalesce(_c("ld_image_url"), H.meta(metas, "og:image")),
+        "description": F.coalesce(_c("ld_description"), H.meta(metas, "description", "og:description")),
+        "sku": _c("ld_sku"), "mpn": _c("ld_mpn"), "gtin": _c("ld_gtin"),
+        "model": text.model_name(_c("ld_model"), "thomann"),
+        "currency": F.coalesce(_c("ld_currency"), F.lit("EUR")),
         "_meta": price.first_sane(candidates),
-        "_ref": price.reference_price(F.col("_wide_box")),
-    })
-    s = s.withColumns({
-        "current_price": F.coalesce(
-            ld_price, F.col("_meta.price"), price.lowest_sane_price(F.col("_price_box"))),
-        "price_text": F.coalesce(F.when(ld_price.isNotNull(), text.clean(F.col("_ld_price"))), F.col("_meta.text")),
-    })
-    s = s.withColumn("base_price", F.when(F.col("_ref") > F.col("current_price"), F.col("_ref")))
-    s = _crumb_columns(_with_discount(s, strict=True)).withColumns({
+        "_lowest": price.lowest_sane_price(_c("_price_box")),
+    }
+
+
+def _thomann_price():
+    listed = _c("_ld_price")
+    return {
+        "current_price": F.coalesce(listed["price"], _c("_meta.price"), _c("_lowest")),
+        "price_text": F.coalesce(F.when(listed["price"].isNotNull(), listed["text"]), _c("_meta.text")),
+    }
+
+
+def _thomann_base():
+    return {"base_price": F.when(_c("_ref") > _c("current_price"), _c("_ref"))}
+
+
+def _thomann_rest():
+    return {
         "in_stock": F.coalesce(
-            stock.from_availability(F.col("ld_availability"), "thomann"),
-            stock.from_badge(F.col("_badge_class"), F.col("_badge_text"), F.col("_link_stock"))),
+            stock.from_availability(_c("ld_availability"), "thomann"),
+            stock.from_badge(_c("_badge_class"), _c("_badge_text"), _c("_link_stock"))),
         "stock_status_text": F.coalesce(
-            F.col("ld_availability"), F.col("_badge_text"),
-            F.regexp_extract(F.col("_link_stock"), "(InStock|OutOfStock)", 1)),
-        "rating_value": price.parse_number(F.col("ld_rating_value")),
-        "review_count": F.col("ld_review_count"),
-        "canonical_name": text.canonical_strict(F.col("brand"), F.col("title"), F.col("model")),
-    })
-    return s.select(*_kept(pages), "listing_number", *_RECORD)
+            _c("ld_availability"), _c("_badge_text"), text.first_group(_c("_link_stock"), "(InStock|OutOfStock)")),
+        "rating_value": price.parse_number(_c("ld_rating_value")),
+        "review_count": _c("ld_review_count"),
+        "canonical_name": text.canonical_strict(_c("brand"), _c("title"), _c("model")),
+    }
 
 
-def bol(pages: DataFrame) -> DataFrame:
-    h, m, metas = F.col("html"), F.col("_m"), F.col("_metas")
-    s = _staged(pages, "bol").withColumns({
+def thomann(pages: DataFrame) -> DataFrame:
+    stages = [
+        _thomann_page, _thomann_product, _thomann_json, _thomann_crumbs, _thomann_identity, _thomann_price, _thomann_base,
+        _strict_amount, _percent, _crumb_columns, _thomann_rest]
+    return _run(pages, stages).select(*_kept(pages), "listing_number", *_RECORD)
+
+
+# ---- shop whose pages are first filtered for category and relevance ------
+
+def _bol_page():
+    return _page_facts("bol")
+
+
+def _bol_filter_facts():
+    links = F.transform(B.nav_links(_c("_m")), lambda u: url.strip_tracking(url.resolve(_c("url"), u), "bol"))
+    product = L.first_product(_c("_nodes"), "bol")
+    return {"_p": product, "_crumb_urls": links,
+            "title": F.coalesce(H.leading_text(_c("html"), "h1"), L.text(product, "$.name"))}
+
+
+def _bol_product():
+    h, m = _c("html"), _c("_m")
+    prices = L.offer_prices(_c("_p"))
+    box_price = F.filter(F.transform(B.texts_within(m, "price", "buy_block"), text.clean), lambda t: t.isNotNull())
+    return {
         "page_text": F.coalesce(classify.without_dialog(H.body_text(h)), F.lit("")),
         "_badge": F.coalesce(B.own_text(m, "stock"), B.all_text(m, "stock", 120)),
         "_block": F.coalesce(B.all_text(m, "delivery", 600), B.all_text(m, "buy_block", 600)),
-        "_prices": F.struct(*[v.alias(k) for k, v in L.offer_prices(F.col("_p")).items()]),
-        **{f"ld_{k}": v for k, v in _ld("bol").items()},
-        "_crumb_urls": F.transform(B.nav_links(m), lambda u: url.strip_tracking(
-            url.resolve(F.col("url"), u), "bol")),
-        "title": text.first_text(H.leading_text(h, "h1")),
-    })
-    s = s.withColumn("title", F.coalesce(F.col("title"), F.col("ld_title")))
-    s = s.filter(classify.has_allowed_crumb(F.col("_crumb_urls")) & classify.is_relevant(F.col("title"), F.col("url")))
-    body = F.col("page_text")
-    meta_price = F.coalesce(
-        H.item_meta(metas, "price"),
-        H.meta(metas, "product:price:amount"))
-    shown = F.coalesce(
-        B.own_text(m, "price_exact"),
-        text.clean(F.get(F.filter(B.texts_within(m, "price", "buy_block"), lambda t: text.clean(t).isNotNull()), F.lit(0))),
-        text.joined_text(B.texts(m, "price_exact", 1), 120))
-    was = F.coalesce(B.own_text(m, "was_price"), text.joined_text(B.texts(m, "was_price", 1), 120))
-    rating_text = B.own_text(m, "rating_exact")
-    stock_text = F.coalesce(F.col("_badge"), F.col("_block"))
+        "_ld_current": prices["current"], "_ld_base": prices["base"],
+        "_shown": F.coalesce(B.own_text(m, "price_exact"), F.get(box_price, F.lit(0)), text.joined_text(B.texts(m, "price_exact", 1), 120)),
+        "_was": F.coalesce(B.own_text(m, "was_price"), text.joined_text(B.texts(m, "was_price", 1), 120)),
+        **_product_facts("bol"),
+    }
+
+
+def _bol_stock_text():
+    return {"_stock_text": F.coalesce(_c("_badge"), _c("_block"))}
+
+
+def _bol_rest():
+    h, m, metas, body = (_c(n) for n in ("html", "_m", "_metas", "page_text"))
     image = F.coalesce(
-        F.col("ld_image_url"),
+        _c("ld_image_url"),
         text.clean(H.first_attribute(h, "img", r"""data-test=["']product-image["']""", "src")),
         text.clean(H.first_attribute(h, "img", r"(?i)\ssrcset=", "src")),
         text.clean(H.first_attribute(h, "img", r"(?i)\ssrc=", "src")))
-    s = s.withColumns({
-        "brand": F.coalesce(B.own_text(m, "brand"), F.col("ld_brand")),
-        "description": classify.without_dialog(
-            F.coalesce(F.col("ld_description"), B.all_text(m, "description", 4000))),
-        "image_url": url.https_if_scheme_less(image),
-        "sku": F.col("ld_sku"), "mpn": F.col("ld_mpn"),
-        "gtin": F.coalesce(F.col("ld_gtin"), text.gtin_in_text(body)),
-        "model": text.model_name(F.coalesce(F.col("ld_model"), text.model_in_text(body, needs_digit=False)), "bol"),
-        "currency": F.coalesce(F.col("ld_currency"), F.lit("EUR")),
-        "_shown": shown,
+    meta_price = F.coalesce(H.item_meta(metas, "price"), H.meta(metas, "product:price:amount"))
+    return {
+        "brand": F.coalesce(B.own_text(m, "brand"), _c("ld_brand")),
+        "description": classify.without_dialog(F.coalesce(_c("ld_description"), B.all_text(m, "description", 4000))),
+        "image_url": text.bind(image, url.https_if_scheme_less),
+        "sku": _c("ld_sku"), "mpn": _c("ld_mpn"),
+        "gtin": F.coalesce(_c("ld_gtin"), text.gtin_in_text(body)),
+        "model": text.model_name(F.coalesce(_c("ld_model"), text.model_in_text(body, needs_digit=False)), "bol"),
+        "currency": F.coalesce(_c("ld_currency"), F.lit("EUR")),
         "current_price": F.coalesce(
-            F.col("_prices.current"), price.parse_first(meta_price), price.parse_first(shown),
-            price.embedded_price(L.script_texts(h))),
-        "base_price": F.coalesce(F.col("_prices.base"), price.parse_first(was)),
+            _c("_ld_current"), price.parse_first(meta_price), price.parse_first(_c("_shown")), price.embedded_price(L.script_texts(h))),
+        "base_price": F.coalesce(_c("_ld_base"), price.parse_first(_c("_was"))),
         "in_stock": F.coalesce(
-            stock.from_availability(F.col("ld_availability"), "bol"), stock.from_text(stock_text, "bol")),
-        "stock_status_text": stock.status_short(stock_text),
+            stock.from_availability(_c("ld_availability"), "bol"), stock.from_text(_c("_stock_text"), "bol")),
+        "stock_status_text": stock.status_short(_c("_stock_text")),
         "rating_value": F.coalesce(
-            price.parse_number(F.col("ld_rating_value")), price.rating_in_text(rating_text, r"(\d+(?:[.,]\d+)?)")),
+            price.parse_number(_c("ld_rating_value")), price.rating_in_text(B.own_text(m, "rating_exact"), r"(\d+(?:[.,]\d+)?)")),
         "review_count": F.coalesce(
-            price.review_count(F.col("ld_review_count")), price.review_count_in_text(B.own_text(m, "rating_count"))
-        ).cast("string"),
-        "_crumbs": F.array().cast(_CRUMBS),
-    })
-    s = s.withColumns({
-        "price_text": F.coalesce(F.col("_shown"), price.price_label(F.col("current_price"))),
-        "canonical_name": text.canonical_loose(F.col("brand"), F.col("title"), F.col("model")),
-    })
-    s = _crumb_columns(_with_discount(s, strict=True))
-    return s.select(*_kept(pages), *_RECORD)
+            price.review_count(_c("ld_review_count")), price.review_count_in_text(B.own_text(m, "rating_count"))).cast("string"),
+    }
 
 
-def maxiaxi(pages: DataFrame) -> DataFrame:
-    h, m, spec, metas = F.col("html"), F.col("_m"), F.col("_specs"), F.col("_metas")
-    s = pages.withColumns({"_m": B.marks(h), "_metas": H.metas(h)}).withColumns({
-        "source_url": url.strip_tracking(F.col("url"), "maxiaxi"),
-        "_specs": B.specs(m),
-        "title": H.title(h, metas, "maxiaxi"),
+def _bol_names():
+    return {
+        "price_text": F.coalesce(_c("_shown"), price.price_label(_c("current_price"))),
+        "canonical_name": text.canonical_loose(_c("brand"), _c("title"), _c("model")),
+    }
+
+
+def bol(pages: DataFrame) -> DataFrame:
+    facts = _run(pages, [_bol_page, _bol_filter_facts])
+    wanted = facts.filter(classify.has_allowed_crumb(_c("_crumb_urls")) & classify.is_relevant(_c("title"), _c("url")))
+    stages = [
+        _bol_product, _bol_stock_text, _bol_rest, _bol_names, _strict_amount, _percent, _no_crumbs, _crumb_columns]
+    return _run(wanted, stages).select(*_kept(pages), *_RECORD)
+
+
+# ---- shop whose facts stand in the specification table -------------------
+
+def _maxiaxi_page():
+    h = _c("html")
+    return {"_m": B.marks(h), "_metas": H.metas(h), "source_url": url.strip_tracking(_c("url"), "maxiaxi")}
+
+
+def _maxiaxi_facts():
+    h, metas = _c("html"), _c("_metas")
+    return {
+        "_specs": B.specs(_c("_m")), "title": H.title(h, metas, "maxiaxi"),
         "image_url": text.first_text(
             H.first_attribute(h, "img", r"fotorama__img|product-image-photo", "src"), H.meta(metas, "og:image")),
-        "description": F.substring(B.all_text(m, "description"), 1, 5000),
-    })
-    exact = lambda k: F.try_element_at(spec, F.lit(k))
+        "description": F.substring(B.all_text(_c("_m"), "description"), 1, 5000),
+    }
+
+
+def _maxiaxi_identity():
+    def exact(label):
+        return F.try_element_at(_c("_specs"), F.lit(label))
+
+    return {"brand": exact("merk"), "sku": exact("sku"), "model": exact("sku"), "gtin": exact("ean code")}
+
+
+def maxiaxi(pages: DataFrame) -> DataFrame:
+    s = _run(pages, [_maxiaxi_page, _maxiaxi_facts, _maxiaxi_identity])
     return s.select(
-        *_kept(pages), "source_url", "title", exact("merk").alias("brand"), exact("sku").alias("sku"),
-        exact("sku").alias("model"), exact("ean code").alias("gtin"), "image_url", "description",
-        text.canonical_pair(exact("merk"), exact("sku"), F.col("title")).alias("canonical_name"))
+        *_kept(pages), "source_url", "title", "brand", "sku", "model", "gtin", "image_url", "description",
+        text.canonical_pair(_c("brand"), _c("model"), _c("title")).alias("canonical_name"))
 
 
 _RECORD = [
@@ -281,9 +419,4 @@ _SERVICE = [
     "warranty_provider", "warranty_duration_months", "customer_service_url",
 ]
 
-
-def _kept(pages: DataFrame) -> list[str]:
-    return [c for c in pages.columns if c not in ("html", "url")]
-
-
 SHOPS = {"bax": bax, "bol": bol, "maxiaxi": maxiaxi, "thomann": thomann}

@@ -10,14 +10,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.plans.reskin import cents, gtin
-from shelfwise.session import table
+from shelfwise.session import spread, table
 
 SHAPES = 4
 
 
 def parts(spark: SparkSession, d: str) -> DataFrame:
     n = F.col("p_partkey")
-    return table(spark, d, "part").select(
+    return spread(table(spark, d, "part")).select(
         "p_partkey", "p_name", "p_brand", "p_type", "p_size", cents(F.col("p_retailprice")).alias("c"),
         (n % SHAPES).alias("shape"), gtin(n).alias("gtin"),
         F.lower(F.replace("p_name", F.lit(" "), F.lit("-"))).alias("slug"))

@@ -27,6 +27,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scan for work that is heavy per row: used as it is, unless it has fewer partitions
+    than there are cores. So only inputs smaller than the cluster are shuffled, never large ones.
+
+    For plain scans with filters and projections only.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the one the cluster names for checkpoints.
 
