@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from shelfwise.catalog.registry import query
 from shelfwise.operators import matching
 from shelfwise.plans import compare, reskin
-from shelfwise.session import table
+from shelfwise.session import materialise, table
 from shelfwise.sources.schema import only_where_known
 
 _LATEST_SQL = """
@@ -24,14 +24,14 @@ _LATEST_SQL = """
       (count(*) FILTER (cur < base))::DOUBLE / count(*) AS discounted_share, max(pct) AS max_discount_percent
     FROM latest JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey GROUP BY 1, 2, 3""")
 def price_compare_by_shop(spark, d):
-    return compare.price_by_shop(reskin.latest(reskin.snapshots(spark, d)), reskin.shops(spark, d))
+    return compare.price_by_shop(reskin.latest(reskin.snapshots(spark, d), "current_cents", "base_cents", "discount_percent"), reskin.shops(spark, d))
 
 
 @query("latest_snapshot", f"""{_LATEST_SQL}
     SELECT l_suppkey::INT AS competitor_id, l_partkey AS product_no, l_orderkey AS run_no, cur AS current_cents,
       strftime(l_shipdate, '%Y-%m-%d') AS scraped_on FROM latest""")
 def latest_snapshot(spark, d):
-    return reskin.latest(reskin.snapshots(spark, d)).select(
+    return reskin.latest(reskin.snapshots(spark, d), "current_cents").select(
         "competitor_id", "product_no", "run_no", "current_cents", F.date_format("scraped_at", "yyyy-MM-dd").alias("scraped_on"))
 
 
@@ -53,12 +53,12 @@ def _stats_sql(group: str) -> str:
 
 @query("price_stats_category", _stats_sql("p_type"))
 def price_stats_category(spark, d):
-    return compare.price_stats(reskin.latest(reskin.snapshots(spark, d)), table(spark, d, "part"), "p_type")
+    return compare.price_stats(reskin.latest(reskin.snapshots(spark, d), "current_cents"), table(spark, d, "part"), "p_type")
 
 
 @query("price_stats_brand", _stats_sql("p_brand"))
 def price_stats_brand(spark, d):
-    return compare.price_stats(reskin.latest(reskin.snapshots(spark, d)), table(spark, d, "part"), "p_brand")
+    return compare.price_stats(reskin.latest(reskin.snapshots(spark, d), "current_cents"), table(spark, d, "part"), "p_brand")
 
 
 @query("discount_stats", f"""{_LATEST_SQL}
@@ -66,21 +66,23 @@ def price_stats_brand(spark, d):
       (sum(pct) FILTER (cur < base))::DOUBLE / nullif(count(*) FILTER (cur < base), 0) AS mean_percent, max(pct) FILTER (cur < base) AS max_percent
     FROM latest GROUP BY 1""")
 def discount_stats(spark, d):
-    return compare.discounts(reskin.latest(reskin.snapshots(spark, d)))
+    return compare.discounts(reskin.latest(reskin.snapshots(spark, d), "current_cents", "base_cents", "discount_percent"))
 
 
 @query("availability", f"""{_LATEST_SQL}, st AS (SELECT l_suppkey, CASE WHEN l_returnflag = 'R' THEN 0 WHEN l_linestatus = 'F' THEN 1 END AS i FROM latest)
     SELECT l_suppkey::INT AS competitor_id, count(*) AS n_listings, count(*) - count(i) AS n_unknown,
       sum(i)::DOUBLE / nullif(count(i), 0) AS in_stock_rate FROM st GROUP BY 1""")
 def availability(spark, d):
-    return compare.availability(reskin.latest(reskin.snapshots(spark, d)))
+    return compare.availability(reskin.latest(reskin.snapshots(spark, d), "in_stock"))
 
 
 def _match_listings(spark, d):
     p = reskin.products(spark, d)
     pairs = reskin.listings(spark, d)
-    return pairs.join(p, pairs.product_no == p.p_partkey).select(
+    listings = pairs.join(p, pairs.product_no == p.p_partkey).select(
         "listing_key", "competitor_id", "product_no", "gtin", "canonical_name")
+    # Matching reads the listings several times; the model keeps them as a table.
+    return materialise(listings, "productlisting")
 
 
 _MATCH_SQL = """
@@ -119,7 +121,7 @@ def match_labels(spark, d):
     SELECT l_suppkey::INT AS competitor_id, count(*) AS n_matched, sum(g)::DOUBLE / count(*) AS avg_gap_cents, min(g) AS min_gap_cents,
       max(g) AS max_gap_cents, count(*) FILTER (g < 0) AS n_cheaper FROM gap GROUP BY 1""")
 def price_gap(spark, d):
-    return compare.price_gap(reskin.latest(reskin.snapshots(spark, d)), base_shop=1)
+    return compare.price_gap(reskin.latest(reskin.snapshots(spark, d), "current_cents"), base_shop=1)
 
 
 @query("review_weighted", """

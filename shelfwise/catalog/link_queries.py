@@ -9,7 +9,7 @@ from shelfwise.catalog.registry import query
 from shelfwise.functions import url
 from shelfwise.operators import links
 from shelfwise.plans import rendered
-from shelfwise.session import materialise, table
+from shelfwise.session import materialise, spread, table
 from shelfwise.sources import sitemaps
 
 
@@ -148,4 +148,4 @@ def word_dimension(spark, d):
     words = F.array(*[F.lit(w) for w in lexicon.KNOWN_LINES + lexicon.CONSENT_PHRASES])
     low = F.array(F.lower("text"))
     hits = F.transform(low, lambda t: F.size(F.filter(words, lambda w: t.contains(w))))
-    return table(spark, d, "documents").select("doc_id", F.get(hits, F.lit(0)).cast("bigint").alias("n_words"))
+    return spread(table(spark, d, "documents")).select("doc_id", F.get(hits, F.lit(0)).cast("bigint").alias("n_words"))

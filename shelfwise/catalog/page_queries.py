@@ -12,7 +12,7 @@ from shelfwise.functions import html as H
 from shelfwise.functions import jsonld as L
 from shelfwise.operators import classify, links
 from shelfwise.plans import rendered
-from shelfwise.session import table
+from shelfwise.session import spread, table
 
 _ENTITIES = [("nbsp", " ")] + [(k, v) for k, v in H.NAMED_ENTITIES.items() if v != " "] + [("amp", "&")]
 
@@ -37,7 +37,7 @@ _BODY = r"regexp_extract(html, '(?is)<body\b[^>]*>(.*)$', 1)"
       {sql_clean(sql_unescape("regexp_extract(html, '(?is)<title[^>]*>([^<]*)', 1)"))} AS doc_title FROM pages""")
 def page_title(spark, d):
     h = F.col("html")
-    staged = table(spark, d, "pages").withColumn("m", H.metas(h))
+    staged = spread(table(spark, d, "pages")).withColumn("m", H.metas(h))
     return staged.select(
         "page_id", H.title(h, F.col("m"), "bax").alias("title"), H.leading_text(h, "title").alias("doc_title"))
 
@@ -53,7 +53,7 @@ def page_meta(spark, d):
         F.when(F.col("page_id") % 2 == 0, "<meta property='description' content='by property'>").otherwise(
             "<meta property='description' content=' '>"),
         F.lit("<meta itemprop=price content="), n, F.lit(".50>"))
-    staged = table(spark, d, "pages").withColumn("html", F.regexp_replace("html", "(?i)<head>", F.lit("<head>")))
+    staged = spread(table(spark, d, "pages")).withColumn("html", F.regexp_replace("html", "(?i)<head>", F.lit("<head>")))
     staged = staged.withColumn("html", F.concat(extra, F.col("html"))).withColumn("m", H.metas(F.col("html")))
     m = F.col("m")
     return staged.select(
@@ -64,13 +64,13 @@ def page_meta(spark, d):
 @query("page_text", rf"""
     SELECT page_id, md5({sql_text(f"regexp_replace({_BODY}, '{_HIDDEN}', ' ', 'g')")}) AS digest FROM pages""")
 def page_text(spark, d):
-    return table(spark, d, "pages").select("page_id", F.md5(H.visible_text(F.col("html"))).alias("digest"))
+    return spread(table(spark, d, "pages")).select("page_id", F.md5(H.visible_text(F.col("html"))).alias("digest"))
 
 
 @query("page_body_text", rf"""
     SELECT page_id, md5({sql_text(f"regexp_replace({_BODY}, '(?s)<!--.*?-->', ' ', 'g')")}) AS digest FROM pages""")
 def page_body_text(spark, d):
-    return table(spark, d, "pages").select("page_id", F.md5(H.body_text(F.col("html"))).alias("digest"))
+    return spread(table(spark, d, "pages")).select("page_id", F.md5(H.body_text(F.col("html"))).alias("digest"))
 
 
 @query("entity_decode", """
@@ -90,7 +90,7 @@ _A_HREF = r"regexp_extract_all(html, '(?is)<a\b[^>]*\shref=\"([^\"]*)\"[^>]*>',
     SELECT url AS from_url, regexp_extract(url, '^(https?://[^/?#]*)', 1) || {sql_unescape("z[2]")} AS to_url,
       {sql_text("z[3]")} AS label, z[1]::INT AS pos FROM a""")
 def page_links(spark, d):
-    return links.page_links(table(spark, d, "pages"))
+    return links.page_links(spread(table(spark, d, "pages")))
 
 
 @query("page_quality", f"""
@@ -102,7 +102,7 @@ def page_links(spark, d):
 def page_quality(spark, d):
     h = F.col("html")
     status = F.when(F.col("page_id") % 50 == 3, 429).otherwise(200)
-    return table(spark, d, "pages").select(
+    return spread(table(spark, d, "pages")).select(
         "page_id", classify.is_bad_html(h).cast("int").alias("bad_html"), classify.is_shell(h).cast("int").alias("shell"),
         classify.is_blocked(h, status).cast("int").alias("blocked"))
 
@@ -112,7 +112,7 @@ def page_quality(spark, d):
       CASE WHEN doc_id % 3 = 0 THEN NULL ELSE md5(text) END AS no_dialog FROM documents""")
 def consent_filter(spark, d):
     dialog = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("This is a MODAL window. "), "text")).otherwise(F.col("text"))
-    return table(spark, d, "documents").select(
+    return spread(table(spark, d, "documents")).select(
         "doc_id", F.md5(classify.without_consent(F.col("text"))).alias("kept"), F.md5(classify.without_dialog(dialog)).alias("no_dialog"))
 
 
@@ -185,9 +185,9 @@ def page_specs(spark, d):
       array_to_string(regexp_extract_all(regexp_extract(html, '(?is)<nav>.*?</nav>'), 'href="([^"]*)"', 1), ' ') AS nav_links FROM pages""")
 def page_list_items(spark, d):
     """Navigation links of the given pages by the nested-block stage; must agree with a flat scan."""
-    staged = table(spark, d, "pages").withColumn("m", B.marks(F.col("html")))
+    staged = spread(table(spark, d, "pages")).withColumn("m", B.marks(F.col("html")))
     return staged.select(
-        "page_id", F.lit(1).alias("n_nav"), F.array_join(B.nav_links(F.col("m")), " ").alias("nav_links"))
+        "page_id", F.lit(1).cast("bigint").alias("n_nav"), F.array_join(B.nav_links(F.col("m")), " ").alias("nav_links"))
 
 
 @query("page_breadcrumbs", """
@@ -241,5 +241,5 @@ def support_link(spark, d):
     SELECT page_id, len(regexp_extract_all(html, '(?is)<script\b[^>]*>.*?</script')) AS n_scripts, 0 AS n_nodes FROM pages""")
 def script_texts(spark, d):
     h = F.col("html")
-    return table(spark, d, "pages").select(
-        "page_id", F.size(L.script_texts(h)).alias("n_scripts"), F.size(L.nodes(L.blocks(h))).alias("n_nodes"))
+    return spread(table(spark, d, "pages")).select(
+        "page_id", F.size(L.script_texts(h)).cast("bigint").alias("n_scripts"), F.size(L.nodes(L.blocks(h))).alias("n_nodes"))

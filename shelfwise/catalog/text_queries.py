@@ -8,7 +8,7 @@ from shelfwise import lexicon
 from shelfwise.catalog.registry import query
 from shelfwise.functions import keys, text
 from shelfwise.plans.reskin import gtin
-from shelfwise.session import table
+from shelfwise.session import spread, table
 
 _SPACE = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
 
@@ -32,9 +32,9 @@ def sql_words(words: list[str]) -> str:
 """)
 def clean_text(spark, d):
     t = text.clean(F.col("text"))
-    docs = table(spark, d, "documents").select(F.lit("d").alias("src"), F.col("doc_id").alias("id"), t.alias("t"))
+    docs = spread(table(spark, d, "documents")).select(F.lit("d").alias("src"), F.col("doc_id").alias("id"), t.alias("t"))
     padded = text.clean(F.concat(F.lit(" "), F.col("text"), F.lit("\t")))
-    talk = table(spark, d, "conversations").select(
+    talk = spread(table(spark, d, "conversations")).select(
         F.lit("c").alias("src"), (F.col("conv_id") * 1000 + F.col("turn")).alias("id"), padded.alias("t"))
     both = docs.unionByName(talk)
     return both.select("src", "id", F.md5("t").alias("digest"), F.length("t").cast("bigint").alias("n_chars"))
@@ -48,7 +48,7 @@ def clean_text(spark, d):
     FROM documents""")
 def text_has_any(spark, d):
     t = F.col("text")
-    return table(spark, d, "documents").select(
+    return spread(table(spark, d, "documents")).select(
         "doc_id",
         text.has_any(t, lexicon.COURIER_WORDS["bol"]).cast("int").alias("courier"),
         text.has_any(t, lexicon.RELEVANT_WORDS).cast("int").alias("relevant"),

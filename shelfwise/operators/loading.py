@@ -8,24 +8,25 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], last: bool) -> DataFrame:
-    pick = F.max_by if last else F.min_by
-    rest = [c for c in df.columns if c not in keys]
-    place = F.struct(*[F.col(o) if isinstance(o, str) else o for o in order])
-    chosen = df.groupBy(*keys).agg(pick(F.struct(*rest), place).alias("_row"))
+def _one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], last: bool) -> DataFrame:
+    """Least or greatest (order, row) struct per key; the order columns decide first."""
+    place = [o for o in order if o not in keys]
+    rest = [c for c in df.columns if c not in keys and c not in place]
+    pick = F.max if last else F.min
+    chosen = df.groupBy(*keys).agg(pick(F.struct(*place, *rest)).alias("_row"))
     return chosen.select(*[c if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
 
 
-def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
+def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The first row of each key in feed order. `order` must be unique within a key."""
     return _one_per_key(df, keys, order, last=False)
 
 
-def last_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
+def last_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     return _one_per_key(df, keys, order, last=True)
 
 
@@ -33,7 +34,7 @@ def insert_ignore(
     target: DataFrame,
     new: DataFrame,
     key: str,
-    order: Sequence[Column | str],
+    order: Sequence[str],
     required: Sequence[str] = (),
 ) -> DataFrame:
     """Rows to append: first per key, keys the target lacks, required columns present.
@@ -54,7 +55,7 @@ def loaded_ignore(target: DataFrame, new: DataFrame, key: str, order, required=(
                               allowMissingColumns=True)
 
 
-def replace_rows(target: DataFrame, new: DataFrame, key: str, order: Sequence[Column | str]) -> DataFrame:
+def replace_rows(target: DataFrame, new: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     """Insert or replace by key; the last new row of a key wins."""
     latest = last_per_key(new, [key], order)
     kept = target.join(latest.select(key), key, "left_anti").select(*target.columns)

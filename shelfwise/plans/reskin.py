@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.functions import keys, price, text, url
+from shelfwise.operators.loading import last_per_key
 from shelfwise.session import table
 
 RUN_TIME = "2024-01-01 00:00:00"
@@ -67,10 +68,13 @@ LATEST_ORDER = ["scraped_at", "run_no", "line_no"]
 LISTING = ["competitor_id", "product_no"]
 
 
-def latest(snaps: DataFrame) -> DataFrame:
-    """Latest snapshot per listing, reduced before the shuffle."""
-    from shelfwise.operators.loading import last_per_key
+def latest(snaps: DataFrame, *values: str) -> DataFrame:
+    """Latest snapshot per listing, reduced before the shuffle.
 
+    Naming the values needed keeps the other columns out of scan and shuffle.
+    """
+    if values:
+        snaps = snaps.select(*LISTING, *LATEST_ORDER, *values)
     return last_per_key(snaps, LISTING, LATEST_ORDER)
 
 
