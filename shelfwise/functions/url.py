@@ -97,7 +97,7 @@ def _without_tracking(p: Column, shop: str) -> Column:
         kept = F.filter(
             pairs,
             lambda q: ~F.lower(q["k"]).isin(drop) & ~F.startswith(F.lower(q["k"]), F.lit(prefix)))
-        where = F.regexp_replace(p["path"], r"(?:;[^/]*)?/*$", "")
+        where = F.regexp_replace(F.regexp_replace(p["path"], r";[^/]*$", ""), r"/+$", "")
     else:
         key = (lambda k: k) if shop == "bol" else F.lower
         kept = bind(
