@@ -56,8 +56,9 @@ def link_reach(spark, d):
     WHERE regexp_extract(url, '^(https?://[^/?#]*)', 1) || replace(h, '&amp;', '&') NOT IN (SELECT url FROM pages)""")
 def link_reach_pages(spark, d):
     """Everything the given pages link to, from all of them as seeds."""
-    pages = table(spark, d, "pages")
-    return links.reach(links.page_links(pages).select("from_url", "to_url"), pages.select("url"), 2)
+    pages = spread(table(spark, d, "pages"))
+    found = materialise(links.page_links(pages).select("from_url", "to_url"), "links")
+    return links.reach(found, pages.select("url"), 2)
 
 
 _HUBS = [

@@ -8,9 +8,9 @@ from shelfwise import lexicon
 from shelfwise.catalog.registry import query
 from shelfwise.functions import keys
 from shelfwise.operators import integrity, loading, resolve
-from shelfwise.plans import normalise, reskin
-from shelfwise.session import table
-from shelfwise.sources import schema
+from shelfwise.plans import normalise, reskin, typed_feed
+from shelfwise.session import materialise, scratch_path, table
+from shelfwise.sources import feeds, schema
 
 _KEY = "('0x' || substr(md5({x}), 1, 12))::BIGINT"
 _URL = "'https://shop' || l_suppkey || '.example.com/p/' || l_partkey"
@@ -186,7 +186,7 @@ def not_null_violations(spark, d):
       ('foreign productmatch.listing_id'), ('foreign review.listing_id')) t(c)""")
 def model_constraints(spark, d):
     """Every constraint holds on the tables normalised from the wide records."""
-    parts = normalise.split(reskin.wide_records(spark, d))
+    parts = {n: materialise(t, n) for n, t in normalise.split(reskin.wide_records(spark, d)).items()}
     tables = {
         "product": parts["product"].withColumn("product_id", F.col("product_key")),
         "productlisting": parts["productlisting"].withColumn("listing_id", F.col("listing_key")).drop("competitor_id"),
@@ -265,3 +265,61 @@ def wide_split_review(spark, d):
 def wide_split_match(spark, d):
     return normalise.split(reskin.wide_records(spark, d))["productmatch"].withColumn(
         "match_score", F.col("match_score").cast("double"))
+
+
+def _typed_tables(spark, d):
+    """The typed feed of one shop, split by type in one pass and loaded."""
+    path = scratch_path(spark, "typed")
+    feeds.route(reskin.typed_feed(spark, d), path)
+    feed = spark.read.schema(reskin.typed_feed_schema()).parquet(path)
+    return typed_feed.load(feed, 2, reskin.RUN_TIME)
+
+
+@query("typed_load_products", """
+    SELECT p_partkey AS product_key, p_name AS canonical_name, p_brand AS brand, p_type AS model FROM part WHERE p_partkey % 10 <> 0""")
+def typed_load_products(spark, d):
+    """Repeated products keep their first record; products without a name are not loaded."""
+    return _typed_tables(spark, d)["product"].select("product_key", "canonical_name", "brand", "model")
+
+
+@query("typed_load_listings", f"""
+    SELECT DISTINCT {_KEY.format(x=_URL)} AS listing_id, 2 AS competitor_id, {_URL} AS product_url,
+      CASE WHEN p_partkey % 4 = 0 THEN NULL ELSE {_KEY.format(x="p_type")} END AS category_id
+    FROM lineitem JOIN part ON p_partkey = l_partkey WHERE l_partkey % 7 <> 0""")
+def typed_load_listings(spark, d):
+    return _typed_tables(spark, d)["productlisting"].select("listing_id", "competitor_id", "product_url", "category_id")
+
+
+@query("typed_load_prices", f"""
+    SELECT {_KEY.format(x=_URL)} AS listing_id, l_orderkey AS scrape_run_id, epoch(l_shipdate)::BIGINT AS scraped_at,
+      CAST(round(l_extendedprice * 100) AS BIGINT)::DOUBLE / 100 AS base_price
+    FROM lineitem WHERE l_partkey % 7 <> 0 AND l_orderkey % 5 <> 0""")
+def typed_load_prices(spark, d):
+    """Price rows whose listing or run is not in the feed are dropped."""
+    return _typed_tables(spark, d)["pricesnapshot"].select(
+        "listing_id", "scrape_run_id", F.unix_seconds("scraped_at").alias("scraped_at"), F.col("base_price").cast("double").alias("base_price"))
+
+
+@query("typed_load_counts", f"""
+    WITH l AS (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem WHERE l_partkey % 7 <> 0)
+    SELECT 'scraperun' AS table_name, count(*) AS n_rows FROM orders WHERE o_orderkey % 5 <> 0
+    UNION ALL SELECT 'category', count(DISTINCT p_type) FROM part UNION ALL SELECT 'product', count(*) FROM part WHERE p_partkey % 10 <> 0
+    UNION ALL SELECT 'productlisting', count(*) FROM l UNION ALL SELECT 'pricesnapshot', count(*) FROM lineitem WHERE l_partkey % 7 <> 0 AND l_orderkey % 5 <> 0
+    UNION ALL SELECT 'review', count(*) FROM lineitem WHERE l_partkey % 7 <> 0 AND l_linenumber % 3 = 0
+    UNION ALL SELECT 'productmatch', count(*) FROM l WHERE l_partkey % 10 <> 0
+    UNION ALL SELECT 'customer_service', count(*) FROM supplier UNION ALL SELECT 'expert_support', count(*) FROM supplier""")
+def typed_load_counts(spark, d):
+    from shelfwise.plans import compare
+
+    return compare.table_counts(_typed_tables(spark, d))
+
+
+@query("typed_load_service", f"""
+    SELECT s_suppkey::INT AS cooling_off_days, CASE WHEN s_suppkey % 2 = 0 THEN 1 END AS free_returns,
+      CASE WHEN s_suppkey % 3 <> 2 AND EXISTS (SELECT 1 FROM lineitem WHERE l_suppkey = s_suppkey AND l_partkey = s_suppkey AND l_partkey % 7 <> 0)
+        THEN {_KEY.format(x="'https://shop' || s_suppkey || '.example.com/p/' || s_suppkey")} END AS listing_id
+    FROM supplier""")
+def typed_load_service(spark, d):
+    """Service rows find their listing by key; rows without one, or with an unknown one, stay."""
+    t = _typed_tables(spark, d)["customer_service"]
+    return t.select("cooling_off_days", F.col("free_returns").cast("int").alias("free_returns"), "listing_id")

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from shelfwise.session import materialise
+
 # Prices fall into buckets of this many cents; a group has at most this many in one bucket.
 MEDIAN_BUCKET = 10_000
 
@@ -54,7 +56,8 @@ def price_stats(latest: DataFrame, products: DataFrame, group: str) -> DataFrame
     """Min, max, mean and median price per group, e.g. brand or category."""
     rows = latest.join(products, latest.product_no == products.p_partkey).select(
         F.col(group).alias("grp"), F.col("current_cents").alias("cents"))
-    counts = rows.groupBy("grp", "cents").agg(F.count("*").alias("n"))
+    # The histogram is read three times; it is far smaller than the prices it sums up.
+    counts = materialise(rows.groupBy("grp", "cents").agg(F.count("*").alias("n")), "prices")
     basic = counts.groupBy("grp").agg(
         F.sum("n").alias("n_prices"), F.min("cents").alias("min_cents"), F.max("cents").alias("max_cents"),
         F.sum(F.col("cents") * F.col("n")).alias("sum_cents"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from shelfwise.functions import keys, price, text, url
 from shelfwise.operators.loading import last_per_key
 from shelfwise.session import table
+from shelfwise.sources.schema import empty, feed_schema
 
 RUN_TIME = "2024-01-01 00:00:00"
 
@@ -119,3 +120,51 @@ def categories(spark: SparkSession, d: str) -> DataFrame:
         "name", "pos", keys.md5_key(F.col("path")).alias("category_key"),
         keys.md5_key(F.col("path")).alias("category_id"),
         keys.md5_key(F.col("parent_name")).alias("parent_key"))
+
+
+def typed_feed_schema():
+    return feed_schema().add("pos", "long")
+
+
+def typed_feed(spark: SparkSession, d: str) -> DataFrame:
+    """The given tables as a feed of normalised records, with repeats, gaps and dangling keys.
+
+    Every fifth run and the listings of every seventh part are missing, every tenth product
+    has no name, and every product comes a second time under another name.
+    """
+    c = F.col
+    li, part = table(spark, d, "lineitem"), table(spark, d, "part")
+    key = keys.md5_key(listing_url(c("l_suppkey"), c("l_partkey")))
+    iso = lambda t: F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss+00:00")
+    line_pos = c("l_orderkey") * 16 + c("l_linenumber")
+    pairs = li.select("l_suppkey", "l_partkey").distinct()
+    typed = {
+        "SCRAPERUN": table(spark, d, "orders").filter("o_orderkey % 5 <> 0").select(
+            c("o_orderkey").alias("scrape_run_key"), iso("o_orderdate").alias("started_at"), F.lit("abc").alias("git_commit_hash"),
+            c("o_orderkey").alias("pos")),
+        "CATEGORY": part.select(
+            c("p_type").alias("name"), keys.md5_key(c("p_type")).cast("string").alias("category_key"), c("p_partkey").alias("pos")),
+        "PRODUCT": part.withColumn("again", F.explode(F.array(F.lit(0), F.lit(1)))).select(
+            c("p_partkey").alias("product_key"),
+            F.when(c("p_partkey") % 10 != 0, F.concat("p_name", F.repeat(F.lit(" again"), c("again")))).alias("canonical_name"),
+            c("p_brand").alias("brand"), c("p_type").alias("model"), (c("p_partkey") * 2 + c("again")).alias("pos")),
+        "PRODUCTLISTING": pairs.filter("l_partkey % 7 <> 0").join(part, c("l_partkey") == c("p_partkey")).select(
+            key.alias("listing_key"), listing_url(c("l_suppkey"), c("l_partkey")).alias("product_url"), c("p_name").alias("title_on_page"),
+            F.when(c("p_partkey") % 4 != 0, keys.md5_key(c("p_type")).cast("string")).alias("category_key"), c("l_suppkey").alias("pos")),
+        "PRICESNAPSHOT": li.select(
+            key.alias("listing_key"), c("l_orderkey").alias("scrape_run_key"), iso("l_shipdate").alias("scraped_at"), F.lit("EUR").alias("currency"),
+            c("l_extendedprice").alias("base_price"), line_pos.alias("pos")),
+        "REVIEW": li.select(
+            key.alias("listing_key"), F.when(c("l_linenumber") % 3 == 0, "4.5").alias("rating_value"), F.lit(5).alias("rating_scale"), line_pos.alias("pos")),
+        "PRODUCTMATCH": pairs.select(
+            key.alias("listing_key"), c("l_partkey").alias("product_key"), F.lit("gtin").alias("match_method"), F.lit(1.0).alias("match_score")),
+        "CUSTOMER_SERVICE": table(spark, d, "supplier").select(
+            F.when(c("s_suppkey") % 3 != 2, keys.md5_key(listing_url(c("s_suppkey"), c("s_suppkey")))).alias("listing_key"),
+            c("s_suppkey").cast("int").alias("cooling_off_days"), F.when(c("s_suppkey") % 2 == 0, True).alias("free_returns"), c("s_suppkey").alias("pos")),
+        "EXPERT_SUPPORT": table(spark, d, "supplier").select(
+            c("s_name").alias("source_url"), F.lit(False).alias("in_store_support"), c("s_suppkey").alias("pos")),
+    }
+    feed = empty(spark, typed_feed_schema())
+    for type_, rows in typed.items():
+        feed = feed.unionByName(rows.withColumn("type", F.lit(type_)), allowMissingColumns=True)
+    return feed
