@@ -38,9 +38,14 @@ def blank_to_null(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 
 
+def squeezed(c: Column) -> Column:
+    """Collapse all white space to one blank and trim."""
+    return F.trim(F.regexp_replace(c.cast("string"), _UNEVEN_SPACE, " "))
+
+
 def clean(c: Column) -> Column:
     """Collapse all white space to one blank, trim, empty becomes NULL."""
-    return blank_to_null(F.trim(F.regexp_replace(c.cast("string"), _UNEVEN_SPACE, " ")))
+    return blank_to_null(squeezed(c))
 
 
 def has_any(c: Column, words: list[str]) -> Column:

@@ -9,7 +9,7 @@ from shelfwise import lexicon
 from shelfwise.functions import html as H
 from shelfwise.functions import jsonld as L
 from shelfwise.functions import keys, url
-from shelfwise.functions.text import clean, has_any
+from shelfwise.functions.text import bind, has_any, squeezed
 
 
 def is_bad_html(html: Column) -> Column:
@@ -26,12 +26,13 @@ def is_shell(html: Column) -> Column:
 
 
 def is_blocked(html: Column, status: Column | None = None) -> Column:
-    title = H.leading_text(html, "title")
     size = F.octet_length(html)
+    by_title = bind(
+        H.leading_text(html, "title"),
+        lambda t: has_any(t, lexicon.BLOCK_TITLE_NEEDLES) | (t.isNull() & (size < 20000)))
     rules = (
-        has_any(title, lexicon.BLOCK_TITLE_NEEDLES)
+        by_title
         | (size < 5000)
-        | (title.isNull() & (size < 20000))
         | ((F.length(html) < 80000) & has_any(html, lexicon.BLOCK_BODY_NEEDLES))
     )
     if status is not None:
@@ -50,19 +51,22 @@ def without_dialog(c: Column) -> Column:
 
 def is_relevant(title: Column, page_url: Column) -> Column:
     """Is the item a microphone: excluded words, then included, then known lines, then url."""
-    t = F.coalesce(clean(title), F.lit(""))
-    return (
-        F.when(has_any(t, lexicon.IRRELEVANT_WORDS), False)
-        .when(has_any(t, lexicon.RELEVANT_WORDS), True)
-        .when(has_any(t, lexicon.KNOWN_LINES), True)
-        .otherwise(has_any(page_url, lexicon.RELEVANT_URL_PARTS))
-    )
+
+    def judged(t: Column) -> Column:
+        return (
+            F.when(has_any(t, lexicon.IRRELEVANT_WORDS), False)
+            .when(has_any(t, lexicon.RELEVANT_WORDS + lexicon.KNOWN_LINES), True)
+            .otherwise(has_any(page_url, lexicon.RELEVANT_URL_PARTS)))
+
+    # Bound, as a filter on this is pushed down with the whole title expression in it.
+    return bind(F.coalesce(squeezed(title), F.lit("")), judged)
 
 
 def has_allowed_crumb(crumb_urls: Column) -> Column:
     """Pages without category crumbs pass; with crumbs, one must be allowed."""
-    categories = F.filter(crumb_urls, lambda u: u.contains("/nl/nl/l/"))
-    return (F.size(categories) == 0) | F.exists(categories, url.is_microphone_category)
+    return bind(
+        F.filter(crumb_urls, lambda u: u.contains("/nl/nl/l/")),
+        lambda found: (F.size(found) == 0) | F.exists(found, url.is_microphone_category))
 
 
 _TILE = (
