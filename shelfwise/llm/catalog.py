@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.llm import language, mixing, urls
+from shelfwise.llm import language, mixing, packing, tokenstore, urls
 from shelfwise.llm.common import documents, prepared
 from shelfwise.session import table
 
@@ -59,6 +59,24 @@ FROM placed p JOIN goals g ON p.source IS NOT DISTINCT FROM g.source
 """
 
 
+def tokenizer(name: str) -> str:
+    """Place of a public vocabulary file; the folder is the installed package's."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op3_best_fit_packing")
+def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), tokenizer("word_bpe_49k.json"))
+
+
+@query("op7_token_store")
+def token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = tokenstore.write(documents(spark, sf_dir), tokenizer("byte_bpe_50k.json"))
+    return store.read(store.keys())
+
+
 @query("op6_source_mixing", MIX_SQL)
 def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir))
