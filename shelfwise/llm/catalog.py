@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.llm import language, mixing, packing, tokenstore, urls
+from shelfwise.llm import language, mixing, packing, simhash, syncmers, tokenstore, urls
 from shelfwise.llm.common import documents, prepared
 from shelfwise.session import table
 
@@ -82,6 +82,16 @@ def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir))
 
 
+@query("op8_closed_syncmers")
+def closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.compare(documents(spark, sf_dir))
+
+
+@query("op9_simhash_near_dedup")
+def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf_dir))
+
+
 @query("op10_url_filters")
 def url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"))
