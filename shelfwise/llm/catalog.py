@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.llm import language, mixing, packing, simhash, syncmers, tokenstore, urls
+from shelfwise.llm import language, mixing, packing, simhash, suffixtree, syncmers, tokenstore, urls
 from shelfwise.llm.common import documents, prepared
 from shelfwise.session import table
 
@@ -29,6 +29,11 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(documents(spark, sf_dir))
 
 
+@query("op4_suffix_tree_scores")
+def suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixtree.score(documents(spark, sf_dir))
+
+
 MIX_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
