@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.llm import language, mixing, packing, simhash, suffixtree, syncmers, tokenstore, urls
+from shelfwise.llm import language, mixing, nndescent, packing, simhash, suffixtree, syncmers, tokencount, tokenstore, urls
 from shelfwise.llm.common import documents, prepared
 from shelfwise.session import table
 
@@ -64,6 +64,30 @@ FROM placed p JOIN goals g ON p.source IS NOT DISTINCT FROM g.source
 """
 
 
+VECTORS_SQL = """
+WITH RECURSIVE valid AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM valid a JOIN valid b
+    ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reached AS (
+  SELECT vec_id, vec_id AS other FROM embeddings
+  UNION SELECT r.vec_id, l.b FROM reached r JOIN links l ON r.other = l.a)
+SELECT r.vec_id, (SELECT count(*) FROM links l WHERE l.a = r.vec_id) AS n_links,
+  min(r.other) AS component_id, r.vec_id = min(r.other) AS kept
+FROM reached r GROUP BY r.vec_id
+"""
+
+
+@query("op5_nn_descent", VECTORS_SQL)
+def nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nndescent.link(table(spark, sf_dir, "embeddings"))
+
+
 def tokenizer(name: str) -> str:
     """Place of a public vocabulary file; the folder is the installed package's."""
     import public_tokenizers
@@ -71,6 +95,13 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query("op2_token_counts")
+def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return tokencount.count_tokens(documents(spark, sf_dir), tokenizer("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 @query("op3_best_fit_packing")
 def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), tokenizer("word_bpe_49k.json"))
