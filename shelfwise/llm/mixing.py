@@ -89,5 +89,5 @@ def emit(docs: DataFrame, **options) -> DataFrame:
     numbered = docs.withColumn("_mix_row", F.monotonically_increasing_id())
     copies = mix(numbered.select("_mix_row", "text", "source"), key="_mix_row", **options).where("copies > 0")
     return (
-        numbered.join(copies.select("_mix_row", "copies"), "_mix_row")
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns))
+        numbered.join(copies.select("_mix_row", F.col("copies").alias("_mix_copies")), "_mix_row")
+        .withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_copies")))).select(*docs.columns))
