@@ -14,12 +14,14 @@ from functools import lru_cache
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
-PLAIN = re.compile(rf"( ?)([{LATIN}]+)([.,;:!?]*)")
-CHUNK = re.compile(r" ?[^ \n]+|[ \n]")
+LATIN, MARKS = "A-Za-zÀ-ÖØ-öø-ÿ", ".,;:!?"
+# Letters up to white space or a mark, marks up to white space, else all up to white space.
+BYTE_PIECES = re.compile(rf" ?[{LATIN}]+(?![^ \n{MARKS}])|[{MARKS}]+(?![^ \n])| ?[^ \n]+|[ \n]")
+WORD_PIECES = re.compile(rf"[{LATIN}]+(?![^\s{MARKS}])|[{MARKS}]+(?!\S)|\S+")
+PLAIN = re.compile(rf" ?[{LATIN}]+|[{MARKS}]+")
 DOUBTFUL = re.compile(r"\s\s")
 SEPARATORS = re.compile(r"[\x1c-\x1f]")
-MOST_PIECES = 400_000
+MOST_PIECES = 600_000
 
 
 def byte_letters() -> list[str]:
@@ -29,6 +31,17 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in prints else chr(next(others)) for b in range(256)]
 
 
+class Kept(dict):
+    """Ids of pieces already seen; others are looked up in the older half, else made."""
+
+    def __init__(self, older: dict[str, bytes], make):
+        self.older, self.make = older, make
+
+    def __missing__(self, piece: str) -> bytes:
+        got = self[piece] = self.older.get(piece) or self.make(piece)
+        return got
+
+
 class Encoder:
     """ids(text) gives little-endian unsigned 32-bit ids as bytes."""
 
@@ -40,8 +53,7 @@ class Encoder:
         self.model, self.most = self.tokenizer.model, most
         self.four = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
         self.letters = byte_letters()
-        self.pieces: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.pieces = Kept({}, self.piece)
         with open(path, encoding="utf-8") as f:
             made = json.load(f)
         first = (made["pre_tokenizer"] or {}).get("pretokenizers", [made["pre_tokenizer"] or {}])[0]
@@ -62,40 +74,26 @@ class Encoder:
         if not text:
             return b""
         if self.kind == "words" and not SEPARATORS.search(text):
-            chunks = text.split()
+            chunks = WORD_PIECES.findall(text)
         elif self.kind == "bytes" and not DOUBTFUL.search(text):
-            chunks = CHUNK.findall(text)
+            chunks = BYTE_PIECES.findall(text)
         else:
             return self.whole(text)
-        if len(self.pieces) > self.most:
-            self.pieces.clear()
-        pieces = self.pieces
-        out = []
-        for chunk in chunks:
-            got = pieces.get(chunk)
-            if got is None:
-                got = pieces[chunk] = self.piece(chunk)
-            out.append(got)
-        return b"".join(out)
+        if len(self.pieces) > self.most:  # pieces in use come back from the older half
+            self.pieces = Kept(dict(self.pieces), self.piece)
+        return b"".join(map(self.pieces.__getitem__, chunks))
 
     def piece(self, chunk: str) -> bytes:
-        """One chunk: letters with final punctuation go to the merges directly."""
-        plain = PLAIN.fullmatch(chunk)
-        if not plain:
+        """Letters or marks alone are one pre-token, which the merges take directly."""
+        if not PLAIN.fullmatch(chunk):
             return self.whole(chunk)
-        lead, word, tail = plain.groups()
         if self.kind == "words":
-            lead, word = "", word.lower()
-        return self.word(lead + word) + (self.word(tail) if tail else b"")
-
-    def word(self, word: str) -> bytes:
-        got = self.words.get(word)
-        if got is None:
-            if len(self.words) > self.most:
-                self.words.clear()
-            mapped = "".join([self.letters[b] for b in word.encode()])
-            got = self.words[word] = self.join([t.id for t in self.model.tokenize(mapped)])
-        return got
+            chunk = chunk.lower()
+        if chunk.isascii():
+            mapped = chunk.replace(" ", self.letters[32])
+        else:
+            mapped = "".join([self.letters[b] for b in chunk.encode()])
+        return self.join([t.id for t in self.model.tokenize(mapped)])
 
 
 @lru_cache(2)
