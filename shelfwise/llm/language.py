@@ -28,6 +28,8 @@ from shelfwise.session import materialise
 
 PROFILE = 400
 UNKNOWN = "und"
+# Stands for what is between words; not 0, so that longer n-grams are larger numbers.
+PAD = 1
 # A mistake in the data should not make a profile of each row: more languages are refused.
 MOST_LANGUAGES = 2_000
 
@@ -45,17 +47,17 @@ def letter_table() -> np.ndarray:
 def grams(text: str) -> tuple[np.ndarray, np.ndarray]:
     """The n-grams of a text as sorted numbers, and how often each occurs."""
     codes = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-    codes = np.where(letter_table()[codes], codes, 0)
-    codes = np.concatenate(([0], codes, [0])).astype(np.uint64)
+    codes = np.where(letter_table()[codes], codes, PAD)
+    codes = np.concatenate(([PAD], codes, [PAD])).astype(np.uint64)
     keep = np.ones(len(codes), bool)
-    keep[1:] = (codes[1:] != 0) | (codes[:-1] != 0)
+    keep[1:] = (codes[1:] != PAD) | (codes[:-1] != PAD)
     codes = codes[keep]
     if len(codes) < 3:
         return np.empty(0, np.uint64), np.empty(0, np.int64)
     pairs = codes[:-1] << np.uint64(21) | codes[1:]
     triples = codes[:-2] << np.uint64(42) | pairs[1:]
     return np.unique(
-        np.concatenate((codes[codes != 0], pairs, triples[codes[1:-1] != 0])), return_counts=True)
+        np.concatenate((codes[codes != PAD], pairs, triples[codes[1:-1] != PAD])), return_counts=True)
 
 
 def top(numbers: np.ndarray, counts: np.ndarray, size: int) -> np.ndarray:

@@ -36,6 +36,8 @@ SEED = 42
 MOST = 2
 # A group with more members gets lower nodes.
 GROUP = 50_000
+# A node with so few free bits is not split further: it has 2 ** 20 members at most.
+LEAST_FREE = 20
 FAN = 8
 CHUNK = 4096
 
@@ -194,7 +196,7 @@ def links(fps: DataFrame, most: int = MOST, group: int = GROUP) -> DataFrame:
         masks = [m for mask in masks for m in split_bits(mask, most + 1)]
         rows = materialise(rows, "simhash-nodes")
         full = materialise(rows.groupBy("mask", "value").count().where(F.col("count") > group).drop("count"), "simhash-full")
-        splits = any(bin(m).count("1") + most + 1 <= BITS for m in masks)
+        splits = all(BITS - bin(m).count("1") > LEAST_FREE for m in masks)
         crowded = splits and full.limit(1).count() > 0
         fit = rows.join(full, ["mask", "value"], "left_anti") if crowded else rows
         here = (fit.select("mask", "value", "fp").repartition("mask", "value").sortWithinPartitions("mask", "value")
@@ -222,13 +224,17 @@ def hex_of(fp: Column) -> Column:
 def near_duplicates(docs: DataFrame, most: int = MOST) -> DataFrame:
     """documents -> doc_id, fingerprint, component_id."""
     rows = materialise(grouped(docs.select(F.col("doc_id").cast("long"), "text"), ["doc_id"], most), "simhash-roots")
-    least = rows.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    # stored, so that a hot group of the join can be split
+    least = materialise(rows.groupBy("root").agg(F.min("doc_id").alias("component_id")), "simhash-least")
     return rows.join(least, "root").select("doc_id", hex_of(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-def one_of_each(docs: DataFrame, most: int = MOST) -> DataFrame:
-    """The rows of docs, whole: of each group the one with the smallest doc_id, the first if repeated."""
-    numbered = docs.withColumn("_simhash_row", F.monotonically_increasing_id())
+def one_of_each(docs: DataFrame, most: int = MOST, stored: bool = False) -> DataFrame:
+    """The rows of docs, whole: of each group the one with the smallest doc_id, the first if repeated.
+
+    Rows are numbered and read twice; what is not a `stored` table is written first.
+    """
+    numbered = (docs if stored else materialise(docs, "simhash-docs")).withColumn("_simhash_row", F.monotonically_increasing_id())
     rows = materialise(grouped(numbered.select("doc_id", "_simhash_row", "text"), ["doc_id", "_simhash_row"], most), "simhash-roots")
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("_simhash_row"))
     kept = rows.groupBy("root").agg(F.min(order).getField("_simhash_row").alias("_kept"))
