@@ -58,7 +58,7 @@ def link_reach_pages(spark, d):
     """Everything the given pages link to, from all of them as seeds."""
     pages = spread(table(spark, d, "pages"))
     found = materialise(links.page_links(pages).select("from_url", "to_url"), "links")
-    return links.reach(found, pages.select("url"), 2)
+    return links.reach(found, pages.select("url"))
 
 
 _HUBS = [

@@ -93,18 +93,29 @@ def page_links(spark, d):
     return links.page_links(spread(table(spark, d, "pages")))
 
 
+_QUALITY_HTML = "html || CASE WHEN page_id % 5 = 1 THEN repeat('<p>x</p>', 12000) || 'captcha' ELSE '' END"
+
+
 @query("page_quality", f"""
-    SELECT page_id, (strlen(html) < 800 OR regexp_matches(lower(substr(html, 1, 5000)), '{sql_words(lexicon.BLOCK_NEEDLES)}'))::INT AS bad_html,
-      (regexp_matches(lower(html), '{sql_words(lexicon.SHELL_MARKERS)}') OR length(html) < 20000)::INT AS shell,
-      (page_id % 50 = 3 OR strlen(html) < 5000 OR (length(html) < 80000 AND regexp_matches(lower(html), '{sql_words(lexicon.BLOCK_BODY_NEEDLES)}'))
-        OR regexp_matches(lower(regexp_extract(html, '(?is)<title[^>]*>([^<]*)', 1)), '{sql_words(lexicon.BLOCK_TITLE_NEEDLES)}'))::INT AS blocked
-    FROM pages""")
+    WITH p AS (SELECT page_id, {_QUALITY_HTML} AS html FROM pages),
+    q AS (SELECT page_id, html, regexp_matches(lower(html), '{sql_words(lexicon.BLOCK_NEEDLES)}') AS notice,
+      regexp_matches(lower(html), '{sql_words(lexicon.SHELL_MARKERS)}') AS marked,
+      page_id % 50 = 3 OR regexp_matches(lower(html), '{sql_words(lexicon.BLOCK_BODY_NEEDLES)}')
+        OR regexp_matches(lower(regexp_extract(html, '(?is)<title[^>]*>([^<]*)', 1)), '{sql_words(lexicon.BLOCK_TITLE_NEEDLES)}') AS refused FROM p)
+    SELECT page_id, notice::INT AS bad_html, marked::INT AS shell, refused::INT AS blocked,
+      (notice OR strlen(html) < 800)::INT AS bad_or_short, (marked OR length(html) < 4000)::INT AS shell_or_short,
+      (refused OR strlen(html) < 5000)::INT AS blocked_or_short
+    FROM q""")
 def page_quality(spark, d):
-    h = F.col("html")
-    status = F.when(F.col("page_id") % 50 == 3, 429).otherwise(200)
-    return spread(table(spark, d, "pages")).select(
+    """Needles are found wherever they stand; every fifth page has one behind a long text."""
+    h, n = F.col("html"), F.col("page_id")
+    status = F.when(n % 50 == 3, 429).otherwise(200)
+    long = F.when(n % 5 == 1, F.concat(h, F.repeat(F.lit("<p>x</p>"), F.lit(12000)), F.lit("captcha"))).otherwise(h)
+    return spread(table(spark, d, "pages")).select("page_id", long.alias("html")).select(
         "page_id", classify.is_bad_html(h).cast("int").alias("bad_html"), classify.is_shell(h).cast("int").alias("shell"),
-        classify.is_blocked(h, status).cast("int").alias("blocked"))
+        classify.is_blocked(h, status).cast("int").alias("blocked"), classify.is_bad_html(h, 800).cast("int").alias("bad_or_short"),
+        classify.is_shell(h, 4000).cast("int").alias("shell_or_short"),
+        classify.is_blocked(h, status, 5000, 20000).cast("int").alias("blocked_or_short"))
 
 
 @query("consent_filter", f"""

@@ -191,7 +191,8 @@ def discount_calc(spark, d):
 def price_label(spark, d):
     c = F.col("c")
     p = (c / F.lit(100).cast("decimal(3,0)")).cast(price.MONEY)
-    scripts = F.array(F.lit("var a = 1;"), F.concat(F.lit('{"sku": "x", "price" : "'), _whole(c), F.lit(","), _frac(c), F.lit('"}')))
+    priced = F.concat(F.lit('{"sku": "x", "price" : "'), _whole(c), F.lit(","), _frac(c), F.lit('"}'))
+    scripts = F.concat(F.array_repeat(F.lit("var a = 1;"), F.col("k").cast("int") * 20), F.array(priced))  # up to 80 before it
     return _lines(spark, d).select(
         *_KEYS, price.price_label(p).alias("label"), price.embedded_price(scripts).alias("embedded"))
 
@@ -199,7 +200,7 @@ def price_label(spark, d):
 @query("stock_infer", f"""{_LI_SQL}
     SELECT {_KEYS_SQL},
       CASE k WHEN 0 THEN 1 WHEN 1 THEN 0 WHEN 2 THEN 0 WHEN 3 THEN 1 END AS by_text_bol,
-      CASE k WHEN 0 THEN 1 WHEN 1 THEN 1 WHEN 2 THEN 0 WHEN 3 THEN 1 END AS by_text_bax,
+      CASE k WHEN 0 THEN 1 WHEN 1 THEN 0 WHEN 2 THEN 0 WHEN 3 THEN 1 END AS by_text_bax,
       CASE k WHEN 0 THEN 1 WHEN 1 THEN 0 WHEN 2 THEN 0 END AS by_text_thomann,
       CASE l_returnflag WHEN 'R' THEN 0 WHEN 'A' THEN 1 END AS ld_bol,
       CASE l_returnflag WHEN 'A' THEN 1 ELSE 0 END AS ld_other,
@@ -220,19 +221,19 @@ def stock_infer(spark, d):
 @query("stock_badge", f"""{_LI_SQL}
     SELECT {_KEYS_SQL}, CASE k WHEN 0 THEN 1 WHEN 1 THEN 0 WHEN 2 THEN 1 WHEN 3 THEN NULL
       ELSE CASE l_returnflag WHEN 'R' THEN 0 WHEN 'A' THEN 1 END END AS in_stock,
-      CASE k WHEN 4 THEN NULL WHEN 0 THEN 'leverbaar over ' || repeat('x', 65) ELSE 'Direct leverbaar ' || k END AS status
+      CASE k WHEN 4 THEN NULL WHEN 0 THEN 'leverbaar over ' || repeat('x', 12000) ELSE 'Direct leverbaar ' || k END AS status
     FROM li""")
 def stock_badge(spark, d):
     k = F.col("k")
     css = _by_k(F.lit("fx-availability fx-availability--in-stock"), F.lit("fx-availability out-of-stock"),
                 F.lit("fx-availability"), F.lit("fx-availability"), F.lit(None).cast("string"))
-    badge = _by_k(F.concat(F.lit(" leverbaar over "), F.repeat(F.lit("x"), F.lit(90))), F.concat(F.lit("Direct leverbaar "), k),
+    badge = _by_k(F.concat(F.lit(" leverbaar over "), F.repeat(F.lit("x"), F.lit(12000))), F.concat(F.lit("Direct leverbaar "), k),
                   F.concat(F.lit("Direct leverbaar "), k), F.lit("Op aanvraag"), F.lit(" "))
     link = F.when(F.col("l_returnflag") == "R", "https://schema.org/OutOfStock").when(
         F.col("l_returnflag") == "A", "https://schema.org/InStock")
     text = F.when(k == 3, F.lit("Direct leverbaar 3")).otherwise(badge)
     return _lines(spark, d).select(
-        *_KEYS, stock.from_badge(css, badge, link).cast("int").alias("in_stock"), stock.status_short(text).alias("status"))
+        *_KEYS, stock.from_badge(css, badge, link).cast("int").alias("in_stock"), stock.status_text(text).alias("status"))
 
 
 @query("rating_clean", f"""{_LI_SQL}

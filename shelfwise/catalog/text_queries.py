@@ -186,18 +186,18 @@ def title_suffix(spark, d):
 
 @query("first_text", """
     SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 'first ' || page_id ELSE 'second' END AS first_one,
-      rtrim(substr('a ' || page_id || ' b', 1, 4)) AS joined FROM pages""")
+      'a ' || page_id || ' b' AS joined FROM pages""")
 def first_text(spark, d):
     n = F.col("page_id")
     a = F.when(n % 3 == 0, F.concat(F.lit(" first  "), n)).when(n % 3 == 1, F.lit("  "))
     parts = F.array(F.lit("a"), F.lit(" "), n.cast("string"), F.lit(""), F.lit("b"))
     return table(spark, d, "pages").select(
-        "page_id", text.first_text(a, F.lit("second")).alias("first_one"), text.joined_text(parts, 4).alias("joined"))
+        "page_id", text.first_text(a, F.lit("second")).alias("first_one"), text.joined_text(parts).alias("joined"))
 
 
 @query("falsy_fallback", """
     SELECT event_id, CASE event_id % 3 WHEN 0 THEN event_type WHEN 1 THEN 'b' ELSE 'b' END AS txt,
-      CASE WHEN event_id % 4 = 0 THEN 7.0 ELSE value END::DOUBLE AS num,
+      CASE WHEN event_id % 4 = 0 OR value = 0 THEN 7.0 ELSE value END::DOUBLE AS num,
       CASE WHEN event_id % 3 = 2 THEN 'b' WHEN event_id % 3 = 1 THEN '' ELSE event_type END AS null_only
     FROM events""")
 def falsy_fallback(spark, d):
@@ -206,7 +206,7 @@ def falsy_fallback(spark, d):
     n = F.when(F.col("event_id") % 4 == 0, F.lit(0.0)).otherwise(F.col("value"))
     return table(spark, d, "events").select(
         "event_id", text.first_nonblank(a, F.lit("b")).alias("txt"),
-        F.when(F.col("value") == 0, n).otherwise(text.first_nonzero(n, F.lit(7.0))).alias("num"),
+        text.first_nonzero(n, F.lit(7.0)).alias("num"),
         F.coalesce(a, F.lit("b")).alias("null_only"))
 
 

@@ -189,11 +189,11 @@ def url_breadcrumbs(spark, d):
     WITH p AS (SELECT page_id, url, regexp_extract(url, '^[^?#]*') AS head, regexp_extract(url, '\?([^#]*)', 1) AS q FROM pages)
     SELECT page_id, CASE WHEN q LIKE 'page=%' THEN head || '?page=3&ref=x' END AS next_bax,
       head || '?' || CASE WHEN q LIKE 'page=%' THEN 'page=3&ref=x' WHEN q <> '' THEN q || '&page=2' ELSE 'page=2' END AS next_bol,
-      NULL::VARCHAR AS beyond_last
+      regexp_extract(url, '^[^?#]*') || '?page=121' AS after_120, NULL::VARCHAR AS beyond_last
     FROM p""")
 def url_next_page(spark, d):
     u = F.col("url")
     last = F.concat(F.regexp_replace(u, r"[?#].*$", ""), F.lit("?page=120"))
     return table(spark, d, "pages").select(
         "page_id", url.next_page(u, "bax").alias("next_bax"), url.next_page(u, "bol").alias("next_bol"),
-        url.next_page(last, "bol").alias("beyond_last"))
+        url.next_page(last, "bol").alias("after_120"), url.next_page(last, "bol", 120).alias("beyond_last"))

@@ -136,8 +136,8 @@ def price_label(p: Column) -> Column:
 
 
 def embedded_price(scripts: Column) -> Column:
-    """`"price": n` in the first twelve scripts."""
-    blob = F.array_join(F.slice(scripts, 1, 12), " ")
+    """`"price": n` in any script, the first in page order."""
+    blob = F.array_join(scripts, " ")
     return parse_first(first_group(blob, r'"price"\s*:\s*"?(\d+(?:[.,]\d{1,2})?)"?'))
 
 

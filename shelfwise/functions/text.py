@@ -81,10 +81,10 @@ def first_text(*cols: Column) -> Column:
     return F.coalesce(*[clean(c) for c in cols])
 
 
-def joined_text(parts: Column, limit: int) -> Column:
-    """Non-blank parts joined by a blank, cut at `limit` characters, cleaned."""
+def joined_text(parts: Column) -> Column:
+    """Non-blank parts joined by a blank, cleaned."""
     kept = F.filter(parts, lambda p: clean(p).isNotNull())
-    return clean(F.substring(F.array_join(kept, " "), 1, limit))
+    return clean(F.array_join(kept, " "))
 
 
 def slug_label(c: Column) -> Column:

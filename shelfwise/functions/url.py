@@ -284,8 +284,11 @@ def _folders_above(u: Column, segs: Column) -> Column:
         F.array().cast("array<struct<name:string,url:string>>"))
 
 
-def next_page(u: Column, shop: str, last_page: int = 120) -> Column:
-    """Url of the following page; one shop only continues an existing page number."""
+def next_page(u: Column, shop: str, last_page: int | None = None) -> Column:
+    """Url of the following page; one shop only continues an existing page number.
+
+    `last_page`: no page follows this one, if the caller sets an end.
+    """
     pairs = grouped_pairs(F.filter(query_pairs(query(u)), lambda p: p["v"] != ""))
     shown = F.get(F.filter(pairs, lambda p: p["k"] == "page"), F.lit(0))["v"].try_cast("bigint")
     has_page = F.exists(pairs, lambda p: p["k"] == "page")
@@ -300,7 +303,8 @@ def next_page(u: Column, shop: str, last_page: int = 120) -> Column:
             shown.isNotNull(),
             build(scheme(u), host(u), path(u), with_page(shown + 1), fragment(u)))
     n = F.when(has_page, shown).otherwise(F.lit(1))
-    return F.when(n < last_page, build(scheme(u), host(u), path(u), with_page(n + 1), F.lit("")))
+    following = build(scheme(u), host(u), path(u), with_page(n + 1), F.lit(""))
+    return following if last_page is None else F.when(n < last_page, following)
 
 
 # ---- subcategory links ---------------------------------------------------

@@ -73,7 +73,6 @@ ACCESSORY_SEGMENTS = [
     "microfoon-opbergtassen-hoezen",
     "microfoon-overige-onderdelen",
     "microfoon-popfilters",
-    "microfoon-reflectiefilter",
     "microfoon-riemen-houders",
     "microfoon-schroefdraadadapters",
     "microfoon-shockmounts",
@@ -86,6 +85,7 @@ ACCESSORY_SEGMENTS = [
     "tablet-smartphone-houder",
     "vlog-microfoons-en-toebehoren",
     "windkappen",
+    "microfoon-reflectiefilter",
 ]
 
 # Path segments that never lead to a product.
@@ -121,13 +121,13 @@ BOL_CATEGORY_ALLOWED = [
     "microfoon-opnameset",
 ]
 BOL_CATEGORY_EXCLUDED = [
-    "accessoire", "accessoires", "accu", "booster", "boosters", "capsule",
-    "capsules", "clip", "clips", "flightcase", "flightcases", "hoezen", "kabel",
-    "kabels", "klem", "klemmen", "lader", "laders", "onderdeel", "onderdelen",
-    "opbergtassen", "pistoolgreep", "pistoolgrepen", "popfilter", "popfilters",
-    "reflectiefilter", "reflectiefilters", "shockmount", "shockmounts", "statief",
-    "statieven", "toebehoren", "vocal-effect", "vocal-effecten", "voorversterker",
-    "voorversterkers", "windkap", "windkappen",
+    "accessoire", "accessoires", "toebehoren", "onderdeel", "onderdelen",
+    "statieven", "statief", "kabel", "kabels", "clip", "clips", "klem", "klemmen",
+    "windkap", "windkappen", "popfilter", "popfilters", "capsule", "capsules",
+    "shockmount", "shockmounts", "pistoolgreep", "pistoolgrepen", "opbergtassen",
+    "hoezen", "flightcase", "flightcases", "accu", "lader", "laders", "booster",
+    "boosters", "reflectiefilter", "reflectiefilters", "voorversterker",
+    "voorversterkers", "vocal-effect", "vocal-effecten",
 ]
 
 # Title words that make an item (not) a microphone, and known lines.
@@ -162,18 +162,18 @@ SEED_SUBCATEGORIES = [
     "microfoonsets", "speciaal microfoon", "ovid serie",
 ]
 SUBCATEGORY_EXCLUDED = [
-    "aansluitkabel", "aansluitkabels", "accessoire", "accessoires", "adapter",
-    "adapters", "beugel", "beugels", "houder", "houders", "kabel", "kabels",
-    "koffer", "koffers", "microfoonhengel", "microfoonhengels",
-    "microfoonstandaard", "microfoonstandaards", "onderdelen", "phantom",
-    "popfilter", "popfilters", "shockmount", "shockmounts", "statief", "statieven",
-    "tafelstatief", "tafelstatieven", "tas", "tassen", "vervangingsonderdelen",
-    "voeding", "windbescherming", "zwanenhals", "zwanenhalzen",
+    "accessoire", "accessoires", "microfoonstandaard", "microfoonstandaards",
+    "statief", "statieven", "tafelstatief", "tafelstatieven", "houder", "houders",
+    "beugel", "beugels", "zwanenhals", "zwanenhalzen", "microfoonhengel",
+    "microfoonhengels", "kabel", "kabels", "aansluitkabel", "aansluitkabels",
+    "shockmount", "shockmounts", "windbescherming", "popfilter", "popfilters",
+    "phantom", "voeding", "adapter", "adapters", "koffer", "koffers", "tas",
+    "tassen", "vervangingsonderdelen", "onderdelen",
 ]
 SUBCATEGORY_BLOCKED_PATHS = [
-    "actie", "acties", "aktionen", "alle-producten-in-de-categorie", "b-stock",
-    "b_stock", "bf_", "blackfriday", "blowouts", "brand", "deals", "merken",
-    "outlet", "prodnews", "sale", "topseller", "video-podcast",
+    "video-podcast", "blowouts", "aktionen", "actie", "acties", "b_stock",
+    "b-stock", "sale", "deals", "outlet", "topseller", "prodnews", "bf_",
+    "blackfriday", "alle-producten-in-de-categorie", "brand", "merken",
 ]
 SUBCATEGORY_KEYWORDS = [
     "microfoon", "microfoons", "mikro", "micro", "zangmicro", "instrumentenmicro",
@@ -199,7 +199,7 @@ STOCK_NEGATIVE = {
         "uitverkocht", "tijdelijk uitverkocht", "niet leverbaar", "niet beschikbaar",
         "out of stock", "niet op voorraad",
     ],
-    "bax": ["niet leverbaar", "uitverkocht", "tijdelijk niet beschikbaar"],
+    "bax": ["niet leverbaar", "uitverkocht", "tijdelijk niet beschikbaar", "niet op voorraad"],
     "thomann": ["niet leverbaar", "niet op voorraad", "uitverkocht"],
 }
 

@@ -12,29 +12,32 @@ from shelfwise.functions import keys, url
 from shelfwise.functions.text import bind, has_any, squeezed
 
 
-def is_bad_html(html: Column) -> Column:
-    """Too short, or a block notice near the start of the document."""
-    head = F.substring(html, 1, 5000)
+def _under(size: Column, least: int | None) -> Column:
+    return F.lit(False) if least is None else size < least
+
+
+def is_bad_html(html: Column, least_bytes: int | None = None) -> Column:
+    """A block notice anywhere in the document. `least_bytes`: shorter documents are bad as well."""
     return F.coalesce(
-        (F.octet_length(html) < 800) | has_any(head, lexicon.BLOCK_NEEDLES), F.lit(True))
+        _under(F.octet_length(html), least_bytes) | has_any(html, lexicon.BLOCK_NEEDLES), F.lit(True))
 
 
-def is_shell(html: Column) -> Column:
-    """A consent shell or block page: a marker anywhere, or hardly any content."""
+def is_shell(html: Column, least_chars: int | None = None) -> Column:
+    """A consent shell or block page: a marker anywhere. `least_chars`: shorter documents count too."""
     return F.coalesce(
-        has_any(html, lexicon.SHELL_MARKERS) | (F.length(html) < 20000), F.lit(True))
+        has_any(html, lexicon.SHELL_MARKERS) | _under(F.length(html), least_chars), F.lit(True))
 
 
-def is_blocked(html: Column, status: Column | None = None) -> Column:
+def is_blocked(
+    html: Column, status: Column | None = None, least_bytes: int | None = None, untitled_bytes: int | None = None,
+) -> Column:
+    """A blocking status, or a needle in title or body. `least_bytes`: shorter documents are
+    blocked; `untitled_bytes`: so are documents without title that are shorter than that."""
     size = F.octet_length(html)
     by_title = bind(
         H.leading_text(html, "title"),
-        lambda t: has_any(t, lexicon.BLOCK_TITLE_NEEDLES) | (t.isNull() & (size < 20000)))
-    rules = (
-        by_title
-        | (size < 5000)
-        | ((F.length(html) < 80000) & has_any(html, lexicon.BLOCK_BODY_NEEDLES))
-    )
+        lambda t: F.coalesce(has_any(t, lexicon.BLOCK_TITLE_NEEDLES), _under(size, untitled_bytes)))
+    rules = by_title | _under(size, least_bytes) | has_any(html, lexicon.BLOCK_BODY_NEEDLES)
     if status is not None:
         rules = F.coalesce(status.isin(lexicon.BLOCK_STATUS), F.lit(False)) | rules
     return F.coalesce(rules, F.lit(True))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,11 +28,13 @@ def _any_depth(depth: Column) -> Column:
 def reach(
     links: DataFrame,
     seeds: DataFrame,
-    max_depth: int,
+    max_depth: int | None = None,
     follow: Callable[[Column], Column] = _any_depth,
 ) -> DataFrame:
     """(url, depth): everything reachable from seeds(url), each url at its least depth.
 
+    Without `max_depth` until nothing new is found.
+
     `follow(depth)` decides per hop which links count; it may use the columns of `links`.
     Every hop is one shuffle join of the new urls against the links. New urls are reduced
     to one row each before they are compared with the visited ones, and each hop is
@@ -39,7 +42,7 @@ def reach(
     """
     visited = materialise(seeds.select("url").distinct().withColumn("depth", F.lit(0)), "reach")
     frontier = visited
-    for hop in range(1, max_depth + 1):
+    for hop in count(1) if max_depth is None else range(1, max_depth + 1):
         found = (
             links.filter(follow(F.lit(hop - 1)))
             .join(frontier.select(F.col("url").alias("from_url")), "from_url")

@@ -102,12 +102,12 @@ def support_columns(t: Column, html: Column, shop: str) -> dict[str, Column]:
         chat_ok = chat | (sold & has_any(t, lexicon.SHOP_SUPPORT_WORDS))
         phone_ok = phone_number | has_any(t, lexicon.PHONE_WORDS)
         mail_ok = has_any(t, lexicon.EMAIL_WORDS) | (sold & has_any(t, lexicon.SHOP_CONTACT_WORDS))
-        snippet = clean(F.substring(t, 1, 4000))
+        snippet = clean(t)
     else:
         chat_ok = chat
         phone_ok = phone_number
         mail_ok = html.rlike(r"""(?is)<a\b[^>]*href\s*=\s*["']mailto:""") | t.rlike(lexicon.SHOP_MAIL_PATTERN)
-        snippet = without_consent(clean(F.substring(t, 1, 4000)))
+        snippet = without_consent(clean(t))
     return {
         "expert_chat_available": _true_or_unknown(chat_ok),
         "phone_support_available": _true_or_unknown(phone_ok),

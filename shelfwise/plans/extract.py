@@ -319,11 +319,11 @@ def _bol_product():
     box_price = F.filter(F.transform(B.texts_within(m, "price", "buy_block"), text.clean), lambda t: t.isNotNull())
     return {
         "page_text": F.coalesce(classify.without_dialog(H.body_text(h)), F.lit("")),
-        "_badge": F.coalesce(B.own_text(m, "stock"), B.all_text(m, "stock", 120)),
-        "_block": F.coalesce(B.all_text(m, "delivery", 600), B.all_text(m, "buy_block", 600)),
+        "_badge": F.coalesce(B.own_text(m, "stock"), B.all_text(m, "stock")),
+        "_block": F.coalesce(B.all_text(m, "delivery"), B.all_text(m, "buy_block")),
         "_ld_current": prices["current"], "_ld_base": prices["base"],
-        "_shown": F.coalesce(B.own_text(m, "price_exact"), F.get(box_price, F.lit(0)), text.joined_text(B.texts(m, "price_exact", 1), 120)),
-        "_was": F.coalesce(B.own_text(m, "was_price"), text.joined_text(B.texts(m, "was_price", 1), 120)),
+        "_shown": F.coalesce(B.own_text(m, "price_exact"), F.get(box_price, F.lit(0)), text.joined_text(B.texts(m, "price_exact", 1))),
+        "_was": F.coalesce(B.own_text(m, "was_price"), text.joined_text(B.texts(m, "was_price", 1))),
         **_product_facts("bol"),
     }
 
@@ -342,7 +342,7 @@ def _bol_rest():
     meta_price = F.coalesce(H.item_meta(metas, "price"), H.meta(metas, "product:price:amount"))
     return {
         "brand": F.coalesce(B.own_text(m, "brand"), _c("ld_brand")),
-        "description": classify.without_dialog(F.coalesce(_c("ld_description"), B.all_text(m, "description", 4000))),
+        "description": classify.without_dialog(F.coalesce(_c("ld_description"), B.all_text(m, "description"))),
         "image_url": text.bind(image, url.https_if_scheme_less),
         "sku": _c("ld_sku"), "mpn": _c("ld_mpn"),
         "gtin": F.coalesce(_c("ld_gtin"), text.gtin_in_text(body)),
@@ -353,7 +353,7 @@ def _bol_rest():
         "base_price": F.coalesce(_c("_ld_base"), price.parse_first(_c("_was"))),
         "in_stock": F.coalesce(
             stock.from_availability(_c("ld_availability"), "bol"), stock.from_text(_c("_stock_text"), "bol")),
-        "stock_status_text": stock.status_short(_c("_stock_text")),
+        "stock_status_text": stock.status_text(_c("_stock_text")),
         "rating_value": F.coalesce(
             price.parse_number(_c("ld_rating_value")), price.rating_in_text(B.own_text(m, "rating_exact"), r"(\d+(?:[.,]\d+)?)")),
         "review_count": F.coalesce(
@@ -389,7 +389,7 @@ def _maxiaxi_facts():
         "_specs": B.specs(_c("_m")), "title": H.title(h, metas, "maxiaxi"),
         "image_url": text.first_text(
             H.first_attribute(h, "img", r"fotorama__img|product-image-photo", "src"), H.meta(metas, "og:image")),
-        "description": F.substring(B.all_text(_c("_m"), "description"), 1, 5000),
+        "description": B.all_text(_c("_m"), "description"),
     }
 
 
