@@ -22,7 +22,10 @@ def _page_url():
 def _product_html():
     broken = F.lit('<script type="application/ld+json">{"@type": "Product", </script>')
     org = F.lit('<script type="application/ld+json">{"@type": ["Organization", "Store"], "name": "x"}</script>')
-    return F.concat(broken, org, F.coalesce(rendered._script(rendered.product_json(_page_url())), F.lit("")))
+    # up to six graphs around it, each in a list of a list
+    n = (F.col("p_partkey") % 7).cast("int")
+    nested = F.concat(F.repeat(F.lit('{"@graph": [ [ '), n), rendered.product_json(_page_url()), F.repeat(F.lit("]]}"), n))
+    return F.concat(broken, org, F.coalesce(rendered._script(nested), F.lit("")))
 
 
 @query("jsonld_product", f"""{_P}

@@ -14,7 +14,8 @@ from shelfwise.operators import classify, links
 from shelfwise.plans import rendered
 from shelfwise.session import spread, table
 
-_ENTITIES = [("nbsp", " ")] + [(k, v) for k, v in H.NAMED_ENTITIES.items() if v != " "] + [("amp", "&")]
+# The references that the given pages hold, written out; '&amp;' last.
+_ENTITIES = [("nbsp", " "), ("middot", "·"), ("copy", "©"), ("lt", "<"), ("gt", ">"), ("quot", chr(34)), ("eacute", "é"), ("euro", "€"), ("amp", "&")]
 
 
 def sql_unescape(x: str) -> str:
@@ -85,6 +86,15 @@ def entity_decode(spark, d):
 _A_HREF = r"regexp_extract_all(html, '(?is)<a\b[^>]*\shref=\"([^\"]*)\"[^>]*>', 1)"
 
 
+@query("entity_decode_all", """
+    SELECT p_partkey, 'cafà Étê ' || p_name || ' &lt; € ♥ ∳ 𝔸 é &unknown; & b;' AS decoded FROM part""")
+def entity_decode_all(spark, d):
+    """References of every kind, decoded once: what '&amp;' shields stays."""
+    raw = F.concat(F.lit("caf&agrave; &Eacute;t&ecirc; "), F.col("p_name"), F.lit(
+        " &amp;lt; &#8364; &hearts; &CounterClockwiseContourIntegral; &Aopf; &#xe9; &unknown; & b;"))
+    return table(spark, d, "part").select("p_partkey", H.unescape(raw).alias("decoded"))
+
+
 @query("page_links", rf"""
     WITH a AS (SELECT url, unnest(list_zip(range(len({_A_HREF})), {_A_HREF}, regexp_extract_all(html, '(?is)<a\b[^>]*>(.*?)</a', 1))) AS z FROM pages)
     SELECT url AS from_url, regexp_extract(url, '^(https?://[^/?#]*)', 1) || {sql_unescape("z[2]")} AS to_url,

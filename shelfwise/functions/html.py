@@ -2,20 +2,16 @@
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from shelfwise.functions.text import bind, clean, first_text
 
-# Named character references decoded in visible text.
-NAMED_ENTITIES = {
-    "nbsp": " ", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "euro": "€",
-    "copy": "©", "reg": "®", "trade": "™", "middot": "·", "bull": "•",
-    "hellip": "…", "ndash": "–", "mdash": "—", "lsquo": "‘", "rsquo": "’",
-    "ldquo": "“", "rdquo": "”", "laquo": "«", "raquo": "»", "deg": "°",
-    "eacute": "é", "egrave": "è", "euml": "ë", "iuml": "ï", "ouml": "ö",
-    "uuml": "ü", "auml": "ä", "oslash": "ø", "szlig": "ß", "times": "×",
-}
+# All named character references of HTML; a no-break space counts as a blank.
+NAMED_ENTITIES = {name[:-1]: char for name, char in html5.items() if name.endswith(";")} | {"nbsp": " "}
 
 
 def _code_point(n: Column) -> Column:
@@ -23,42 +19,27 @@ def _code_point(n: Column) -> Column:
     return F.decode(F.unhex(four_bytes), "UTF-32")
 
 
-def _numeric_entities(c: Column) -> Column:
-    """&#8364; and &#x20AC;: each piece after '&#' starts with the number."""
-    pieces = F.split(c, "&#")
-
-    def piece(p: Column, i: Column) -> Column:
-        dec = F.regexp_extract(p, r"^(\d{1,7});", 1)
-        hexa = F.regexp_extract(p, r"^[xX]([0-9a-fA-F]{1,6});", 1)
-        n = F.coalesce(dec.try_cast("bigint"), F.conv(F.nullif(hexa, F.lit("")), 16, 10).try_cast("bigint"))
-        valid = (n > 0) & (n <= 0x10FFFF) & ~n.between(0xD800, 0xDFFF)
-        return F.when(i == 0, p).when(
-            F.coalesce(valid, F.lit(False)),
-            F.concat(_code_point(n), F.regexp_replace(p, r"^[xX]?[0-9a-fA-F]+;", ""))
-        ).otherwise(F.concat(F.lit("&#"), p))
-
-    return F.when(c.contains("&#"), F.array_join(F.transform(pieces, piece), "")).otherwise(c)
-
-
-_ENTITY_LIST = " ".join(f"{k};{v}" for k, v in NAMED_ENTITIES.items() if v != " ")
-
-
-def _named_entities(c: Column) -> Column:
-    pairs = F.split(F.lit(_ENTITY_LIST), " ")
-
-    def step(acc: Column, pair: Column) -> Column:
-        name, char = F.substring_index(pair, ";", 1), F.substring_index(pair, ";", -1)
-        return F.replace(acc, F.concat(F.lit("&"), name, F.lit(";")), char)
-
-    return F.aggregate(pairs, F.replace(c, F.lit("&nbsp;"), F.lit(" ")), step)
+def _character(name: Column) -> Column:
+    """What a reference stands for, given what is between '&' and ';'; NULL if nothing."""
+    dec = F.regexp_extract(name, r"^#(\d{1,7})$", 1)
+    hexa = F.regexp_extract(name, r"^#[xX]([0-9a-fA-F]{1,6})$", 1)
+    n = F.coalesce(dec.try_cast("bigint"), F.conv(F.nullif(hexa, F.lit("")), 16, 10).try_cast("bigint"))
+    valid = (n > 0) & (n <= 0x10FFFF) & ~n.between(0xD800, 0xDFFF)
+    table = F.from_json(F.lit(json.dumps(NAMED_ENTITIES)), "map<string,string>")
+    return F.when(name.startswith("#"), F.when(valid, _code_point(n))).otherwise(F.try_element_at(table, name))
 
 
 def unescape(c: Column) -> Column:
-    """Decode character references; '&amp;' last, so that no text is decoded twice."""
+    """Decode character references in one pass, so that no text is decoded twice."""
+
+    def piece(p: Column, i: Column) -> Column:
+        name = F.regexp_extract(p, r"^(#?[A-Za-z0-9]+);", 1)
+        rest = F.substring(p, F.length(name) + 2, F.length(p))
+        decoded = F.when(name != "", F.concat(_character(name), rest))
+        return F.when(i == 0, p).otherwise(F.coalesce(decoded, F.concat(F.lit("&"), p)))
 
     def decoded(t: Column) -> Column:
-        out = F.replace(_named_entities(_numeric_entities(t)), F.lit("&amp;"), F.lit("&"))
-        return F.when(t.contains("&"), out).otherwise(t)
+        return F.when(t.contains("&"), F.array_join(F.transform(F.split(t, "&"), piece), "")).otherwise(t)
 
     return bind(c, decoded)
 

@@ -9,8 +9,8 @@ from shelfwise import lexicon
 from shelfwise.functions.text import bind, clean, first_nonblank
 
 _NO_NODES = "array<variant>"
-# Lists and @graph levels unfolded; published pages nest one or two.
-GRAPH_LEVELS = 3
+# A list inside a list, and a graph: what makes nodes lie deeper.
+_LIST_IN_LIST, _GRAPH = r"[\[,]\[", r'"@graph":'
 
 _LD_BLOCK = r'(?is)<script\b[^>]*type\s*=\s*["\']application/ld\+json["\'][^>]*>(.*?)</script\s*>'
 _STATE_BLOCK = (
@@ -54,23 +54,31 @@ def _elements(v: Column) -> Column:
 
 
 def nodes(blocks_: Column) -> Column:
-    """All objects, through lists and @graph, in document order."""
-    level = F.transform(F.flatten(F.transform(blocks_, _elements)), _unopened)
-    for _ in range(GRAPH_LEVELS):
-        level = F.flatten(F.transform(level, _with_graph))
-    return F.transform(F.filter(level, lambda e: kind(e["v"]) == "OBJECT"), lambda e: e["v"])
+    """All objects, through lists and @graph of any depth, in document order."""
+    return F.flatten(F.transform(blocks_, _nodes_of))
+
+
+def _nodes_of(block: Column) -> Column:
+    """Each step opens one level of lists or graphs; the block's own text bounds their number."""
+    text = F.to_json(block)
+    levels = 1 + F.regexp_count(text, F.lit(_LIST_IN_LIST)) + 2 * F.regexp_count(text, F.lit(_GRAPH))
+    start = F.transform(_elements(block), _unopened)
+    opened = F.aggregate(F.sequence(F.lit(1), levels), start, lambda level, _: F.flatten(F.transform(level, _opened)))
+    return F.transform(F.filter(opened, lambda e: kind(e["v"]) == "OBJECT"), lambda e: e["v"])
 
 
 def _unopened(v: Column) -> Column:
     return F.struct(v.alias("v"), F.lit(False).alias("opened"))
 
 
-def _with_graph(e: Column) -> Column:
-    """The node, followed by the elements of its graph unless that was done before."""
-    graph = F.try_variant_get(e["v"], '$["@graph"]', _NO_NODES)
-    inner = F.transform(F.flatten(F.transform(graph, _elements)), _unopened)
+def _opened(e: Column) -> Column:
+    """A list's elements, or a node followed by its graph, unless that was done before."""
+    listed = F.try_variant_get(e["v"], "$", _NO_NODES)
+    graph = F.try_variant_get(e["v"], '$["@graph"]', "variant")
     itself = F.array(F.struct(e["v"].alias("v"), F.lit(True).alias("opened")))
-    return F.when(e["opened"] | graph.isNull(), itself).otherwise(F.concat(itself, inner))
+    return (
+        F.when(e["opened"], itself).when(listed.isNotNull(), F.transform(listed, _unopened))
+        .when(graph.isNull(), itself).otherwise(F.concat(itself, F.array(_unopened(graph)))))
 
 
 def types(v: Column) -> Column:
