@@ -71,7 +71,7 @@ def feed_array_detect(spark, d):
 
 @query("feed_route", """
     SELECT event_type AS target, event_id, (props->>'$.k')::BIGINT AS k FROM events
-    WHERE event_type IN ('purchase', 'view', 'click')""")
+    WHERE event_type IN ('purchase', 'view', 'click', 'signup', 'error')""")
 def feed_route(spark, d):
     """One pass writes a folder per type; each target then reads its own folder only."""
     path = scratch_path(spark, "routed")
@@ -80,7 +80,7 @@ def feed_route(spark, d):
     k = F.try_variant_get(F.try_parse_json("props"), "$.k", "bigint")
     parts = [
         feeds.of_type(routed, t).select(F.lit(t).alias("target"), "event_id", k.alias("k"))
-        for t in ("purchase", "view", "click")
+        for t in ("purchase", "view", "click", "signup", "error")
     ]
     return reduce(DataFrame.unionByName, parts)
 
@@ -98,10 +98,9 @@ def feed_runs(spark, d):
     """Each run writes its header and its stamped records into its own partition."""
     path = scratch_path(spark, "runs")
     for i in range(3):
-        run_id = f"run-{i}"
-        feeds.write_feed(feeds.run_header(spark, run_id, "2024-05-01T00:00:00+00:00", "1", "daily"), path, run_id)
-        records = feeds.stamped(_records(spark, d).filter(F.col("event_id") % 3 == i), "item", "2024-05-01T00:00:00+00:00")
-        feeds.write_feed(records, path, run_id)
+        feeds.write_feed(feeds.run_header(spark, f"run-{i}", "2024-05-01T00:00:00+00:00", "1", "daily"), path, f"run-{i}")
+    records = feeds.stamped(_records(spark, d), "item", "2024-05-01T00:00:00+00:00")
+    feeds.write_feed(records, path, F.concat(F.lit("run-"), F.col("event_id") % 3))
     schema = T.StructType(EVENT_FEED.fields + [T.StructField("scraped_at", T.StringType())])
     feed = spark.read.schema(T.StructType(schema.fields + [T.StructField("run_id", T.StringType())])).json(path)
     return feed.groupBy("run_id", "type").agg(F.count("*").alias("n"), F.min("scraped_at").alias("scraped_at"))

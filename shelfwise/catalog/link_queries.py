@@ -118,9 +118,11 @@ def _sitemaps(spark, d):
     entry = F.concat(F.lit("<ns:url><ns:loc> "), page, F.lit(" </ns:loc><ns:lastmod>x</ns:lastmod></ns:url>"))
     docs = parts.groupBy(doc.alias("url")).agg(F.array_join(F.collect_list(entry), "").alias("body"))
     nested = docs.select(F.col("url").alias("to_doc"))
-    root = nested.select(
-        F.concat(F.lit("https://s.example/root-"), F.abs(F.hash("to_doc")) % 16, F.lit(".xml")).alias("url"), "to_doc")
-    roots = root.select("url", F.concat(F.lit("<sitemap><loc>"), "to_doc", F.lit("</loc></sitemap>")).alias("body"))
+    number = F.abs(F.hash("to_doc")) % 16
+    names = [F.concat(F.lit(f"https://s.example/{level}-"), number, F.lit(".xml")) for level in ("root", "upper", "lower")]
+    steps = list(zip(names, [*names[1:], F.col("to_doc")]))
+    named = nested.select(F.explode(F.array(*[F.struct(a.alias("url"), b.alias("loc")) for a, b in steps])).alias("s")).select("s.*").distinct()
+    roots = named.select("url", F.concat(F.lit("<sitemap><loc>"), "loc", F.lit("</loc></sitemap>")).alias("body"))
     return docs.unionByName(roots).select("url", F.concat(F.lit("<?xml version='1.0'?><x>"), "body", F.lit("</x>")).alias("xml"))
 
 
@@ -133,13 +135,13 @@ def sitemap_urls(spark, d):
 
 
 @query("nested_sitemaps", """
-    SELECT 'https://s.example/microfoons/' || lower(replace(p_name, ' ', '-')) || '-' || p_partkey || '?a=1&b=2' AS url, 2 AS depth FROM part
-    UNION ALL SELECT DISTINCT 'https://s.example/sitemap-' || replace(p_brand, '#', '') || '-' || (p_partkey // 100) || '.xml', 1 FROM part""")
+    SELECT 'https://s.example/microfoons/' || lower(replace(p_name, ' ', '-')) || '-' || p_partkey || '?a=1&b=2' AS url, 4 AS depth FROM part
+    UNION ALL SELECT DISTINCT 'https://s.example/sitemap-' || replace(p_brand, '#', '') || '-' || (p_partkey // 100) || '.xml', 3 FROM part""")
 def nested_sitemaps(spark, d):
-    """Sitemaps name sitemaps; expanding from the roots visits every document once."""
+    """Sitemaps name sitemaps, four levels here; expanding from the roots visits every document once."""
     entries = materialise(sitemaps.entries(_sitemaps(spark, d), "url", "xml"), "sitemap")
-    roots = entries.filter("kind = 'sitemap'").select(F.col("from_url").alias("url"))
-    return links.reach(entries.select("from_url", "to_url"), roots, 2).filter("depth > 0")
+    roots = entries.filter("from_url LIKE '%/root-%'").select(F.col("from_url").alias("url"))
+    return links.reach(entries.select("from_url", "to_url"), roots).filter("depth > 2")
 
 
 @query("word_dimension", f"""

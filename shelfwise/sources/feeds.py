@@ -35,8 +35,8 @@ def read_feed(
         reader = reader.option("columnNameOfCorruptRecord", BAD_LINE)
     try:
         df = reader.schema(full).json(path)
-    except AnalysisException:
-        if missing != "empty":
+    except AnalysisException as e:
+        if missing != "empty" or e.getCondition() != "PATH_NOT_FOUND":
             raise
         return empty(spark, full)
     if bad_lines == "quarantine":
@@ -95,12 +95,14 @@ def stamped(records: DataFrame, type_: str, scraped_at: str) -> DataFrame:
     return out
 
 
-def write_feed(records: DataFrame, path: str, run_id: str | None = None) -> None:
-    """One JSON object per line; with a run id, into that run's own partition."""
+def write_feed(records: DataFrame, path: str, run_id: str | Column | None = None) -> None:
+    """One JSON object per line; with a run id, one for all records or one of each, into that
+    run's own partition, in one pass over the records."""
     if run_id is None:
         records.write.mode("errorifexists").json(path)
     else:
-        records.withColumn("run_id", F.lit(run_id)).write.mode("append").partitionBy("run_id").json(path)
+        run = run_id if isinstance(run_id, Column) else F.lit(run_id)
+        records.withColumn("run_id", run).write.mode("append").partitionBy("run_id").json(path)
 
 
 def work_list(feed: DataFrame, type_: str | None, url_column: str, domain: str) -> DataFrame:
