@@ -31,4 +31,4 @@ def query(name: str, oracle: str | None = None) -> Callable[[QueryFn], QueryFn]:
 def load_all() -> None:
     from shelfwise.catalog import (  # noqa: F401
         compare_queries, extract_queries, feed_queries, jsonld_queries, link_queries, load_queries,
-        page_queries, price_queries, stream_queries, support_queries, text_queries, url_queries)
+        page_queries, price_queries, site_queries, stream_queries, support_queries, text_queries, url_queries)

@@ -15,10 +15,11 @@ from shelfwise.session import spread, table
 SHAPES = 4
 
 
-def parts(spark: SparkSession, d: str) -> DataFrame:
+def parts(spark: SparkSession, d: str, more_cents: int = 0) -> DataFrame:
+    """`more_cents`: what a shop asks beyond the part's price."""
     n = F.col("p_partkey")
     return spread(table(spark, d, "part")).select(
-        "p_partkey", "p_name", "p_brand", "p_type", "p_size", cents(F.col("p_retailprice")).alias("c"),
+        "p_partkey", "p_name", "p_brand", "p_type", "p_size", (cents(F.col("p_retailprice")) + more_cents).alias("c"),
         (n % SHAPES).alias("shape"), gtin(n).alias("gtin"),
         F.lower(F.replace("p_name", F.lit(" "), F.lit("-"))).alias("slug"))
 
@@ -101,7 +102,7 @@ def _head(extra: Column) -> Column:
         F.lit("<script>var t='</p>';</script></head><body><h1>"), F.col("p_name"), F.lit("</h1>"))
 
 
-def bax_pages(spark: SparkSession, d: str) -> DataFrame:
+def bax_pages(spark: SparkSession, d: str, more_cents: int = 0) -> DataFrame:
     root = "https://www.bax-shop.nl"
     u = F.concat(F.lit(root + "/studiomicrofoons/grootmembraan_set/"), F.col("slug"), F.lit("-"), F.col("p_partkey"), F.lit("?utm_source=feed"))
     ld = F.coalesce(_script(product_json(u)), F.lit("<script type='application/ld+json'>{broken</script>"))
@@ -116,10 +117,10 @@ def bax_pages(spark: SparkSession, d: str) -> DataFrame:
         F.lit("<footer><p>Gratis verzending vanaf € "), F.col("p_size"), F.lit(",50</p><p>"), F.col("p_size"),
         F.lit(" dagen bedenktijd, 3 jaar garantie bij Bax Music. PostNL. Gratis retour.</p><a href='/klantenservice/contact'>Contact</a></footer>"))
     html = F.concat(_head(F.lit("<meta name='description' content='Over dit product'>")), ld, crumbs, nav, buy, spec_html(), service, F.lit("</body></html>"))
-    return parts(spark, d).select("p_partkey", u.alias("url"), html.alias("html"))
+    return parts(spark, d, more_cents).select("p_partkey", u.alias("url"), html.alias("html"))
 
 
-def thomann_pages(spark: SparkSession, d: str) -> DataFrame:
+def thomann_pages(spark: SparkSession, d: str, more_cents: int = 0) -> DataFrame:
     root = "https://www.thomann.nl"
     u = F.concat(F.lit(root + "/"), F.col("slug"), F.lit("_"), F.col("p_partkey"), F.lit(".htm?ref=a&x=1"))
     ld = F.coalesce(_script(product_json(u)), F.lit(""))
@@ -136,10 +137,10 @@ def thomann_pages(spark: SparkSession, d: str) -> DataFrame:
     html = F.concat(
         _head(F.concat(F.lit("<meta property='og:image' content='https://img.example.com/"), F.col("p_partkey"), F.lit(".jpg'>"))), ld, crumbs, box, badge,
         F.lit("<p>Artikelnummer: "), F.col("p_partkey") + 100000, F.lit("</p></body></html>"))
-    return parts(spark, d).select("p_partkey", u.alias("url"), html.alias("html"))
+    return parts(spark, d, more_cents).select("p_partkey", u.alias("url"), html.alias("html"))
 
 
-def bol_pages(spark: SparkSession, d: str) -> DataFrame:
+def bol_pages(spark: SparkSession, d: str, more_cents: int = 0) -> DataFrame:
     u = F.concat(F.lit("https://www.bol.com/nl/nl/p/"), F.col("slug"), F.lit("/"), F.col("p_partkey"), F.lit("/?bltgh=x&Referrer=y"))
     ld = F.coalesce(_script(product_json(u)), F.lit(""))
     category = F.when(F.col("p_partkey") % 5 == 4, "statieven").otherwise("microfoons")
@@ -154,12 +155,12 @@ def bol_pages(spark: SparkSession, d: str) -> DataFrame:
         F.lit("<html><head><title>t</title></head><body>"), nav, F.lit("<h1 data-test='title'>"), F.col("p_name"), kind, F.lit("</h1>"), ld,
         F.when(F.col("shape") == 2, buy).otherwise(""), F.lit("<p>EAN : "), F.coalesce("gtin", F.lit("-")),
         F.lit("</p><img data-test='product-image' src='//img.example.com/a.jpg'></body></html>"))
-    return parts(spark, d).select("p_partkey", u.alias("url"), html.alias("html"))
+    return parts(spark, d, more_cents).select("p_partkey", u.alias("url"), html.alias("html"))
 
 
-def maxiaxi_pages(spark: SparkSession, d: str) -> DataFrame:
+def maxiaxi_pages(spark: SparkSession, d: str, more_cents: int = 0) -> DataFrame:
     u = F.concat(F.lit("https://www.maxiaxi.com/"), F.col("slug"), F.lit("-"), F.col("p_partkey"), F.lit(".html?gclid=1#top"))
     html = F.concat(
         _head(F.lit("<meta property='og:image' content='https://img.example.com/og.jpg'>")), spec_html(),
         F.lit("<div class='product attribute description'><p>Over <i>"), F.col("p_name"), F.lit("</i></p></div></body></html>"))
-    return parts(spark, d).select("p_partkey", u.alias("url"), html.alias("html"))
+    return parts(spark, d, more_cents).select("p_partkey", u.alias("url"), html.alias("html"))
