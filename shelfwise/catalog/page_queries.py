@@ -205,10 +205,10 @@ def page_specs(spark, d):
     SELECT page_id, len(regexp_extract_all(html, '(?is)<nav>.*?</nav>')) AS n_nav,
       array_to_string(regexp_extract_all(regexp_extract(html, '(?is)<nav>.*?</nav>'), 'href="([^"]*)"', 1), ' ') AS nav_links FROM pages""")
 def page_list_items(spark, d):
-    """Navigation links of the given pages by the nested-block stage; must agree with a flat scan."""
-    staged = spread(table(spark, d, "pages")).withColumn("m", B.marks(F.col("html")))
-    return staged.select(
-        "page_id", F.lit(1).cast("bigint").alias("n_nav"), F.array_join(B.nav_links(F.col("m")), " ").alias("nav_links"))
+    """Navigation blocks of the given pages, counted, and their links."""
+    h = F.col("html")
+    return spread(table(spark, d, "pages")).select(
+        "page_id", F.size(H.nav_blocks(h)).cast("bigint").alias("n_nav"), F.array_join(H.nav_links(h), " ").alias("nav_links"))
 
 
 @query("page_breadcrumbs", """

@@ -137,6 +137,19 @@ def anchors(html: Column) -> Column:
     return F.filter(found, lambda a: a["href"].isNotNull() & (a["href"] != ""))
 
 
+_NAV = r"(?is)<(nav|ol)\b[^>]*>.*?</\1\s*>"
+
+
+def nav_blocks(html: Column) -> Column:
+    """Navigation elements and ordered lists, whole."""
+    return F.regexp_extract_all(html, F.lit(_NAV), F.lit(0))
+
+
+def nav_links(html: Column) -> Column:
+    """Links of the anchors in navigation and ordered lists, as written on the page."""
+    return F.transform(anchors(F.array_join(nav_blocks(html), " ")), lambda a: a["href"])
+
+
 NEXT_LINK = {
     "bax": [r'rel=["\']next["\']', "aria-label=[^>]*Volgende", "aria-label=[^>]*Next",
             "data-test=[^>]*pagination-next"],

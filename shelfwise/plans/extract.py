@@ -28,7 +28,7 @@ def _built(stage: Stage) -> dict[str, Column]:
     """Columns of a stage. They name their inputs and nothing else, so they are built once
     per driver process and serve every later plan; building them takes seconds.
     """
-    key = (stage.__name__, id(SparkContext._gateway))
+    key = (stage, id(SparkContext._gateway))
     if key not in _BUILT:
         _BUILT[key] = stage()
     return _BUILT[key]
@@ -303,11 +303,17 @@ def thomann(pages: DataFrame) -> DataFrame:
 # ---- shop whose pages are first filtered for category and relevance ------
 
 def _bol_page():
-    return _page_facts("bol")
+    facts = _page_facts("bol")
+    facts.pop("_m")  # only for the pages that pass the filter, below
+    return facts
+
+
+def _bol_marks():
+    return {"_m": B.marks(_c("html"))}
 
 
 def _bol_filter_facts():
-    links = F.transform(B.nav_links(_c("_m")), lambda u: url.strip_tracking(url.resolve(_c("url"), u), "bol"))
+    links = F.transform(H.nav_links(_c("html")), lambda u: url.strip_tracking(url.resolve(_c("url"), u), "bol"))
     product = L.first_product(_c("_nodes"), "bol")
     return {"_p": product, "_crumb_urls": links,
             "title": F.coalesce(H.leading_text(_c("html"), "h1"), L.text(product, "$.name"))}
@@ -372,7 +378,7 @@ def bol(pages: DataFrame) -> DataFrame:
     facts = _run(pages, [_bol_page, _bol_filter_facts])
     wanted = facts.filter(classify.has_allowed_crumb(_c("_crumb_urls")) & classify.is_relevant(_c("title"), _c("url")))
     stages = [
-        _bol_product, _bol_stock_text, _bol_rest, _bol_names, _strict_amount, _percent, _no_crumbs, _crumb_columns]
+        _bol_marks, _bol_product, _bol_stock_text, _bol_rest, _bol_names, _strict_amount, _percent, _no_crumbs, _crumb_columns]
     return _run(wanted, stages).select(*_kept(pages), *_RECORD)
 
 
