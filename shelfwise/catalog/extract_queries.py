@@ -30,7 +30,8 @@ def _ints(df, *names):
 @query("extract_products_bax", f"""{_P}
     SELECT p_partkey, 'https://www.bax-shop.nl/studiomicrofoons/grootmembraan_set/' || slug || '-' || p_partkey AS source_url,
       p_name AS title, p_brand AS brand, p_type AS model, full_name AS canonical_name, gtin,
-      CASE WHEN shape = 3 THEN NULL ELSE 'SKU-' || p_partkey END AS sku_ld, 'MPN' || p_partkey AS mpn,
+      'SKU-' || p_partkey AS sku, 'MPN' || p_partkey AS mpn, CASE WHEN shape IN (0, 1) THEN 'https://img.example.com/' || p_partkey || '.jpg' END AS image_url,
+      CASE WHEN shape IN (0, 1) THEN 'Over ' || p_name ELSE 'Over dit product' END AS description,
       c::DOUBLE / 100 AS current_price, CASE WHEN shape = 2 THEN b::DOUBLE / 100 END AS base_price,
       CASE WHEN shape = 2 THEN (b - c)::DOUBLE / 100 END AS discount_amount, CASE WHEN shape = 2 THEN ({_PCT})::DOUBLE / 100 END AS discount_percent,
       (p_size % 3 <> 0)::INT AS in_stock,
@@ -46,7 +47,7 @@ def _ints(df, *names):
     FROM q WHERE shape <> 3
     UNION ALL
     SELECT p_partkey, 'https://www.bax-shop.nl/studiomicrofoons/grootmembraan_set/' || slug || '-' || p_partkey, p_name, p_brand, p_type, full_name, gtin,
-      NULL, 'MPN' || p_partkey, NULL, NULL, NULL, NULL, (p_size % 3 <> 0)::INT, NULL, NULL, 'grootmembraan set', 'studiomicrofoons',
+      'SKU-' || p_partkey, 'MPN' || p_partkey, NULL, 'Over dit product', NULL, NULL, NULL, NULL, (p_size % 3 <> 0)::INT, NULL, NULL, 'grootmembraan set', 'studiomicrofoons',
       'https://www.bax-shop.nl/studiomicrofoons/grootmembraan_set', (p_size + 0.5)::DOUBLE, p_size, 36, 'Bax Music', 1, 1, 1,
       'https://www.bax-shop.nl/klantenservice/contact'
     FROM q WHERE shape = 3""")
@@ -55,9 +56,8 @@ def extract_products_bax(spark, d):
     r = extract.bax(rendered.bax_pages(spark, d))
     r = _doubles(r, "current_price", "base_price", "discount_amount", "discount_percent")
     r = _ints(r, "in_stock", "shipping_included", "delivery_courier_available", "free_returns")
-    sku = F.when(F.col("p_partkey") % 4 != 3, F.col("sku")).alias("sku_ld")
     return r.select(
-        "p_partkey", "source_url", "title", "brand", "model", "canonical_name", "gtin", sku, "mpn", "current_price", "base_price",
+        "p_partkey", "source_url", "title", "brand", "model", "canonical_name", "gtin", "sku", "mpn", "image_url", "description", "current_price", "base_price",
         "discount_amount", "discount_percent", "in_stock", "rating_value", "review_count", "breadcrumb_category", "breadcrumb_parent",
         "breadcrumb_url", "free_shipping_threshold_amt", "cooling_off_days", "warranty_duration_months", "warranty_provider",
         "shipping_included", "delivery_courier_available", "free_returns", "customer_service_url")
@@ -69,6 +69,7 @@ def extract_products_bax(spark, d):
       CASE WHEN shape IN (0, 1) THEN p_type END AS model,
       CASE shape WHEN 0 THEN full_name WHEN 1 THEN full_name WHEN 3 THEN short_name ELSE trim(regexp_replace(lower(p_name), '[^a-z0-9]+', ' ', 'g')) END AS canonical_name,
       CASE WHEN shape <> 2 THEN gtin END AS gtin, 'https://img.example.com/' || p_partkey || '.jpg' AS image_url,
+      CASE WHEN shape IN (0, 1) THEN 'SKU-' || p_partkey END AS sku, CASE WHEN shape IN (0, 1) THEN 'Over ' || p_name END AS description,
       c::DOUBLE / 100 AS current_price, CASE WHEN shape IN (2, 3) THEN b::DOUBLE / 100 END AS base_price,
       CASE WHEN shape IN (2, 3) THEN (b - c)::DOUBLE / 100 END AS discount_amount,
       CASE WHEN shape IN (2, 3) THEN ({_PCT})::DOUBLE / 100 END AS discount_percent,
@@ -81,7 +82,7 @@ def extract_products_thomann(spark, d):
     r = extract.thomann(rendered.thomann_pages(spark, d))
     r = _ints(_doubles(r, "current_price", "base_price", "discount_amount", "discount_percent"), "in_stock")
     return r.select(
-        "p_partkey", "listing_number", "source_url", "title", "brand", "model", "canonical_name", "gtin", "image_url", "current_price",
+        "p_partkey", "listing_number", "source_url", "title", "brand", "model", "canonical_name", "gtin", "image_url", "sku", "description", "current_price",
         "base_price", "discount_amount", "discount_percent", "price_text", "in_stock", "rating_value", "breadcrumb_category",
         "breadcrumb_parent", "breadcrumb_url")
 
@@ -95,7 +96,8 @@ def extract_products_thomann(spark, d):
       CASE WHEN shape IN (2, 3) THEN (b - c)::DOUBLE / 100 END AS discount_amount, CASE WHEN shape IN (2, 3) THEN ({_PCT})::DOUBLE / 100 END AS discount_percent,
       CASE WHEN shape = 2 THEN replace(plain, '.', ',') ELSE '€ ' || plain END AS price_text, (p_size % 3 <> 0)::INT AS in_stock,
       CASE shape WHEN 2 THEN 4.5 WHEN 3 THEN NULL ELSE (p_size % 50)::DOUBLE / 10 END::DOUBLE AS rating_value,
-      CASE WHEN shape IN (0, 1) THEN (p_size * 3)::VARCHAR END AS review_count
+      CASE WHEN shape IN (0, 1) THEN (p_size * 3)::VARCHAR END AS review_count,
+      CASE WHEN shape IN (0, 1) THEN 'SKU-' || p_partkey END AS sku, CASE WHEN shape IN (0, 1) THEN 'Over ' || p_name END AS description
     FROM q WHERE p_partkey % 5 <> 4 AND p_partkey % 7 <> 6""")
 def extract_products_bol(spark, d):
     """Pages of other categories and items that are no microphones are left out."""
@@ -103,7 +105,7 @@ def extract_products_bol(spark, d):
     r = _ints(_doubles(r, "current_price", "base_price", "discount_amount", "discount_percent"), "in_stock")
     return r.select(
         "p_partkey", "source_url", "title", "brand", "model", "canonical_name", "gtin", "image_url", "current_price", "base_price",
-        "discount_amount", "discount_percent", "price_text", "in_stock", "rating_value", "review_count")
+        "discount_amount", "discount_percent", "price_text", "in_stock", "rating_value", "review_count", "sku", "description")
 
 
 @query("extract_products_maxiaxi", f"""{_P}
