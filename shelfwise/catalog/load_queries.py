@@ -69,7 +69,8 @@ def load_insert_ignore_again(spark, d):
     once = loading.insert_ignore(target, new, "p_partkey", ["pos"], ["p_name"])
     after = target.select("p_partkey").unionByName(once.select("p_partkey"))
     again = loading.insert_ignore(after, new, "p_partkey", ["pos"], ["p_name"])
-    return once.agg(F.count("*").alias("n_first")).crossJoin(again.agg(F.count("*").alias("n_again")))
+    tagged = once.select(F.lit(1).alias("first")).unionByName(again.select(F.lit(0).alias("first")))
+    return tagged.agg(F.count_if(F.col("first") == 1).alias("n_first"), F.count_if(F.col("first") == 0).alias("n_again"))
 
 
 @query("load_replace", f"""{_COPIES_SQL},
@@ -244,7 +245,7 @@ def wide_split_listing(spark, d):
       {_KEY.format(x="k || '|' || l_orderkey || '|' || l_linenumber")} AS price_snapshot_id
     FROM li""")
 def wide_split_price(spark, d):
-    t = normalise.split(reskin.wide_records(spark, d))["pricesnapshot"]
+    t = normalise.split(reskin.wide_records(spark, d, product_facts=False))["pricesnapshot"]
     return t.select(
         "listing_id", "scrape_run_id", F.date_format("scraped_at", "yyyy-MM-dd").alias("scraped_on"), "currency",
         *[F.col(c).cast("double").alias(c) for c in ("current_price", "base_price", "discount_percent")],
@@ -256,7 +257,7 @@ def wide_split_price(spark, d):
       {_KEY.format(x="k || '|' || l_orderkey || '|' || l_linenumber")} AS review_id
     FROM li WHERE l_linenumber % 3 = 0""")
 def wide_split_review(spark, d):
-    return normalise.split(reskin.wide_records(spark, d))["review"].select(
+    return normalise.split(reskin.wide_records(spark, d, product_facts=False))["review"].select(
         "listing_id", F.col("rating_value").cast("double").alias("rating_value"), "rating_scale", "review_count", "review_id")
 
 

@@ -148,13 +148,13 @@ def reviews_weighted(reviews: DataFrame, scale: int = 5) -> DataFrame:
 def price_gap(latest: DataFrame, base_shop: int) -> DataFrame:
     """Each shop's prices against those of the base shop for the same product.
 
-    Prices are first reduced to one row per (product, shop); the base side then has one row
-    per product, so the join is linear in the listings.
+    Prices are first reduced to one row per (product, shop), in one pass; a window over a
+    product then sees one row per shop.
     """
     best = latest.groupBy("product_no", "competitor_id").agg(F.min("current_cents").alias("cents"))
-    base = best.filter(F.col("competitor_id") == base_shop).select("product_no", F.col("cents").alias("base"))
-    others = best.filter(F.col("competitor_id") != base_shop)
-    gap = others.join(base, "product_no").withColumn("gap", F.col("cents") - F.col("base"))
+    is_base = F.col("competitor_id") == base_shop
+    base = F.min(F.when(is_base, F.col("cents"))).over(Window.partitionBy("product_no"))
+    gap = best.withColumn("base", base).filter(~is_base & F.col("base").isNotNull()).withColumn("gap", F.col("cents") - F.col("base"))
     return gap.groupBy("competitor_id").agg(
         F.count("*").alias("n_matched"), F.sum("gap").alias("_sum"), F.min("gap").alias("min_gap_cents"),
         F.max("gap").alias("max_gap_cents"), F.count_if(F.col("gap") < 0).alias("n_cheaper"),

@@ -89,11 +89,20 @@ def listings(spark: SparkSession, d: str) -> DataFrame:
     return named.withColumn("listing_key", keys.md5_key(F.col("product_url")))
 
 
-def wide_records(spark: SparkSession, d: str) -> DataFrame:
-    """Line items with their part as wide product records, as a shop's feed carries them."""
+PRODUCT_FACTS = ["p_name", "p_brand", "p_type", "canonical_name", "gtin"]
+
+
+def wide_records(spark: SparkSession, d: str, product_facts: bool = True) -> DataFrame:
+    """Line items with their part as wide product records, as a shop's feed carries them.
+
+    Without `product_facts` the part is not joined and its columns are NULL: enough for facts.
+    """
     s = snapshots(spark, d)
-    p = products(spark, d)
-    joined = s.join(p, s.product_no == p.p_partkey)
+    if product_facts:
+        p = products(spark, d)
+        joined = s.join(p, s.product_no == p.p_partkey)
+    else:
+        joined = s.select("*", *[F.lit(None).cast("string").alias(c) for c in PRODUCT_FACTS])
     src = listing_url(F.col("competitor_id"), F.col("product_no"))
     return joined.select(
         F.lit("product").alias("type"), "competitor_id", "run_no", "line_no", "product_no", "scraped_at",
