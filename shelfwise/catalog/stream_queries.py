@@ -11,17 +11,13 @@ from shelfwise.streaming import incremental
 
 FEED = (
     T.StructType().add("user_id", "long").add("shop", "long").add("event_id", "long").add("cents", "long"))
-FILES = 12
 
 
-def _feed_dir(spark, d) -> str:
-    """The events as run files; every user comes back in many of them."""
-    path = scratch_path(spark, "runs")
-    e = table(spark, d, "events").select(
+def _events(spark, d):
+    """The events as a feed; every user comes back in many runs."""
+    return table(spark, d, "events").select(
         F.when(F.col("event_id") % 20 != 0, F.col("user_id")).alias("user_id"), (F.col("user_id") % 10).alias("shop"), "event_id",
         F.round(F.col("value") * 100).cast("bigint").alias("cents"))
-    e.repartition(FILES, F.col("event_id") % FILES).write.json(path)
-    return path
 
 
 _SQL = """
@@ -33,12 +29,18 @@ _SQL = """
     SELECT 'user' AS target, user_id AS k, min(shop) AS v FROM e GROUP BY user_id
     UNION ALL SELECT 'fact', event_id, cents FROM e""")
 def incremental_load(spark, d):
-    users, facts = incremental.load_feed(
-        spark, _feed_dir(spark, d), FEED, "user_id", ["shop"], ["event_id", "cents"])
+    """Two calls on a growing feed: the second finds the state of the first and adds only new rows."""
+    feed, target, checkpoint = (scratch_path(spark, n) for n in ("runs", "loaded", "progress"))
+    for half in (0, 1):
+        _events(spark, d).filter(F.col("event_id") % 2 == half).write.mode("append").json(feed)
+        users, facts = incremental.load_feed(
+            spark, feed, FEED, "user_id", ["shop"], ["event_id", "cents"], target, checkpoint)
     return users.select(F.lit("user").alias("target"), F.col("user_id").alias("k"), F.col("shop").alias("v")).unionByName(
         facts.select(F.lit("fact").alias("target"), F.col("event_id").alias("k"), F.col("cents").alias("v")))
 
 
 @query("stream_first_seen", f"""{_SQL} SELECT DISTINCT user_id FROM e UNION ALL SELECT NULL""")
 def stream_first_seen(spark, d):
-    return incremental.first_seen(spark, _feed_dir(spark, d), FEED, "user_id")
+    feed = scratch_path(spark, "runs")
+    _events(spark, d).write.json(feed)
+    return incremental.first_seen(spark, feed, FEED, "user_id")

@@ -39,24 +39,30 @@ def load_facts(batch: DataFrame, batch_id: int, path: str) -> None:
 
 
 def run_available(
-    spark: SparkSession, feed_dir: str, schema: T.StructType, loader, files_per_batch: int = 4
+    spark: SparkSession, feed_dir: str, schema: T.StructType, loader, checkpoint: str, bytes_per_batch: str | None = None,
 ) -> None:
-    """Load all files now present, in batches, and stop."""
-    stream = (
-        spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).json(feed_dir))
+    """Load the files that are new since the last call with this checkpoint, and stop.
+
+    One batch takes all of them, unless the caller sets a size ("10g").
+    """
+    reader = spark.readStream.schema(schema)
+    if bytes_per_batch:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
     query = (
-        stream.writeStream.foreachBatch(loader)
-        .option("checkpointLocation", scratch_path(spark, "stream"))
+        reader.json(feed_dir).writeStream.foreachBatch(loader).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start())
     query.awaitTermination()
 
 
 def load_feed(
     spark: SparkSession, feed_dir: str, schema: T.StructType, key: str, order: list[str],
-    fact_columns: list[str], files_per_batch: int = 4,
+    fact_columns: list[str], target: str, checkpoint: str, bytes_per_batch: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """(dimension rows, fact rows) after loading every run file below `feed_dir`."""
-    dim_path, fact_path = scratch_path(spark, "dim"), scratch_path(spark, "facts")
+    """(dimension rows, fact rows) in the folder `target` after loading what is new below `feed_dir`.
+
+    Target and checkpoint are the caller's and stay: the next call adds only new files.
+    """
+    dim_path, fact_path = f"{target}/dim", f"{target}/facts"
     dim_columns = [f.name for f in schema.fields if f.name not in fact_columns or f.name in (key, *order)]
 
     def loader(batch: DataFrame, batch_id: int) -> None:
@@ -64,7 +70,7 @@ def load_feed(
         load_new_keys(good.select(*dim_columns), batch_id, dim_path, key, order)
         load_facts(good.select(*dict.fromkeys([key, *fact_columns])), batch_id, fact_path)
 
-    run_available(spark, feed_dir, schema, loader, files_per_batch)
+    run_available(spark, feed_dir, schema, loader, checkpoint, bytes_per_batch)
     return spark.read.parquet(dim_path).drop("batch"), spark.read.parquet(fact_path).drop("batch")
 
 
