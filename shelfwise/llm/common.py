@@ -35,10 +35,10 @@ def text_bytes(value: bytes | None) -> list[bytes]:
     return value.lower().split() if value else []
 
 
-def counted(pairs: Iterable[tuple[list[bytes], int]], most: int = 400_000) -> Iterator[Counter]:
-    """Sums of words, given up whenever more than `most` different ones are held."""
+def counted(texts: Iterable[list], most: int = 400_000) -> Iterator[Counter]:
+    """Sums of the texts' words, given up whenever more than `most` different ones are held."""
     held: Counter = Counter()
-    for words, _ in pairs:
+    for words in texts:
         held.update(words)
         if len(held) > most:
             yield held

@@ -96,6 +96,13 @@ class Profiles:
         for lang, gram, place in rows:
             self.places[np.searchsorted(self.numbers, np.uint64(gram)), column[lang]] = place
 
+    def accepts(self, text: str | None, least_score: float) -> bool:
+        """Whether the text is in one of the languages; with none learned, whether it has a letter."""
+        if not self.langs:
+            return bool(text) and len(grams(text)[0]) > 0
+        lang, score = self.predict(text)
+        return lang != UNKNOWN and score >= least_score
+
     def predict(self, text: str | None) -> tuple[str, float]:
         if not text or not self.langs:
             return UNKNOWN, 0.0
@@ -153,7 +160,8 @@ LEAST_SCORE = 0.1
 def keep_identified(docs: DataFrame, least_score: float = LEAST_SCORE) -> DataFrame:
     """The rows of docs, whole, whose text is in one of the learned languages.
 
-    Rejected: null text, text without letters, text with a score below `least_score`.
+    Rejected: null text, text without letters, text with a score below `least_score`. Where no
+    language could be learned, every text with a letter stays.
     """
     model = learn(docs.where(F.coalesce(fold("doc_id", 5) != 0, F.lit(False))))
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -161,7 +169,6 @@ def keep_identified(docs: DataFrame, least_score: float = LEAST_SCORE) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         profiles = shared.value
         for batch in batches:
-            said = [profiles.predict(t) for t in batch.column("text").to_pylist()]
-            yield batch.filter(pa.array([lang != UNKNOWN and score >= least_score for lang, score in said], pa.bool_()))
+            yield batch.filter(pa.array([profiles.accepts(t, least_score) for t in batch.column("text").to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

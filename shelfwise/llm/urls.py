@@ -67,7 +67,7 @@ WORDS_SCHEMA = pa.schema([("word", pa.string()), ("n", pa.int64())])
 
 def page_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     texts = (LETTERS.findall(TAGS.sub(" ", t).lower()) for b in batches for t in b.column(0).to_pylist() if t)
-    for held in counted((words, 1) for words in texts):
+    for held in counted(texts):
         yield rows_to_batch(list(held.items()), WORDS_SCHEMA)
 
 
