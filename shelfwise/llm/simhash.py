@@ -237,6 +237,6 @@ def one_of_each(docs: DataFrame, most: int = MOST, stored: bool = False) -> Data
     numbered = (docs if stored else materialise(docs, "simhash-docs")).withColumn("_simhash_row", F.monotonically_increasing_id())
     rows = materialise(grouped(numbered.select("doc_id", "_simhash_row", "text"), ["doc_id", "_simhash_row"], most), "simhash-roots")
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("_simhash_row"))
-    kept = rows.groupBy("root").agg(F.min(order).getField("_simhash_row").alias("_kept"))
+    kept = materialise(rows.groupBy("root").agg(F.min(order).getField("_simhash_row").alias("_kept")), "simhash-kept")
     gone = materialise(rows.join(kept, "root").where("_simhash_row <> _kept").select("_simhash_row"), "simhash-gone")
     return numbered.join(gone, "_simhash_row", "left_anti").select(*docs.columns)
