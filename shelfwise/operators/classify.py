@@ -18,14 +18,12 @@ def _under(size: Column, least: int | None) -> Column:
 
 def is_bad_html(html: Column, least_bytes: int | None = None) -> Column:
     """A block notice anywhere in the document. `least_bytes`: shorter documents are bad as well."""
-    return F.coalesce(
-        _under(F.octet_length(html), least_bytes) | has_any(html, lexicon.BLOCK_NEEDLES), F.lit(True))
+    return html.isNull() | _under(F.octet_length(html), least_bytes) | has_any(html, lexicon.BLOCK_NEEDLES)
 
 
 def is_shell(html: Column, least_chars: int | None = None) -> Column:
     """A consent shell or block page: a marker anywhere. `least_chars`: shorter documents count too."""
-    return F.coalesce(
-        has_any(html, lexicon.SHELL_MARKERS) | _under(F.length(html), least_chars), F.lit(True))
+    return html.isNull() | has_any(html, lexicon.SHELL_MARKERS) | _under(F.length(html), least_chars)
 
 
 def is_blocked(
@@ -36,8 +34,8 @@ def is_blocked(
     size = F.octet_length(html)
     by_title = bind(
         H.leading_text(html, "title"),
-        lambda t: F.coalesce(has_any(t, lexicon.BLOCK_TITLE_NEEDLES), _under(size, untitled_bytes)))
-    rules = by_title | _under(size, least_bytes) | has_any(html, lexicon.BLOCK_BODY_NEEDLES)
+        lambda t: has_any(t, lexicon.BLOCK_TITLE_NEEDLES) | (t.isNull() & _under(size, untitled_bytes)))
+    rules = html.isNull() | by_title | _under(size, least_bytes) | has_any(html, lexicon.BLOCK_BODY_NEEDLES)
     if status is not None:
         rules = F.coalesce(status.isin(lexicon.BLOCK_STATUS), F.lit(False)) | rules
     return F.coalesce(rules, F.lit(True))

@@ -70,7 +70,33 @@ def test_resolve_agrees_with_the_standard_library(spark):
 
 def test_next_page(spark):
     assert values(spark, lambda c: url.next_page(c, "bax"), ["http://x/a?page=9&q=1", "http://x/a"]) == ["http://x/a?page=10&q=1", None]
-    assert values(spark, lambda c: url.next_page(c, "bol"), ["http://x/a", "http://x/a?page=120"]) == ["http://x/a?page=2", None]
+    pages = ["http://x/a", "http://x/a?page=120"]
+    assert values(spark, lambda c: url.next_page(c, "bol"), pages) == ["http://x/a?page=2", "http://x/a?page=121"]
+    assert values(spark, lambda c: url.next_page(c, "bol", 120), pages) == ["http://x/a?page=2", None]
+
+
+def test_nodes_of_any_depth(spark):
+    from shelfwise.functions import jsonld
+
+    def block(n):
+        return '<script type="application/ld+json">' + '{"@graph": [[' * n + '{"@type": "Product", "name": "x"}' + "]]}" * n + "</script>"
+
+    pages = [block(0), block(1), block(6) + block(2), block(12), '<script type="application/ld+json">[[[{"@type": "Product"}, 1], []]]</script>', ""]
+    found = values(spark, lambda c: F.size(jsonld.of_type(jsonld.nodes(jsonld.blocks(c)), "Product")), pages)
+    assert found == [1, 1, 2, 1, 1, 0]
+
+
+def test_long_texts_are_read_whole(spark):
+    from shelfwise.functions import price, stock
+    from shelfwise.operators import classify
+
+    long = "x " * 20_000
+    assert values(spark, lambda c: stock.from_text(c, "bol"), [long + "niet leverbaar", "Niet op voorraad"]) == [False, False]
+    assert values(spark, lambda c: stock.from_text(c, "bax"), ["Niet op voorraad", long + "op voorraad"]) == [False, True]
+    assert values(spark, lambda c: price.embedded_price(F.concat(F.array_repeat(F.lit("a"), 50), F.array(c))), ['{"price": 12.5}']) == [12.5]
+    assert values(spark, lambda c: classify.is_bad_html(c), [long + "captcha", "short"]) == [True, False]
+    assert values(spark, lambda c: classify.is_bad_html(c, 800), ["short", long]) == [True, False]
+    assert values(spark, lambda c: classify.is_blocked(c, None, None, 20000), ["<p>no title</p>", "<title>t</title>"]) == [True, False]
 
 
 def test_buy_block_edges(spark):
@@ -102,8 +128,11 @@ def test_visible_text_leaves_scripts_out(spark):
 
 def test_blocked_pages(spark):
     long_page = "<title>ok</title>" + "x" * 90_000
-    assert values(spark, classify.is_blocked, [long_page, "short", None, "<title>Captcha</title>" + "x" * 90_000]) == [False, True, True, True]
-    assert values(spark, classify.is_bad_html, [long_page, None, "captcha" + "x" * 900, "x" * 6000 + "captcha"]) == [False, True, True, False]
+    pages = [long_page, "short", None, "<title>Captcha</title>" + "x" * 90_000]
+    assert values(spark, classify.is_blocked, pages) == [False, False, True, True]
+    assert values(spark, lambda c: classify.is_blocked(c, least_bytes=5000), pages) == [False, True, True, True]
+    assert values(spark, classify.is_bad_html, [long_page, None, "captcha" + "x" * 900, "x" * 6000 + "captcha"]) == [False, True, True, True]
+    assert values(spark, classify.is_shell, [long_page, None]) == [False, True]
 
 
 def test_support_flags_are_three_valued(spark):
