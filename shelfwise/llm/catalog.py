@@ -68,8 +68,8 @@ VECTORS_SQL = """
 WITH RECURSIVE valid AS (
   SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
   WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    AND len([x FOR x IN embedding IF x <> 0]) > 0),
 links AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM valid a JOIN valid b
     ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
