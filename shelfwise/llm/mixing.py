@@ -84,12 +84,13 @@ def mix(
         (copies * F.col("size")).alias("taken"))
 
 
-def emit(docs: DataFrame, stored: bool = False, **options) -> DataFrame:
+def emit(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: each row of docs as often as its copies say, with its own columns.
 
-    Rows are numbered and read twice; what is not a `stored` table is written first.
+    Rows are read twice, so their numbers are written with them: numbers given to a scan change
+    with its splits, which follow the cores there are when it is planned.
     """
-    numbered = (docs if stored else materialise(docs, "mix-docs")).withColumn("_mix_row", F.monotonically_increasing_id())
+    numbered = materialise(docs.withColumn("_mix_row", F.monotonically_increasing_id()), "mix-docs")
     copies = mix(numbered.select("_mix_row", "text", "source"), key="_mix_row", **options).where("copies > 0")
     return (
         numbered.join(copies.select("_mix_row", F.col("copies").alias("_mix_copies")), "_mix_row")

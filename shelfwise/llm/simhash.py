@@ -229,12 +229,12 @@ def near_duplicates(docs: DataFrame, most: int = MOST) -> DataFrame:
     return rows.join(least, "root").select("doc_id", hex_of(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-def one_of_each(docs: DataFrame, most: int = MOST, stored: bool = False) -> DataFrame:
+def one_of_each(docs: DataFrame, most: int = MOST) -> DataFrame:
     """The rows of docs, whole: of each group the one with the smallest doc_id, the first if repeated.
 
-    Rows are numbered and read twice; what is not a `stored` table is written first.
+    Rows are read twice, so their numbers are written with them, as a scan may be split anew.
     """
-    numbered = (docs if stored else materialise(docs, "simhash-docs")).withColumn("_simhash_row", F.monotonically_increasing_id())
+    numbered = materialise(docs.withColumn("_simhash_row", F.monotonically_increasing_id()), "simhash-docs")
     rows = materialise(grouped(numbered.select("doc_id", "_simhash_row", "text"), ["doc_id", "_simhash_row"], most), "simhash-roots")
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("_simhash_row"))
     kept = materialise(rows.groupBy("root").agg(F.min(order).getField("_simhash_row").alias("_kept")), "simhash-kept")
