@@ -16,6 +16,7 @@ from (held_out true); repeated rows are predicted alike; other columns are not l
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -96,26 +97,38 @@ class Profiles:
         for lang, gram, place in rows:
             self.places[np.searchsorted(self.numbers, np.uint64(gram)), column[lang]] = place
 
-    def accepts(self, text: str | None, least_score: float) -> bool:
-        """Whether the text is in one of the languages; with none learned, whether it has a letter."""
+    def accepts(self, text: str | None, least_score: float, limits: dict[tuple[str | None, int], float] | None = None) -> bool:
+        """Whether the text is in one of the languages; with none learned, whether it has a letter.
+
+        limits: least score by language and length class, and by class alone, where they are known."""
         if not self.langs:
             return bool(text) and len(grams(text)[0]) > 0
-        lang, score = self.predict(text)
-        return lang != UNKNOWN and score >= least_score
+        lang, score, size = self.judge(text)
+        limits = limits or {}
+        return lang != UNKNOWN and score >= max(least_score, limits.get((lang, size), limits.get((None, size), least_score)))
 
     def predict(self, text: str | None) -> tuple[str, float]:
+        return self.judge(text)[:2]
+
+    def judge(self, text: str | None) -> tuple[str, float, int]:
+        """Language, score and length class of a text."""
         if not text or not self.langs:
-            return UNKNOWN, 0.0
+            return UNKNOWN, 0.0, 0
         own = top(*grams(text), self.size)
         if not len(own):
-            return UNKNOWN, 0.0
+            return UNKNOWN, 0.0, 0
         at = np.minimum(np.searchsorted(self.numbers, own), len(self.numbers) - 1)
         known = self.numbers[at] == own
         places = self.places[at[known]]
         moved = np.minimum(np.abs(places - np.flatnonzero(known)[:, None]), self.size)
         distance = np.where(places < 0, self.size, moved).sum(0) + self.size * int((~known).sum())
         best = int(np.argmin(distance))
-        return self.langs[best], float(1 - distance[best] / (self.size * len(own)))
+        return self.langs[best], float(1 - distance[best] / (self.size * len(own))), length_class(len(own))
+
+
+def length_class(grams_of_text: int) -> int:
+    """Texts of about the same number of different n-grams, the profile's length at most."""
+    return grams_of_text.bit_length()
 
 
 def learn(docs: DataFrame, size: int = PROFILE, most_languages: int = MOST_LANGUAGES) -> Profiles:
@@ -155,20 +168,75 @@ def identify(docs: DataFrame, parts: int = 5, size: int = PROFILE) -> DataFrame:
 
 # A text whose n-grams lie this far from every profile is in none of the languages.
 LEAST_SCORE = 0.1
+# Limits lie so far below the score that all but a few in a thousand of the labelled texts reach.
+MARGIN, ODD = 0.15, 0.002
+# Fewer scores than these set no limit of a length class; a language with fewer has the limit of all.
+LEAST_SCORES = 100
+# Labelled texts are judged whole and by their first words, so that short texts have limits too.
+FIRST_WORDS = (1, 2, 4, 8, 16, 32, 64, 128, 256)
+SCORES = pa.schema([("lang", pa.string()), ("size", pa.int32()), ("score", pa.float64())])
+
+
+def starts_of(text: str) -> list[str]:
+    """A text's first words, in all lengths it has, and the text."""
+    words = text.split(maxsplit=FIRST_WORDS[-1])
+    return [" ".join(words[:n]) for n in FIRST_WORDS if n < len(words)] + [text]
+
+
+def learn_limits(docs: DataFrame, model: Profiles, shared) -> dict[tuple[str | None, int], float]:
+    """docs(lang, text), not learned from -> least score by language and length class; None stands
+    for all languages together.
+
+    From the scores of the labelled texts that are judged as labelled. The driver gets a histogram:
+    100 steps of the score for each language and class at most.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        profiles = shared.value
+        for batch in batches:
+            rows = []
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                for part in starts_of(text):
+                    said, score, size = profiles.judge(part)
+                    if said == lang:
+                        rows.append((lang, size, math.floor(score * 100) / 100))
+            yield rows_to_batch(rows, SCORES)
+
+    if not model.langs:
+        return {}
+    counts = (
+        docs.where("lang is not null and text is not null").select("lang", "text").mapInArrow(run, "lang string, size int, score double")
+        .groupBy("lang", "size", "score").count().collect())
+    by: dict[tuple[str | None, int], list[tuple[float, int]]] = {}
+    for r in counts:
+        for lang in (r["lang"], None):
+            by.setdefault((lang, r["size"]), []).append((r["score"], r["count"]))
+    limits = {}
+    for key, scores in by.items():
+        total, below = sum(n for _, n in scores), 0
+        for score, n in sorted(scores):
+            below += n
+            if total >= LEAST_SCORES and below > ODD * total:
+                limits[key] = score - MARGIN
+                break
+    return limits
 
 
 def keep_identified(docs: DataFrame, least_score: float = LEAST_SCORE) -> DataFrame:
     """The rows of docs, whole, whose text is in one of the learned languages.
 
-    Rejected: null text, text without letters, text with a score below `least_score`. Where no
-    language could be learned, every text with a letter stays.
+    Rejected: null text, text without letters, text with a score below the limit of its language
+    and length, which comes from the labelled texts of the fold not learned from (of all languages
+    where those of one are few), or below `least_score` where all are too few. Where no language could be learned, every text with a
+    letter stays.
     """
-    model = learn(docs.where(F.coalesce(fold("doc_id", 5) != 0, F.lit(False))))
+    held = fold("doc_id", 5) == 0
+    model = learn(docs.where(F.coalesce(~held, F.lit(False))))
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    limits = learn_limits(docs.where(F.coalesce(held, F.lit(False))), model, shared)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         profiles = shared.value
         for batch in batches:
-            yield batch.filter(pa.array([profiles.accepts(t, least_score) for t in batch.column("text").to_pylist()], pa.bool_()))
+            yield batch.filter(pa.array([profiles.accepts(t, least_score, limits) for t in batch.column("text").to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
