@@ -2,16 +2,16 @@
 
 Method: of all k-mers (12 code points) of a text those are chosen whose smallest inner s-mer
 (4 code points, by hash) lies at either edge. Whether a k-mer is chosen depends on itself alone,
-so the same passage gives the same anchors wherever it stands. A fingerprint holds the anchors
-with the smallest hashes, 64 at most, each with its place in the order of the text.
+so the same passage gives the same anchors wherever it stands. A fingerprint holds all anchors in
+the order of the text, each with its distance from the one before.
 
-Two fingerprints are compared on the smallest hashes of both together: anchors in both count if
-they are in the longest chain that has the same order in both texts. Likeness is
-2 c / (m + c) for c such anchors of m: the share of text in common.
+Two fingerprints are compared on all anchors: those in both count if they are in the longest chain
+that has the same order in both texts. Likeness is 2 c / (m + c) for c such anchors of m in either:
+the share of text in common.
 
 Defined results: null is empty text; an empty text has the empty fingerprint, alike (1) only to
 another empty one; a text too short or too uniform to have a chosen k-mer has one anchor, made of
-the whole text; an anchor that repeats counts at its first place. The documents are ordered by
+the whole text; the n-th occurrence of an anchor is matched with the n-th in the other text. The documents are ordered by
 doc_id descending, null last, rows with the same id by text hash; the last one's next is the
 first, a single document's next is itself. Other columns are not looked at; an empty table gives
 an empty result.
@@ -33,9 +33,10 @@ from shelfwise.llm.common import rows_to_batch
 from shelfwise.llm.ranges import bounds, parts_for, range_of
 
 K, S = 12, 4
-ANCHORS = 64
 BASE = 0x9E3779B97F4A7C15
-DIGITS = 10  # of an anchor: 8 of the hash, 2 of the place
+# Of an anchor: 8 of the hash, 1 of the distance, as one of K - S + 1 consecutive k-mers is chosen.
+DIGITS = 9
+HEX = np.frombuffer(b"0123456789abcdef", np.uint8)
 
 
 def scramble(x: np.ndarray) -> np.ndarray:
@@ -74,32 +75,61 @@ def anchors(text: str) -> tuple[np.ndarray, np.ndarray]:
     return (scramble(outer[chosen]) >> np.uint64(32)).astype(np.uint32), chosen
 
 
-def fingerprint(text: str) -> str:
-    if not text:
-        return ""
+def anchors_of(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and distances of a text's anchors; one stands for a text without a chosen k-mer."""
     hashes, places = anchors(text)
-    if not len(hashes):
-        return f"{zlib.crc32(text.encode('utf-8', 'surrogatepass')):08x}00"
-    hashes, first = np.unique(hashes, return_index=True)
-    hashes, places = hashes[:ANCHORS], places[first[:ANCHORS]]
-    order = np.empty(len(places), np.int64)
-    order[np.argsort(places)] = np.arange(len(places))
-    return "".join([f"{h:08x}{o:02x}" for h, o in zip(hashes.tolist(), order.tolist())])
+    if text and not len(hashes):
+        return np.array([zlib.crc32(text.encode("utf-8", "surrogatepass"))], np.uint32), np.zeros(1, np.int64)
+    return hashes, np.diff(places, prepend=0)
 
 
-def likeness(a: str, b: str) -> float:
-    if a == b:
+def written(hashes: np.ndarray, distances: np.ndarray) -> str:
+    digits = np.empty((len(hashes), DIGITS), np.uint8)
+    for i in range(8):
+        digits[:, i] = HEX[hashes >> np.uint32(28 - 4 * i) & np.uint32(15)]
+    digits[:, 8] = HEX[distances]
+    return digits.tobytes().decode()
+
+
+def fingerprint(text: str) -> str:
+    return written(*anchors_of(text))
+
+
+def numbered(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each anchor as a number of its hash and of how often it came before, ascending, and its rank
+    in the text."""
+    order = np.argsort(hashes, kind="stable")
+    ordered = hashes[order].astype(np.uint64)
+    first = np.ones(len(ordered), bool)
+    first[1:] = ordered[1:] != ordered[:-1]
+    at = np.arange(len(ordered))
+    return ordered << np.uint64(32) | (at - np.maximum.accumulate(np.where(first, at, 0))).astype(np.uint64), order
+
+
+def alike(a: np.ndarray, b: np.ndarray) -> float:
+    """Likeness of two texts by the hashes of their anchors, in text order."""
+    if len(a) == len(b) and (a == b).all():
         return 1.0
-    if not a or not b:
+    if not len(a) or not len(b):
         return 0.0
-    one = {a[i:i + 8]: a[i + 8:i + DIGITS] for i in range(0, len(a), DIGITS)}
-    two = {b[i:i + 8]: b[i + 8:i + DIGITS] for i in range(0, len(b), DIGITS)}
-    both = sorted(one.keys() | two.keys())[:ANCHORS]
-    chain: list[str] = []
-    for _, place in sorted((one[h], two[h]) for h in both if h in one and h in two):
-        at = bisect_left(chain, place)
-        chain[at:at + 1] = [place]
-    return 2 * len(chain) / (len(both) + len(chain))
+    (one, rank_one), (two, rank_two) = numbered(a), numbered(b)
+    _, in_one, in_two = np.intersect1d(one, two, assume_unique=True, return_indices=True)
+    place = rank_two[in_two][np.argsort(rank_one[in_one])]
+    if (place[1:] > place[:-1]).all():
+        length = len(place)
+    else:
+        chain: list[int] = []
+        for x in place.tolist():
+            at = bisect_left(chain, x)
+            chain[at:at + 1] = [x]
+        length = len(chain)
+    return 2 * length / (len(a) + len(b) - len(place) + length)
+
+
+def likeness(a: str, b: str) -> float:
+    """Likeness of two fingerprints."""
+    read = lambda x: np.array([int(x[i:i + 8], 16) for i in range(0, len(x), DIGITS)], np.uint32)
+    return alike(read(a), read(b))
 
 
 OUT = pa.schema([
@@ -114,20 +144,20 @@ def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for doc_id, text, context in zip(*(batch.column(i).to_pylist() for i in range(3))):
             text = text or ""
-            own = fingerprint(text)
+            own = anchors_of(text)
             if held:
                 rows.append(judged(*held, text, own))
             held = None if context else (doc_id, text, own)
         yield rows_to_batch(rows, OUT)
 
 
-def judged(doc_id, text: str, own: str, after: str, next_print: str) -> tuple:
+def judged(doc_id, text: str, own: tuple, after: str, following: tuple) -> tuple:
     n = len(text)
     edited = text[:n - n // 2] + after[:n // 2]
-    changed = fingerprint(edited)
+    changed = anchors_of(edited)
     return (
-        doc_id, n, hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(), own, changed,
-        likeness(own, changed), likeness(own, next_print))
+        doc_id, n, hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(), written(*own), written(*changed),
+        alike(own[0], changed[0]), alike(own[0], following[0]))
 
 
 def compare(docs: DataFrame) -> DataFrame:
