@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.llm import jaccard, language, mixing, packing, simhash
+from shelfwise.llm import language, mixing, packing, simhash
 from shelfwise.llm.catalog import tokenizer
 from shelfwise.llm.common import documents, prepared
 from shelfwise.session import materialise
@@ -21,9 +21,9 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of texts linked by five-word shingles one document stays."""
+    """Of each group of texts with fingerprints of three-word shingles within two bits one document stays."""
     prepared(spark)
-    return simhash.one_of_each(docs, jaccard.grouped)
+    return simhash.one_of_each(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
