@@ -19,7 +19,7 @@ not looked at.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -229,13 +229,13 @@ def near_duplicates(docs: DataFrame, most: int = MOST) -> DataFrame:
     return rows.join(least, "root").select("doc_id", hex_of(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-def one_of_each(docs: DataFrame, groups: Callable[[DataFrame, list[str]], DataFrame] = grouped) -> DataFrame:
+def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of docs, whole: of each group the one with the smallest doc_id, the first if repeated.
 
     Rows are read twice, so their numbers are written with them, as a scan may be split anew.
     """
     numbered = materialise(docs.withColumn("_simhash_row", F.monotonically_increasing_id()), "simhash-docs")
-    rows = materialise(groups(numbered.select("doc_id", "_simhash_row", "text"), ["doc_id", "_simhash_row"]), "simhash-roots")
+    rows = materialise(grouped(numbered.select("doc_id", "_simhash_row", "text"), ["doc_id", "_simhash_row"]), "simhash-roots")
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("_simhash_row"))
     kept = materialise(rows.groupBy("root").agg(F.min(order).getField("_simhash_row").alias("_kept")), "simhash-kept")
     gone = materialise(rows.join(kept, "root").where("_simhash_row <> _kept").select("_simhash_row"), "simhash-gone")
