@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.llm import language, mixing, nndescent, packing, simhash, suffixtree, syncmers, tokencount, tokenstore, urls
+from shelfwise.llm import exactdedup, language, mixing, nndescent, packing, simhash, suffixtree, syncmers, tokencount, tokenstore, urls
 from shelfwise.llm.common import documents, prepared
 from shelfwise.session import table
 
@@ -131,3 +131,16 @@ def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_url_filters")
 def url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"))
+
+
+EXACT_SQL = """
+WITH normal AS (
+  SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+same AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM normal GROUP BY t)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM normal JOIN same USING (t)
+"""
+
+
+@query("op13_exact_dedup", EXACT_SQL)
+def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exactdedup.duplicates(spark, f"{sf_dir}/documents.parquet")
