@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.llm import exactdedup, language, mixing, nndescent, packing, simhash, suffixtree, syncmers, tokencount, tokenstore, urls
+from shelfwise.llm import convtrie, exactdedup, language, mixing, nndescent, packing, simhash, suffixtree, syncmers, tokencount, tokenstore, urls
 from shelfwise.llm.common import documents, prepared
 from shelfwise.session import table
 
@@ -144,3 +144,44 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_
 @query("op13_exact_dedup", EXACT_SQL)
 def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exactdedup.duplicates(spark, f"{sf_dir}/documents.parquet")
+
+
+# crc32 is spelled out: eight shifts for each digit.
+TRIE_SQL = """
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+      md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS place
+  FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS base, count(*) AS size,
+    xor(4294967295, list_reduce([4294967295] || flatten([[ord(x), 0, 0, 0, 0, 0, 0, 0]::BIGINT[] FOR x IN string_split(CAST(conv_id AS VARCHAR), '')]),
+      lambda a, e: xor(xor(a, e) >> 1, 3988292384 * (xor(a, e) & 1)))) % 6 AS h
+  FROM turns GROUP BY conv_id),
+convs AS (
+  SELECT i.*, least(i.h, coalesce(b.size, 0)) AS taken FROM ids i LEFT JOIN ids b ON i.base = b.conv_id),
+rebuilt AS (
+  SELECT c.conv_id, t.place AS depth, t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.base AND t.place <= c.h
+  UNION ALL SELECT c.conv_id, t.place - c.h + c.taken, t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.place > c.h),
+paths AS (
+  SELECT conv_id, depth, list({'role': role, 'text': text}) OVER (PARTITION BY conv_id ORDER BY depth) AS path FROM rebuilt
+  UNION ALL SELECT conv_id, 0, [] FROM ids),
+nodes AS (SELECT path, min(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs FROM paths GROUP BY path),
+linked AS (
+  SELECT n.*, p.conv_id AS parent_conv_id, coalesce((n.n_convs - 1) * length(n.path[n.depth].text), 0) AS own,
+    (SELECT count(*) FROM nodes c WHERE c.depth = n.depth + 1 AND list_slice(c.path, 1, n.depth) = n.path) AS n_children
+  FROM nodes n LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.path = list_slice(n.path, 1, n.depth - 1)),
+sums AS (
+  SELECT list_slice(path, 1, d) AS path, sum(own) AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM linked) GROUP BY 1),
+lasts AS (SELECT conv_id, arg_max(path, depth) AS path FROM paths GROUP BY conv_id),
+ended AS (SELECT path, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ids FROM lasts GROUP BY path)
+SELECT l.conv_id, CAST(l.depth AS BIGINT) AS depth, l.parent_conv_id, l.n_convs, l.n_children, s.n_leaves,
+  CAST(s.saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM linked l JOIN sums s ON s.path = l.path LEFT JOIN ended e ON e.path = l.path
+"""
+
+
+@query("op11_conversation_trie", TRIE_SQL)
+def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return convtrie.trie(table(spark, sf_dir, "conversations"))
