@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.llm import convtrie, exactdedup, language, mixing, nndescent, packing, simhash, suffixtree, syncmers, tokencount, tokenstore, urls
+from shelfwise.llm import (
+    alignment, convtrie, exactdedup, language, mixing, nndescent, packing, simhash, suffixtree, syncmers, tokencount, tokenstore, urls)
 from shelfwise.llm.common import documents, prepared
 from shelfwise.session import table
 
@@ -185,3 +186,8 @@ FROM linked l JOIN sums s ON s.path = l.path LEFT JOIN ended e ON e.path = l.pat
 @query("op11_conversation_trie", TRIE_SQL)
 def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return convtrie.trie(table(spark, sf_dir, "conversations"))
+
+
+@query("op12_tokenizer_alignment")
+def tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.compare(documents(spark, sf_dir), tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"))
