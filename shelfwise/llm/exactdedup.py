@@ -32,6 +32,8 @@ ROCKSDB = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # Each partition's store would set aside megabytes that it never fills.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 # A locator is a file's number and a row's place in it; with an id before it, it fits 38 digits.
 PLACE_BITS, LOCATOR_BITS = 32, 62
