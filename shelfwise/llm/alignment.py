@@ -31,11 +31,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.encoding import byte_letters, encoder
+from shelfwise.llm.encoding import Encoder, byte_letters
 from shelfwise.session import materialise
 
 # Bytes of text of a block; a longer text is a block of its own.
-BLOCK = 2_000_000
+BLOCK = 500_000
+# Pre-tokens whose ids a worker keeps.
+MOST_PIECES = 150_000
 # A pair in one number: first id above, second below.
 HALF = 32
 SPACE = "▁"
@@ -47,7 +49,7 @@ class Tokenizers:
     def __init__(self, byte_path: str, piece_path: str):
         import sentencepiece
 
-        self.first, self.second = encoder(byte_path), sentencepiece.SentencePieceProcessor(model_file=piece_path)
+        self.first, self.second = Encoder(byte_path, MOST_PIECES), sentencepiece.SentencePieceProcessor(model_file=piece_path)
         place = {letter: value for value, letter in enumerate(byte_letters())}
         with open(byte_path, encoding="utf-8") as f:
             added = {t["id"]: t["content"].encode() for t in json.load(f).get("added_tokens", [])}
@@ -157,6 +159,7 @@ def align_blocks(byte_path: str, piece_path: str, block: int):
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if ids and size + len(text or "") > block:
                     yield align(ids, texts, tools)
+                    pa.default_memory_pool().release_unused()
                     ids, texts, size = [], [], 0
                 ids.append(doc_id)
                 texts.append(text)
