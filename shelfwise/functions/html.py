@@ -137,12 +137,33 @@ def anchors(html: Column) -> Column:
     return F.filter(found, lambda a: a["href"].isNotNull() & (a["href"] != ""))
 
 
-_NAV = r"(?is)<(nav|ol)\b[^>]*>.*?</\1\s*>"
+_NAV_EDGE = r"(?i)(?=</?(?:nav|ol)\b)"
+_NAV_TAG = r"(?is)^<(/?)(nav|ol)\b[^>]*>"
+# Stands before each outermost block; a control character that no page text holds.
+_CUT = "\x01"
 
 
 def nav_blocks(html: Column) -> Column:
-    """Navigation elements and ordered lists, whole."""
-    return F.regexp_extract_all(html, F.lit(_NAV), F.lit(0))
+    """Outermost navigation elements and ordered lists, whole, with all that is nested in them.
+
+    The page is cut before each start and end tag of these kinds; a fold over the cuts counts how many
+    of each kind are open. An end tag without a start is passed over, an open element ends with the page.
+    """
+    cuts = F.split(F.regexp_replace(html, _CUT, " "), _NAV_EDGE)
+    start = F.struct(F.lit(0).alias("nav"), F.lit(0).alias("ol"), F.array().cast("array<string>").alias("kept"))
+
+    def step(state: Column, cut: Column) -> Column:
+        kind = F.lower(F.regexp_extract(cut, _NAV_TAG, 2))
+        move = F.when(F.regexp_extract(cut, _NAV_TAG, 1) == "/", -1).otherwise(1)
+        now = {k: F.greatest(state[k] + F.when(kind == k, move).otherwise(0), F.lit(0)) for k in ("nav", "ol")}
+        before, after = state["nav"] + state["ol"] > 0, now["nav"] + now["ol"] > 0
+        part = (
+            F.when(after & ~before, F.concat(F.lit(_CUT), cut)).when(after, cut)
+            .when(before, F.regexp_extract(cut, _NAV_TAG, 0)).otherwise(""))
+        return F.struct(now["nav"].alias("nav"), now["ol"].alias("ol"), F.array_append(state["kept"], part).alias("kept"))
+
+    joined = F.aggregate(cuts, start, step, lambda state: F.array_join(state["kept"], ""))
+    return F.filter(F.split(joined, _CUT), lambda block: block != "")
 
 
 def nav_links(html: Column) -> Column:

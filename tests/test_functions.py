@@ -138,3 +138,25 @@ def test_blocked_pages(spark):
 def test_support_flags_are_three_valued(spark):
     got = values(spark, lambda c: support.shipping_included(c, "bol"), ["gratis verzending", "verzendkosten", "x"])
     assert got == [True, False, None]
+
+
+def test_nested_navigation_keeps_all_links(spark):
+    from shelfwise.functions import html as H
+
+    pages = [
+        ("<ol><li><a href='/a'>a</a><ol><li><a href='/b'>b</a></ol><li><a href='/c'>c</a></ol><a href='/out'>o</a>", ["/a", "/b", "/c"], 1),
+        ("<nav><ol><a href='/a'></a></ol><nav><a href='/b'></a></nav><a href='/c'></a></nav><ol><a href='/d'></a></ol>", ["/a", "/b", "/c", "/d"], 2),
+        ("</ol><a href='/x'></a><NAV class='n'><a href='/a'></a>", ["/a"], 1),
+        ("<navy><a href='/x'></a></navy><p>no list", [], 0), ("", [], 0)]
+    rows = spark.createDataFrame([(i, p[0]) for i, p in enumerate(pages)], "i int, h string")
+    got = rows.select("i", H.nav_links(F.col("h")).alias("links"), F.size(H.nav_blocks(F.col("h"))).alias("n")).orderBy("i").collect()
+    assert [(r.links, r.n) for r in got] == [(p[1], p[2]) for p in pages]
+
+
+def test_price_in_a_buy_block_is_known_by_place(spark):
+    from shelfwise.functions import blocks as B
+
+    html = ("<div class='price'><b>9,99</b></div><div data-test='buy-block'>9,99 <span class='price'><i>19,99</i></span></div>"
+            "<div class='price'><b>29,99</b></div>")
+    staged = spark.createDataFrame([(html,)], "h string").withColumn("m", B.marks(F.col("h")))
+    assert staged.select(B.texts_within(F.col("m"), "price", "buy_block").alias("t")).first().t == ["19,99"]
