@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from shelfwise.catalog.registry import query
 from shelfwise.plans import normalise
 from shelfwise.plans.reskin import listing_url
-from shelfwise.session import scratch_path, table
+from shelfwise.session import materialise, scratch_path, table
 from shelfwise.sources import feeds
 from shelfwise.sources.schema import empty, feed_schema
 
@@ -69,6 +69,39 @@ def feed_array_detect(spark, d):
     return feeds.good(feed).select("event_id", "type", "user_id")
 
 
+@query("feed_array_layouts", """
+    SELECT layout, event_type AS type, count(*) AS n, sum(event_id)::BIGINT AS ids, sum(length(props))::BIGINT AS props_length
+    FROM events, (SELECT unnest(['one line', 'array of lines', 'pretty', 'lines']) AS layout) WHERE event_id % 50 <> 7 GROUP BY 1, 2
+    UNION ALL SELECT layout, 'bad', count(*), NULL, NULL
+    FROM events, (SELECT unnest(['array of lines', 'pretty', 'lines']) AS layout) WHERE event_id % 50 = 7 GROUP BY 1""")
+def feed_array_layouts(spark, d):
+    """Four files, one of each layout; all but the one on a single line hold broken records too."""
+    r = _records(spark, d)
+    json = _json(r)
+    broken = (F.col("event_id") % 50 == 7) & (F.col("layout") != "one line")
+    pretty = F.regexp_replace(F.regexp_replace(json, r'^\{(?=")', '  {\n    '), r"\}$", "\n  }")
+    body = F.when(F.col("layout") == "pretty", pretty).otherwise(json)
+    cut = F.when(broken, F.substring_index(body, '"props"', 1)).otherwise(body)
+    parts = []
+    for name in ("one line", "array of lines", "pretty", "lines"):
+        here = r.withColumn("layout", F.lit(name)).where((F.col("event_id") % 50 != 7) | (F.col("layout") != "one line"))
+        low, high = here.agg(F.min("event_id"), F.max("event_id")).first()
+        first, last = F.col("event_id") == low, F.col("event_id") == high
+        before, after = {
+            "one line": (F.when(first, "[").otherwise(""), F.when(last, "]").otherwise(",")), "lines": (F.lit(""), F.lit("")),
+        }.get(name, (F.when(first, "[\n").otherwise(""), F.when(last, "\n]").otherwise(",")))
+        path = scratch_path(spark, "layout")
+        (here.select("event_id", F.concat(before, cut, after).alias("value")).repartition(1).sortWithinPartitions("event_id").select("value")
+         .write.option("lineSep", " " if name == "one line" else "\n").text(path))
+        feed = materialise(feeds.read_feed(spark, path, EVENT_FEED, layout="any"), "layout-feed")
+        good = feeds.good(feed).groupBy("type").agg(
+            F.count("*").alias("n"), F.sum("event_id").alias("ids"), F.sum(F.length("props")).cast("long").alias("props_length"))
+        bad = feeds.quarantined(feed).groupBy(F.lit("bad").alias("type")).agg(F.count("*").alias("n")).withColumns(
+            {"ids": F.lit(None).cast("long"), "props_length": F.lit(None).cast("long")})
+        parts.append(good.unionByName(bad).withColumn("layout", F.lit(name)))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query("feed_route", """
     SELECT event_type AS target, event_id, (props->>'$.k')::BIGINT AS k FROM events
     WHERE event_type IN ('purchase', 'view', 'click', 'signup', 'error')""")

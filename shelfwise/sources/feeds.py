@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwise.functions import keys, text, url
+from shelfwise.sources import layouts
 from shelfwise.sources.schema import empty, feed_schema
 
 BAD_LINE = "_bad_line"
@@ -20,14 +21,20 @@ def read_feed(
     schema: T.StructType | None = None,
     bad_lines: str = "quarantine",
     missing: str = "raise",
+    layout: str = "lines",
 ) -> DataFrame:
     """JSON lines, or an array with one object per line; blank lines are skipped.
 
+    `layout`: 'any' reads arrays in every layout, pretty-printed or on one line, many tasks per file;
+    it quarantines bad records.
+
     `bad_lines`: 'quarantine' keeps them in `_bad_line`, 'drop' leaves them out,
     'fail' stops. The brackets of an array feed are no records and are left out.
     `missing`: 'raise', or 'empty' for an empty feed with the schema.
     """
     schema = schema or feed_schema()
+    if layout == "any":
+        return layouts.read(spark, path, schema, BAD_LINE)
     reader = spark.read.option("mode", MODES[bad_lines])
     full = schema
     if bad_lines == "quarantine":
