@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfwise import lexicon
 from shelfwise.catalog.registry import query
@@ -10,7 +11,7 @@ from shelfwise.functions import keys
 from shelfwise.operators import integrity, loading, resolve
 from shelfwise.plans import normalise, reskin, typed_feed
 from shelfwise.session import materialise, scratch_path, table
-from shelfwise.sources import feeds, schema
+from shelfwise.sources import feeds, schema, stored
 
 _KEY = "('0x' || substr(md5({x}), 1, 12))::BIGINT"
 _URL = "'https://shop' || l_suppkey || '.example.com/p/' || l_partkey"
@@ -324,3 +325,31 @@ def typed_load_service(spark, d):
     """Service rows find their listing by key; rows without one, or with an unknown one, stay."""
     t = _typed_tables(spark, d)["customer_service"]
     return t.select("cooling_off_days", F.col("free_returns").cast("int").alias("free_returns"), "listing_id")
+
+
+_STORED = T.StructType().add("order_id", "long").add("line", "long").add("status", "string").add("cents", "long")
+
+
+@query("load_stored_twice", """
+    WITH o AS (SELECT o_orderkey AS k, o_orderstatus AS s, CAST(round(o_totalprice * 100) AS BIGINT) AS c FROM orders)
+    SELECT k AS order_id, k % 4 = 1 AS replaced, CASE WHEN k % 4 = 1 THEN 'new ' || s ELSE s END AS status,
+      CASE WHEN k % 5 = 0 THEN 1 WHEN k % 4 = 1 THEN c + 1 ELSE c END AS cents
+    FROM o WHERE k % 3 <> 0 OR k % 4 = 1""")
+def load_stored_twice(spark, d):
+    """Insert-ignore, replace and upsert into a stored table, each feed loaded twice."""
+    o = table(spark, d, "orders").select(
+        F.col("o_orderkey").cast("long").alias("order_id"), F.lit(1).cast("long").alias("line"), F.col("o_orderstatus").alias("status"),
+        F.round(F.col("o_totalprice") * 100).cast("long").alias("cents"))
+    k = F.col("order_id")
+    fed = o.where(k % 3 != 0)
+    later = o.where(k % 4 == 1).withColumn("status", F.concat(F.lit("new "), "status")).withColumn("cents", F.col("cents") + 1)
+    known = o.where((k % 5 == 0) & ((k % 3 != 0) | (k % 4 == 1))).select(
+        "order_id", F.lit(None).cast("long").alias("line"), F.lit(None).cast("string").alias("status"), F.lit(1).cast("long").alias("cents"))
+    kept = stored.KeyedTable(spark, scratch_path(spark, "stored"), _STORED, "order_id", int(spark.conf.get("spark.sql.shuffle.partitions")))
+    for _ in range(2):
+        kept.insert_ignore(fed.unionByName(fed.withColumn("line", F.lit(2).cast("long")).withColumn("status", F.lit("again"))), ["line"])
+    for _ in range(2):
+        kept.replace(later, ["line"])
+    for _ in range(2):
+        kept.upsert(known)
+    return kept.read().select("order_id", (k % 4 == 1).alias("replaced"), "status", "cents")
