@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfwise.catalog.registry import query
+from shelfwise.catalog.registry import ORACLES, query
 from shelfwise.plans import normalise
 from shelfwise.plans.reskin import listing_url
 from shelfwise.session import materialise, scratch_path, table
@@ -130,10 +130,28 @@ def feed_counts(spark, d):
 def feed_runs(spark, d):
     """Each run writes its header and its stamped records into its own partition."""
     path = scratch_path(spark, "runs")
-    for i in range(3):
-        feeds.write_feed(feeds.run_header(spark, f"run-{i}", "2024-05-01T00:00:00+00:00", "1", "daily"), path, f"run-{i}")
-    records = feeds.stamped(_records(spark, d), "item", "2024-05-01T00:00:00+00:00")
-    feeds.write_feed(records, path, F.concat(F.lit("run-"), F.col("event_id") % 3))
+    feeds.write_feed(_run_records(spark, d, 3), path, F.col("run"))
+    return _runs_read(spark, path)
+
+
+@query("feed_runs_again", ORACLES["feed_runs"])
+def feed_runs_again(spark, d):
+    """All runs written, and two of them once more: a run that is repeated replaces itself only."""
+    path = scratch_path(spark, "runs")
+    for runs in (3, 2):
+        feeds.write_feed(_run_records(spark, d, runs), path, F.col("run"))
+    return _runs_read(spark, path)
+
+
+def _run_records(spark, d, runs):
+    """Headers and records of the first runs, with the run each belongs to."""
+    at = "2024-05-01T00:00:00+00:00"
+    headers = [feeds.run_header(spark, f"run-{i}", at, "1", "daily").withColumn("run", F.lit(f"run-{i}")) for i in range(runs)]
+    records = feeds.stamped(_records(spark, d), "item", at).withColumn("run", F.concat(F.lit("run-"), F.col("event_id") % 3))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [*headers, records.where(F.col("event_id") % 3 < runs)])
+
+
+def _runs_read(spark, path):
     schema = T.StructType(EVENT_FEED.fields + [T.StructField("scraped_at", T.StringType())])
     feed = spark.read.schema(T.StructType(schema.fields + [T.StructField("run_id", T.StringType())])).json(path)
     return feed.groupBy("run_id", "type").agg(F.count("*").alias("n"), F.min("scraped_at").alias("scraped_at"))

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from shelfwise import lexicon
 from shelfwise.catalog.registry import query
 from shelfwise.functions import keys
-from shelfwise.operators import integrity, loading, resolve
+from shelfwise.operators import integrity, loading, numbering, resolve
 from shelfwise.plans import normalise, reskin, typed_feed
 from shelfwise.session import materialise, scratch_path, table
 from shelfwise.sources import feeds, schema, stored
@@ -353,3 +353,41 @@ def load_stored_twice(spark, d):
     for _ in range(2):
         kept.upsert(known)
     return kept.read().select("order_id", (k % 4 == 1).alias("replaced"), "status", "cents")
+
+
+@query("constraints_while_written", """
+    SELECT count(*) AS n_rows, count(*) FILTER (l_orderkey % 7 = 0) AS missing_id, count(*) FILTER (l_partkey % 11 = 0) AS missing_listing,
+      count(*) FILTER (l_linenumber % 2 = 0) AS defaulted_rows, count(*) FILTER (l_linenumber % 2 = 0) AS at_run_time FROM lineitem""")
+def constraints_while_written(spark, d):
+    """NOT NULL violations and default times, counted in the pass that writes the price rows."""
+    n = F.col("l_orderkey")
+    rows = table(spark, d, "lineitem").select(
+        F.when(n % 7 != 0, n).alias("price_snapshot_id"), F.when(F.col("l_partkey") % 11 != 0, F.col("l_partkey")).alias("listing_id"),
+        F.when(F.col("l_linenumber") % 2 != 0, F.col("l_shipdate").cast("timestamp")).alias("fed_at"))
+    run_time = "2030-01-01 00:00:00"
+    timed = integrity.with_default_time(rows.withColumn("scraped_at", F.col("fed_at")), "scraped_at", run_time)
+    checked, seen = integrity.observed(timed, "pricesnapshot", "fed_at")
+    written = materialise(checked, "pricesnapshot")
+    counts = {"n_rows": "rows", "missing_id": "missing_price_snapshot_id", "missing_listing": "missing_listing_id", "defaulted_rows": "defaulted_rows"}
+    said = {name: F.lit(seen.get[metric]).cast("long").alias(name) for name, metric in counts.items()}
+    return written.agg(F.count_if(F.col("scraped_at") == F.lit(run_time).cast("timestamp")).alias("at_run_time")).select(*said.values(), "at_run_time")
+
+
+@query("key_violations", """
+    WITH l AS (SELECT CASE WHEN p_partkey % 10 = 0 THEN p_partkey - 1 ELSE p_partkey END AS k FROM part WHERE p_partkey % 13 <> 0),
+    f AS (SELECT CASE WHEN l_orderkey % 9 <> 0 THEN l_partkey END AS k FROM lineitem)
+    SELECT 'unique productlisting.listing_key' AS constraint_name, count(*) AS n_violations FROM (SELECT k FROM l GROUP BY k HAVING count(*) > 1)
+    UNION ALL SELECT 'foreign pricesnapshot.listing_id', count(*) FROM f WHERE k IS NOT NULL AND k NOT IN (SELECT k FROM l)""")
+def key_violations(spark, d):
+    """Repeated listing keys and prices of unknown listings, as the one pass over all keys reports them."""
+    k = F.col("p_partkey").cast("long")
+    listing = table(spark, d, "part").where(k % 13 != 0).select(F.when(k % 10 == 0, k - 1).otherwise(k).alias("listing_key"))
+    prices = table(spark, d, "lineitem").select(F.when(F.col("l_orderkey") % 9 != 0, F.col("l_partkey").cast("long")).alias("listing_id"))
+    return integrity.report({"productlisting": listing.withColumn("listing_id", F.col("listing_key")), "pricesnapshot": prices})
+
+
+@query("dense_ids", """
+    SELECT p_partkey, p_brand, row_number() OVER (ORDER BY p_brand, p_partkey) AS report_id FROM part""")
+def dense_ids(spark, d):
+    """Gapless numbers for a report, in order of brand and part."""
+    return numbering.dense_ids(table(spark, d, "part").select("p_partkey", "p_brand"), ["p_brand", "p_partkey"], "report_id")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from shelfwise.sources.schema import FOREIGN_KEYS, UNIQUE_KEYS, table_schema
@@ -42,17 +42,43 @@ def with_default_time(df: DataFrame, column: str, run_time: str) -> DataFrame:
     return df.withColumn(column, F.coalesce(F.col(column).cast("timestamp"), t))
 
 
+def observed(df: DataFrame, table: str, defaulted: str | None = None) -> tuple[DataFrame, Observation]:
+    """`df`, and what is counted while it is written: `rows`, and for each NOT NULL column how many rows lack it.
+
+    `defaulted`: a column of the record from before `with_default_time`; `defaulted_rows` counts where it was null.
+    No pass of its own: the counts are those of the action that writes the rows. Ask the observation after it.
+    """
+    required = [f.name for f in table_schema(table) if not f.nullable and f.name in df.columns]
+    counts = [F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col(c).isNull()).alias(f"missing_{c}") for c in required]]
+    if defaulted:
+        counts.append(F.count_if(F.col(defaulted).isNull()).alias("defaulted_rows"))
+    seen = Observation()
+    return df.observe(seen, *counts), seen
+
+
 def report(tables: dict[str, DataFrame]) -> DataFrame:
-    """Every constraint of the model with its number of violations."""
+    """Every unique and foreign key of the model with its number of violations, in one keyed pass.
+
+    Each table gives, from one scan, a row for each key it owns or refers to: which key column, the value, and
+    whether as owner or by which reference. Summed per value, in the map tasks first, a value says
+    for itself whether it is owned twice, or referred to and not owned. An empty key violates nothing.
+    """
+    unique = [(name, key) for name, key in UNIQUE_KEYS.items() if name in tables]
+    foreign = [f for f in FOREIGN_KEYS if f[0] in tables and f[2] in tables]
+    owned = list(dict.fromkeys(unique + [(parent, column) for _, _, parent, column in foreign]))
     parts = []
-    for name, key in UNIQUE_KEYS.items():
-        if name in tables:
-            parts.append(duplicate_keys(tables[name], key).agg(F.count("*").alias("n_violations")).select(
-                F.lit(f"unique {name}.{key}").alias("constraint_name"), "n_violations"))
-    for child, col, parent, pcol in FOREIGN_KEYS:
-        if child in tables and parent in tables:
-            parts.append(
-                orphans(tables[child], col, tables[parent], pcol)
-                .agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_violations"))
-                .select(F.lit(f"foreign {child}.{col}").alias("constraint_name"), "n_violations"))
-    return reduce(DataFrame.unionByName, parts)
+    for name, df in tables.items():
+        uses = [(owned.index((name, c)), -1, c) for n, c in owned if n == name]
+        uses += [(owned.index((parent, column)), i, c) for i, (child, c, parent, column) in enumerate(foreign) if child == name]
+        if uses:
+            rows = F.explode(F.array(*[F.struct(
+                F.lit(at).alias("owned"), F.lit(kind).alias("kind"), F.col(c).cast("string").alias("value")) for at, kind, c in uses]))
+            parts.append(df.select(rows.alias("u")).select("u.*"))
+    values = reduce(DataFrame.unionByName, parts).where("value is not null").groupBy("owned", "value").agg(
+        F.count_if(F.col("kind") == -1).alias("owners"), *[F.count_if(F.col("kind") == i).alias(f"n{i}") for i in range(len(foreign))])
+    found = [F.count_if((F.col("owned") == owned.index((name, key))) & (F.col("owners") > 1)).alias(f"unique {name}.{key}") for name, key in unique]
+    found += [
+        F.coalesce(F.sum(F.when(F.col("owners") == 0, F.col(f"n{i}"))), F.lit(0)).alias(f"foreign {child}.{column}")
+        for i, (child, column, _, _) in enumerate(foreign)]
+    sums = values.agg(*found)
+    return sums.unpivot([], [F.col(f"`{c}`") for c in sums.columns], "constraint_name", "n_violations")

@@ -104,12 +104,14 @@ def stamped(records: DataFrame, type_: str, scraped_at: str) -> DataFrame:
 
 def write_feed(records: DataFrame, path: str, run_id: str | Column | None = None) -> None:
     """One JSON object per line; with a run id, one for all records or one of each, into that
-    run's own partition, in one pass over the records."""
+    run's own partition, in one pass over the records. A run that is written again replaces its
+    partition and no other, so a header and records of one run are given together."""
     if run_id is None:
         records.write.mode("errorifexists").json(path)
     else:
         run = run_id if isinstance(run_id, Column) else F.lit(run_id)
-        records.withColumn("run_id", run).write.mode("append").partitionBy("run_id").json(path)
+        (records.withColumn("run_id", run).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("run_id").json(path))
 
 
 def work_list(feed: DataFrame, type_: str | None, url_column: str, domain: str) -> DataFrame:
