@@ -211,6 +211,27 @@ def feed_by_fields(spark, d):
     return reduce(DataFrame.unionByName, counts).select("target", "n", "total")
 
 
+@query("feed_price_rows", f"""{_LISTING_FEED_SQL}
+    SELECT ('0x' || substr(md5(u), 1, 12))::BIGINT AS listing_key, 3 AS competitor_id, CASE WHEN n % 4 = 0 THEN CAST(round(l_extendedprice * 100) AS BIGINT) END AS cents,
+      CASE WHEN n % 4 = 1 THEN CAST(round(l_extendedprice * 100) AS BIGINT) END AS base_cents, CASE WHEN n % 7 = 0 THEN 'EUR' END AS currency,
+      CASE WHEN n % 4 = 2 THEN 'op voorraad' END AS stock_status_text, 'run' AS scraped_at
+    FROM g WHERE u IS NOT NULL AND (n % 4 < 3 OR n % 7 = 0)""")
+def feed_price_rows(spark, d):
+    """Price rows of one shop with all the fields that its records state, from records with any of them."""
+    n = F.col("l_orderkey") + F.col("l_linenumber")
+    rows = table(spark, d, "lineitem").select(
+        F.lit("item").alias("type"), F.lit("run").alias("scraped_at"),
+        F.when(n % 5 != 0, F.concat(listing_url(F.col("l_suppkey"), F.col("l_partkey")), F.lit("/"), F.col("l_orderkey"),
+                                    F.lit("/"), F.col("l_linenumber"))).alias("product_url"),
+        F.when(n % 4 == 0, F.col("l_extendedprice")).alias("current_price"), F.when(n % 4 == 1, F.col("l_extendedprice")).alias("base_price"),
+        F.when(n % 7 == 0, "EUR").alias("currency"), F.when(n % 4 == 2, "op voorraad").alias("stock_status_text"))
+    found = normalise.maxiaxi_rows(empty(spark, feed_schema()).unionByName(rows, allowMissingColumns=True), 3)["pricesnapshot"]
+    cents = lambda c: F.round(F.col(c) * 100).cast("bigint")
+    return found.select(
+        "listing_key", "competitor_id", cents("current_price").alias("cents"), cents("base_price").alias("base_cents"), "currency",
+        "stock_status_text", "scraped_at")
+
+
 @query("feed_category_keys", f"""{_LISTING_FEED_SQL}
     SELECT DISTINCT ('0x' || substr(md5('3|' || cat), 1, 12))::BIGINT AS category_key, cat AS name FROM g WHERE u IS NOT NULL""")
 def feed_category_keys(spark, d):

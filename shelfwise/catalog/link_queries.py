@@ -41,7 +41,7 @@ _LINKS_SQL = """
     SELECT url, min(depth)::INT AS depth FROM r GROUP BY 1""")
 def link_reach(spark, d):
     """Four hops from one brand page; at the third hop links ending in 7 are not followed."""
-    all_links = materialise(_shop_links(spark, d).distinct(), "links")
+    all_links = _shop_links(spark, d).distinct()
     seeds = all_links.filter("from_url = '/' and to_url = '/b/Brand#1'").select(F.col("to_url").alias("url"))
     def follow(depth):
         return ~((depth == 2) & F.endswith("to_url", F.lit("7")))
@@ -57,7 +57,7 @@ def link_reach(spark, d):
 def link_reach_pages(spark, d):
     """Everything the given pages link to, from all of them as seeds."""
     pages = spread(table(spark, d, "pages"))
-    found = materialise(links.page_links(pages).select("from_url", "to_url"), "links")
+    found = links.page_links(pages).select("from_url", "to_url")
     return links.reach(found, pages.select("url"))
 
 

@@ -53,20 +53,40 @@ def _elements(v: Column) -> Column:
     return F.coalesce(F.try_variant_get(v, "$", _NO_NODES), F.array(v))
 
 
+# Up to so many levels the count of brackets is bound enough.
+_FEW_LEVELS = 4
+
+
 def nodes(blocks_: Column) -> Column:
     """All objects, through lists and @graph of any depth, in document order."""
     return F.flatten(F.transform(blocks_, _nodes_of))
 
 
 def _nodes_of(block: Column) -> Column:
-    """Each step opens one level of lists or graphs; the block's own text bounds their number."""
-    text = F.to_json(block)
-    levels = 1 + F.regexp_count(text, F.lit(_LIST_IN_LIST)) + 2 * F.regexp_count(text, F.lit(_GRAPH))
+    """Each step opens one level of lists or graphs; the block's own brackets bound their number.
+
+    Brackets in texts do not count: texts are emptied first, but for the key of a graph. Where there are
+    many lists in lists side by side, the depth of the brackets is the bound, by a fold over them.
+    """
+    text = F.regexp_replace(F.regexp_replace(F.to_json(block), r"\\.", ""), r'("@graph")|"[^"]*"', "$1")
+    opened_by = 1 + F.regexp_count(text, F.lit(_LIST_IN_LIST)) + 2 * F.regexp_count(text, F.lit(_GRAPH))
+    levels = F.when(opened_by <= _FEW_LEVELS, opened_by).otherwise(F.least(opened_by, _bracket_depth(text)))
     start = F.transform(_elements(block), _unopened)
     opened = F.aggregate(F.sequence(F.lit(1), levels), start, lambda level, _: F.flatten(F.transform(level, _opened)))
     return F.transform(F.filter(opened, lambda e: kind(e["v"]) == "OBJECT"), lambda e: e["v"])
 
 
+def _bracket_depth(text: Column) -> Column:
+    """Most brackets that are open at once."""
+    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+
+    def step(state: Column, bracket: Column) -> Column:
+        now = state["now"] + F.when(bracket.isin("[", "{"), 1).otherwise(-1)
+        return F.struct(now.alias("now"), F.greatest(state["most"], now).alias("most"))
+
+    return F.aggregate(F.regexp_extract_all(text, F.lit(r"[\[\]{}]"), F.lit(0)), start, step, lambda state: state["most"])
+
+
 def _unopened(v: Column) -> Column:
     return F.struct(v.alias("v"), F.lit(False).alias("opened"))
 

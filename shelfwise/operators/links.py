@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions import html as H
 from shelfwise.functions import url
-from shelfwise.session import materialise
+from shelfwise.session import bucketed, materialise
 
 
 def page_links(pages: DataFrame) -> DataFrame:
@@ -36,10 +36,12 @@ def reach(
     Without `max_depth` until nothing new is found.
 
     `follow(depth)` decides per hop which links count; it may use the columns of `links`.
-    Every hop is one shuffle join of the new urls against the links. New urls are reduced
-    to one row each before they are compared with the visited ones, and each hop is
-    written to the shared folder, so plans stay short and a lost executor costs one hop.
+    The links are stored once, in buckets by the page they leave, so that a hop moves the new urls
+    to the links and never the links. New urls are reduced to one row each before they are compared
+    with the visited ones, and each hop is written to the shared folder, so plans stay short and a
+    lost executor costs one hop.
     """
+    links = bucketed(links, "from_url", "adjacency")
     visited = materialise(seeds.select("url").distinct().withColumn("depth", F.lit(0)), "reach")
     frontier = visited
     for hop in count(1) if max_depth is None else range(1, max_depth + 1):

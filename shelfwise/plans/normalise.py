@@ -68,7 +68,9 @@ def maxiaxi_rows(feed: DataFrame, competitor_id: int) -> dict[str, DataFrame]:
         "category": rows.filter("category_key is not null").groupBy("category_key").agg(
             F.min("category_label").alias("name")),
         "productlisting": rows.select("listing_key", "category_key", "product_url", "product_name"),
-        "pricesnapshot": rows.filter(has_price).select("listing_key", "current_price", "currency"),
+        "pricesnapshot": rows.filter(has_price).select(
+            "listing_key", "scrape_run_key", "scraped_at", "currency", "current_price", "base_price", "discount_amount",
+            "discount_percent", "price_text", "in_stock", "stock_status_text", F.lit(competitor_id).alias("competitor_id")),
         "pageraw": feed.filter((F.col("type") == "item") & F.col("product_url").isNull()
                                | (F.col("type") == "pageraw")).select("url"),
     }

@@ -1,6 +1,7 @@
 """Column functions on literal cases."""
 
 import hashlib
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -160,3 +161,14 @@ def test_price_in_a_buy_block_is_known_by_place(spark):
             "<div class='price'><b>29,99</b></div>")
     staged = spark.createDataFrame([(html,)], "h string").withColumn("m", B.marks(F.col("h")))
     assert staged.select(B.texts_within(F.col("m"), "price", "buy_block").alias("t")).first().t == ["19,99"]
+
+
+def test_brackets_in_texts_cost_no_steps(spark):
+    """Nested lists and graphs open whatever their texts hold; depth bounds the steps where lists stand side by side."""
+    deep = json.dumps([
+        [{"@type": "A", "n": '[[ ,[ " ]'}], [[{"@type": "B"}]],
+        {"@graph": [{"@type": "C"}, [{"@graph": {"@type": "D", "x": '"@graph":', "y\\": "[["}}]]}])
+    wide = "[" + ",".join('[{"@type":"E","g":[[1,2],[3,4]]}]' for _ in range(300)) + "]"
+    rows = spark.createDataFrame([(0, deep), (1, wide)], "i int, t string").select("i", L.nodes(F.array(F.parse_json("t"))).alias("n"))
+    kinds = rows.select("i", F.transform("n", lambda v: F.try_variant_get(v, '$["@type"]', "string")).alias("k")).orderBy("i").collect()
+    assert [k for k in kinds[0].k if k] == ["A", "B", "C", "D"] and [k for k in kinds[1].k if k] == ["E"] * 300
