@@ -65,12 +65,13 @@ def nodes(blocks_: Column) -> Column:
 def _nodes_of(block: Column) -> Column:
     """Each step opens one level of lists or graphs; the block's own brackets bound their number.
 
-    Brackets in texts do not count: texts are emptied first, but for the key of a graph. Where there are
-    many lists in lists side by side, the depth of the brackets is the bound, by a fold over them.
+    Where the whole text counts many, brackets in texts are left out (texts are emptied, but for the key of a
+    graph), and the depth of the brackets is a bound too, by a fold over them.
     """
-    text = F.regexp_replace(F.regexp_replace(F.to_json(block), r"\\.", ""), r'("@graph")|"[^"]*"', "$1")
-    opened_by = 1 + F.regexp_count(text, F.lit(_LIST_IN_LIST)) + 2 * F.regexp_count(text, F.lit(_GRAPH))
-    levels = F.when(opened_by <= _FEW_LEVELS, opened_by).otherwise(F.least(opened_by, _bracket_depth(text)))
+    opened_by = lambda t: 1 + F.regexp_count(t, F.lit(_LIST_IN_LIST)) + 2 * F.regexp_count(t, F.lit(_GRAPH))
+    text = F.to_json(block)
+    bare = F.regexp_replace(F.regexp_replace(text, r"\\.", ""), r'("@graph")|"[^"]*"', "$1")
+    levels = F.when(opened_by(text) <= _FEW_LEVELS, opened_by(text)).otherwise(F.least(opened_by(bare), _bracket_depth(bare)))
     start = F.transform(_elements(block), _unopened)
     opened = F.aggregate(F.sequence(F.lit(1), levels), start, lambda level, _: F.flatten(F.transform(level, _opened)))
     return F.transform(F.filter(opened, lambda e: kind(e["v"]) == "OBJECT"), lambda e: e["v"])
