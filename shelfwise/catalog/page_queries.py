@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from shelfwise import lexicon
 from shelfwise.catalog.registry import query
 from shelfwise.catalog.text_queries import sql_clean, sql_words
-from shelfwise.functions import blocks as B
 from shelfwise.functions import html as H
 from shelfwise.functions import jsonld as L
+from shelfwise.functions import structure as S
 from shelfwise.operators import classify, links
 from shelfwise.plans import rendered
 from shelfwise.session import spread, table
@@ -193,11 +193,11 @@ def relevance_filter(spark, d):
     SELECT p_partkey, p_brand AS brand, 'SKU-' || p_partkey AS sku, p_type AS model, 'MPN' || p_partkey AS mpn, 'zwart' AS color,
       CASE WHEN p_partkey % 3 <> 0 THEN 6 ELSE 5 END AS n_labels FROM part""")
 def page_specs(spark, d):
-    staged = rendered.parts(spark, d).withColumn("m", B.marks(rendered.spec_html())).withColumn("s", B.specs(F.col("m")))
+    staged = S.staged(rendered.parts(spark, d).withColumn("h", rendered.spec_html()), S.spec_steps("h", "s"))
     s = F.col("s")
     return staged.select(
-        "p_partkey", B.spec_value(s, "merk", "brand").alias("brand"), B.spec_value(s, "sku").alias("sku"),
-        B.spec_value(s, "modelnummer", "typenummer").alias("model"), B.spec_value(s, "onderdeelnummer").alias("mpn"),
+        "p_partkey", S.spec_value(s, "merk", "brand").alias("brand"), S.spec_value(s, "sku").alias("sku"),
+        S.spec_value(s, "modelnummer", "typenummer").alias("model"), S.spec_value(s, "onderdeelnummer").alias("mpn"),
         F.try_element_at(s, F.lit("kleur")).alias("color"), F.size(s).alias("n_labels"))
 
 
@@ -222,8 +222,8 @@ def page_breadcrumbs(spark, d):
         F.col("p_brand"), F.lit("</span></a><li itemtype='x/ListItem'><a itemprop='item' href='/t.html'><span itemprop='name'>"), F.col("p_type"),
         F.lit("</span></a></ol>"))
     html = F.when(k == 0, nav).when(k == 1, micro).otherwise("<nav><a href='/q'>no crumb</a></nav>")
-    staged = rendered.parts(spark, d).withColumn("m", B.marks(html))
-    staged = staged.withColumn("c", F.concat(B.crumbs(F.col("m"), "crumb_item"), B.crumbs(F.col("m"), "crumb")))
+    staged = rendered.parts(spark, d).withColumn("h", html)
+    staged = S.staged(staged, S.item_crumb_steps("h", "i") + S.crumb_steps("h", "n")).withColumn("c", F.concat("i", "n"))
     return staged.select(
         "p_partkey", F.array_join(F.transform("c", lambda x: x["name"]), ">").alias("nav_names"), F.get("c", F.lit(0))["url"].alias("first_link"))
 

@@ -17,26 +17,28 @@ from shelfwise.functions import blocks as B
 from shelfwise.functions import html as H
 from shelfwise.functions import jsonld as L
 from shelfwise.functions import keys, price, stock, text, url
+from shelfwise.functions import structure as S
 from shelfwise.operators import classify, support
 
-Stage = Callable[[], dict[str, Column]]
+Stage = Callable[[], dict[str, Column] | list[dict[str, Column]]]
 _CRUMBS = "array<struct<name:string,url:string>>"
-_BUILT: dict[tuple, dict[str, Column]] = {}
+_BUILT: dict[tuple, list[dict[str, Column]]] = {}
 
 
-def _built(stage: Stage) -> dict[str, Column]:
-    """Columns of a stage. They name their inputs and nothing else, so they are built once
+def _built(stage: Stage) -> list[dict[str, Column]]:
+    """Columns of a stage, in the steps they need. They name their inputs and nothing else, so they are built once
     per driver process and serve every later plan; building them takes seconds.
     """
     key = (stage, id(SparkContext._gateway))
     if key not in _BUILT:
-        _BUILT[key] = stage()
+        made = stage()
+        _BUILT[key] = made if isinstance(made, list) else [made]
     return _BUILT[key]
 
 
 def _run(df: DataFrame, stages: list[Stage]) -> DataFrame:
     for stage in stages:
-        df = df.withColumns(_built(stage))
+        df = S.staged(df, _built(stage))
     return df
 
 
@@ -86,6 +88,18 @@ def _crumb_columns() -> dict[str, Column]:
     }
 
 
+def _specs():
+    return S.spec_steps("html", "_specs")
+
+
+def _shown_crumbs():
+    return S.crumb_steps("html", "_shown_crumbs")
+
+
+def _item_crumbs():
+    return S.item_crumb_steps("html", "_item_crumbs")
+
+
 def _no_crumbs() -> dict[str, Column]:
     return {"_crumbs": F.array().cast(_CRUMBS)}
 
@@ -110,7 +124,7 @@ def _bax_page():
 
 
 def _bax_product():
-    return {"_p": L.first_product(_c("_nodes"), "bax"), "_specs": B.specs(_c("_m")), "buy_text": B.all_text(_c("_m"), "buy"),
+    return {"_p": L.first_product(_c("_nodes"), "bax"), "buy_text": B.all_text(_c("_m"), "buy"),
             "_rating_text": F.coalesce(B.all_text(_c("_m"), "rating"), F.lit(""))}
 
 
@@ -124,7 +138,7 @@ def _bax_crumbs():
 
     listed = F.transform(L.crumbs(_c("_nodes")), lambda c: F.struct(
         c["name"].alias("name"), url.strip_tracking(c["url"], "bax").alias("url")))
-    shown = _resolved(B.crumbs(_c("_m"), "crumb"), "bax")
+    shown = _resolved(_c("_shown_crumbs"), "bax")
     return {"_crumbs": text.bind(not_self(listed), lambda a: _first_filled(
         a, not_self(shown), url.breadcrumbs(_c("source_url"))))}
 
@@ -135,15 +149,15 @@ def _bax_identity():
         "title": F.coalesce(_c("ld_title"), text.without_shop_suffix(H.title(h, metas, "bax"))),
         "brand": F.coalesce(
             _c("ld_brand"), B.own_text(m, "brand"), H.meta(metas, "product:brand"),
-            B.spec_value(spec, "merk", "brand", "fabrikant")),
+            S.spec_value(spec, "merk", "brand", "fabrikant")),
         "image_url": F.coalesce(_c("ld_image_url"), H.meta(metas, "og:image")),
         "description": F.coalesce(_c("ld_description"), H.meta(metas, "description", "og:description")),
-        "sku": F.coalesce(_c("ld_sku"), B.spec_value(spec, "sku")),
+        "sku": F.coalesce(_c("ld_sku"), S.spec_value(spec, "sku")),
         "mpn": F.coalesce(
-            _c("ld_mpn"), B.spec_value(spec, "mpn", "part number", "onderdeelnummer"), text.part_number_in_text(body)),
-        "gtin": F.coalesce(_c("ld_gtin"), B.spec_value(spec, "ean", "gtin"), text.gtin_in_text(body)),
+            _c("ld_mpn"), S.spec_value(spec, "mpn", "part number", "onderdeelnummer"), text.part_number_in_text(body)),
+        "gtin": F.coalesce(_c("ld_gtin"), S.spec_value(spec, "ean", "gtin"), text.gtin_in_text(body)),
         "model": text.model_name(F.coalesce(
-            _c("ld_model"), B.spec_value(spec, "model", "modelnummer", "typenummer"),
+            _c("ld_model"), S.spec_value(spec, "model", "modelnummer", "typenummer"),
             text.model_in_text(body, needs_digit=True)), "bax"),
         "currency": F.coalesce(_c("ld_currency"), F.lit("EUR")),
     }
@@ -212,7 +226,7 @@ def _bax_rest():
 
 def bax(pages: DataFrame) -> DataFrame:
     stages = [
-        _bax_page, _bax_product, _bax_json, _bax_crumbs, _bax_identity, _bax_price_sources, _bax_first_price, _bax_price_text,
+        _bax_page, _specs, _shown_crumbs, _bax_product, _bax_json, _bax_crumbs, _bax_identity, _bax_price_sources, _bax_first_price, _bax_price_text,
         _bax_current, _bax_base, _bax_amount, _bax_percent, _crumb_columns, _bax_rest]
     return _run(pages, stages).select(*_kept(pages), *_RECORD, *_SERVICE)
 
@@ -246,7 +260,7 @@ def _thomann_crumbs():
         return F.filter(a, lambda c: url.is_category(c["url"]))
 
     return {"_crumbs": text.bind(categories(L.crumbs(_c("_nodes"))), lambda a: _first_filled(
-        a, _resolved(B.crumbs(_c("_m"), "crumb_item"), "thomann"), categories(_resolved(B.crumbs(_c("_m"), "crumb"), "thomann"))))}
+        a, _resolved(_c("_item_crumbs"), "thomann"), categories(_resolved(_c("_shown_crumbs"), "thomann"))))}
 
 
 def _thomann_identity():
@@ -295,7 +309,7 @@ def _thomann_rest():
 
 def thomann(pages: DataFrame) -> DataFrame:
     stages = [
-        _thomann_page, _thomann_product, _thomann_json, _thomann_crumbs, _thomann_identity, _thomann_price, _thomann_base,
+        _thomann_page, _shown_crumbs, _item_crumbs, _thomann_product, _thomann_json, _thomann_crumbs, _thomann_identity, _thomann_price, _thomann_base,
         _strict_amount, _percent, _crumb_columns, _thomann_rest]
     return _run(pages, stages).select(*_kept(pages), "listing_number", *_RECORD)
 
@@ -392,7 +406,7 @@ def _maxiaxi_page():
 def _maxiaxi_facts():
     h, metas = _c("html"), _c("_metas")
     return {
-        "_specs": B.specs(_c("_m")), "title": H.title(h, metas, "maxiaxi"),
+        "title": H.title(h, metas, "maxiaxi"),
         "image_url": text.first_text(
             H.first_attribute(h, "img", r"fotorama__img|product-image-photo", "src"), H.meta(metas, "og:image")),
         "description": B.all_text(_c("_m"), "description"),
@@ -407,7 +421,7 @@ def _maxiaxi_identity():
 
 
 def maxiaxi(pages: DataFrame) -> DataFrame:
-    s = _run(pages, [_maxiaxi_page, _maxiaxi_facts, _maxiaxi_identity])
+    s = _run(pages, [_maxiaxi_page, _specs, _maxiaxi_facts, _maxiaxi_identity])
     return s.select(
         *_kept(pages), "source_url", "title", "brand", "sku", "model", "gtin", "image_url", "description",
         text.canonical_pair(_c("brand"), _c("model"), _c("title")).alias("canonical_name"))

@@ -10,6 +10,7 @@ from shelfwise.functions import blocks as B
 from shelfwise.functions import html as H
 from shelfwise.functions import jsonld as L
 from shelfwise.functions import keys, price, stock, text, url
+from shelfwise.functions import structure as S
 from shelfwise.operators import classify, support
 
 
@@ -117,7 +118,7 @@ def test_blocks_survive_malformed_pages(spark):
     page = ("<table><tr><th>Merk<td>A &amp; B<tr><th>Merk<td>late</table><ul><li>K: v<li>no</ul><div class='buy'>€ 5<b>x"
             "<script>if (a<b) '</div>'</script></div><p data-x='>'>t < u</p><a href=x")
     df = spark.createDataFrame([(page,), (None,), ("",), ("<",)], "x string").withColumn("m", B.marks(F.col("x")))
-    got = df.select(B.specs(F.col("m")).alias("s"), B.all_text(F.col("m"), "buy").alias("b")).collect()
+    got = S.staged(df, S.spec_steps("x", "s")).select("s", B.all_text(F.col("m"), "buy").alias("b")).collect()
     assert [r["s"] for r in got] == [{"merk": "A & B", "k": "v"}, {}, {}, {}]
     assert got[0]["b"] == "€ 5 x"
 
