@@ -41,7 +41,23 @@ def latest_snapshot(spark, d):
 def assortment(spark, d):
     pairs = table(spark, d, "lineitem").select(
         F.col("l_suppkey").cast("int").alias("competitor_id"), F.col("l_partkey").alias("product_no")).distinct()
-    return compare.assortment(pairs, table(spark, d, "part"))
+    return compare.assortment(pairs, table(spark, d, "part")).drop("n_products")
+
+
+_ASSORTMENT_COUNTS = """count(*)::BIGINT AS n_listings, count(DISTINCT l_partkey) AS n_products, count(DISTINCT p_brand) AS n_brands,
+      count(DISTINCT p_type) AS n_categories
+    FROM (SELECT DISTINCT l_suppkey, l_partkey, l_linenumber FROM lineitem) JOIN part ON p_partkey = l_partkey"""
+
+
+@query("assortment_products", f"""
+    SELECT l_suppkey::INT AS competitor_id, {_ASSORTMENT_COUNTS} GROUP BY 1
+    UNION ALL SELECT NULL, {_ASSORTMENT_COUNTS}""")
+def assortment_products(spark, d):
+    """Shops whose product stands in several listings, and all shops together (no competitor_id)."""
+    several = table(spark, d, "lineitem").select(
+        F.col("l_suppkey").cast("int").alias("competitor_id"), F.col("l_partkey").alias("product_no"), "l_linenumber").distinct()
+    part = table(spark, d, "part")
+    return compare.assortment(several, part).unionByName(compare.assortment_of_all(several, part), allowMissingColumns=True)
 
 
 def _stats_sql(group: str) -> str:

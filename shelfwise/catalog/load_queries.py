@@ -305,9 +305,10 @@ def typed_load_prices(spark, d):
 @query("typed_load_counts", f"""
     WITH l AS (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem WHERE l_partkey % 7 <> 0)
     SELECT 'scraperun' AS table_name, count(*) AS n_rows FROM orders WHERE o_orderkey % 5 <> 0
-    UNION ALL SELECT 'category', count(DISTINCT p_type) FROM part UNION ALL SELECT 'product', count(*) FROM part WHERE p_partkey % 10 <> 0
+    UNION ALL SELECT 'category', count(DISTINCT p_type) + count(DISTINCT CASE WHEN p_brand NOT LIKE '%3' THEN p_brand END) FROM part UNION ALL SELECT 'product', count(*) FROM part WHERE p_partkey % 10 <> 0
     UNION ALL SELECT 'productlisting', count(*) FROM l UNION ALL SELECT 'pricesnapshot', count(*) FROM lineitem WHERE l_partkey % 7 <> 0 AND l_orderkey % 5 <> 0
     UNION ALL SELECT 'review', count(*) FROM lineitem WHERE l_partkey % 7 <> 0 AND l_linenumber % 3 = 0
+    UNION ALL SELECT 'pagelink', count(*) FROM lineitem WHERE l_orderkey % 5 <> 0 AND (l_linenumber <> 4 OR l_orderkey % 2 = 0)
     UNION ALL SELECT 'productmatch', count(*) FROM l WHERE l_partkey % 10 <> 0
     UNION ALL SELECT 'customer_service', count(*) FROM supplier UNION ALL SELECT 'expert_support', count(*) FROM supplier""")
 def typed_load_counts(spark, d):
@@ -316,6 +317,24 @@ def typed_load_counts(spark, d):
     return compare.table_counts(_typed_tables(spark, d))
 
 
+@query("typed_load_categories", f"""
+    WITH t AS (SELECT p_type AS name, arg_min(p_brand, p_partkey) AS parent FROM part GROUP BY 1)
+    SELECT name, {_KEY.format(x="name")} AS category_id, 2 AS competitor_id, CASE WHEN parent NOT LIKE '%3' THEN {_KEY.format(x="parent")} END AS parent_category_id FROM t
+    UNION ALL SELECT DISTINCT p_brand, {_KEY.format(x="p_brand")}, 2, NULL FROM part WHERE p_brand NOT LIKE '%3'""")
+def typed_load_categories(spark, d):
+    """Categories find their parent by key, wherever it stands in the feed; an unknown parent is NULL."""
+    return _typed_tables(spark, d)["category"].select("name", "category_id", "competitor_id", "parent_category_id")
+
+
+@query("typed_load_links", f"""
+    SELECT {_URL} AS from_url, 'https://page/' || l_partkey AS to_url, l_orderkey AS scrape_run_id, epoch(l_shipdate)::BIGINT AS scraped_at
+    FROM lineitem WHERE l_orderkey % 5 <> 0 AND (l_linenumber <> 4 OR l_orderkey % 2 = 0)""")
+def typed_load_links(spark, d):
+    """Page links with both ends, under either name, of runs that the feed has."""
+    return _typed_tables(spark, d)["pagelink"].select(
+        "from_url", "to_url", "scrape_run_id", F.unix_seconds("scraped_at").alias("scraped_at"))
+
+
 @query("typed_load_service", f"""
     SELECT s_suppkey::INT AS cooling_off_days, CASE WHEN s_suppkey % 2 = 0 THEN 1 END AS free_returns,
       CASE WHEN s_suppkey % 3 <> 2 AND EXISTS (SELECT 1 FROM lineitem WHERE l_suppkey = s_suppkey AND l_partkey = s_suppkey AND l_partkey % 7 <> 0)

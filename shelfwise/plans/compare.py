@@ -40,16 +40,26 @@ def price_by_shop(latest: DataFrame, shops: DataFrame) -> DataFrame:
 def assortment(listings: DataFrame, products: DataFrame) -> DataFrame:
     """Listings, products, brands, categories per shop.
 
-    Distinct counts run over rows already reduced to (shop, brand, category).
+    Listings are reduced to (shop, product) first, so a product has one row a shop; the distinct counts
+    of brands and categories run over rows reduced to (shop, brand, category).
     """
+    return _assortment(listings, products, ["competitor_id"])
+
+
+def assortment_of_all(listings: DataFrame, products: DataFrame) -> DataFrame:
+    """The same counts over all shops together, a product of several shops once."""
+    return _assortment(listings, products, [])
+
+
+def _assortment(listings: DataFrame, products: DataFrame, by: list[str]) -> DataFrame:
+    per_product = listings.groupBy(*by, "product_no").agg(F.count("*").alias("n"))
     per_group = (
-        listings.join(products, listings.product_no == products.p_partkey)
-        .groupBy("competitor_id", F.col("p_brand").alias("brand"), F.col("p_type").alias("category"))
-        .agg(F.count("*").alias("n")))
-    return per_group.groupBy("competitor_id").agg(
-        F.sum("n").alias("n_listings"),
-        F.countDistinct("brand").alias("n_brands"),
-        F.countDistinct("category").alias("n_categories"))
+        per_product.join(products, per_product.product_no == products.p_partkey)
+        .groupBy(*by, F.col("p_brand").alias("brand"), F.col("p_type").alias("category"))
+        .agg(F.sum("n").alias("n"), F.count("*").alias("n_products")))
+    return per_group.groupBy(*by).agg(
+        F.sum("n").alias("n_listings"), F.sum("n_products").alias("n_products"),
+        F.countDistinct("brand").alias("n_brands"), F.countDistinct("category").alias("n_categories"))
 
 
 def price_stats(latest: DataFrame, products: DataFrame, group: str) -> DataFrame:

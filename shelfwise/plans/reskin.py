@@ -139,7 +139,9 @@ def typed_feed(spark: SparkSession, d: str) -> DataFrame:
     """The given tables as a feed of normalised records, with repeats, gaps and dangling keys.
 
     Every fifth run and the listings of every seventh part are missing, every tenth product
-    has no name, and every product comes a second time under another name.
+    has no name, and every product comes a second time under another name. A type's parent is the brand
+    it is first seen with, which the feed lacks for the brands that end in 3. Page links come under
+    either pair of names; some have only one end.
     """
     c = F.col
     li, part = table(spark, d, "lineitem"), table(spark, d, "part")
@@ -147,12 +149,21 @@ def typed_feed(spark: SparkSession, d: str) -> DataFrame:
     iso = lambda t: F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss+00:00")
     line_pos = c("l_orderkey") * 16 + c("l_linenumber")
     pairs = li.select("l_suppkey", "l_partkey").distinct()
+    listing, other = listing_url(c("l_suppkey"), c("l_partkey")), F.concat(F.lit("https://page/"), c("l_partkey"))
     typed = {
         "SCRAPERUN": table(spark, d, "orders").filter("o_orderkey % 5 <> 0").select(
             c("o_orderkey").alias("scrape_run_key"), iso("o_orderdate").alias("started_at"), F.lit("abc").alias("git_commit_hash"),
             c("o_orderkey").alias("pos")),
         "CATEGORY": part.select(
-            c("p_type").alias("name"), keys.md5_key(c("p_type")).cast("string").alias("category_key"), c("p_partkey").alias("pos")),
+            c("p_type").alias("name"), keys.md5_key(c("p_type")).cast("string").alias("category_key"),
+            keys.md5_key(c("p_brand")).cast("string").alias("parent_category_key"), c("p_partkey").alias("pos")).unionByName(
+            part.filter("p_brand NOT LIKE '%3'").select(
+                c("p_brand").alias("name"), keys.md5_key(c("p_brand")).cast("string").alias("category_key"), c("p_partkey").alias("pos")),
+            allowMissingColumns=True),
+        "PAGELINK": li.select(
+            F.when(line_pos % 2 == 0, listing).alias("from_url"), F.when(line_pos % 2 == 1, listing).alias("source_url"),
+            F.when(c("l_linenumber") != 4, other).alias("to_url"), F.when(c("l_linenumber") == 4, F.when(c("l_orderkey") % 2 == 0, other).otherwise("")).alias("target_url"),
+            c("l_orderkey").cast("string").alias("scrape_run_id"), iso("l_shipdate").alias("scraped_at"), line_pos.alias("pos")),
         "PRODUCT": part.withColumn("again", F.explode(F.array(F.lit(0), F.lit(1)))).select(
             c("p_partkey").alias("product_key"),
             F.when(c("p_partkey") % 10 != 0, F.concat("p_name", F.repeat(F.lit(" again"), c("again")))).alias("canonical_name"),

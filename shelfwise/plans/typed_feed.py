@@ -2,7 +2,8 @@
 
 Dimensions take the first record of a key. Facts find their ids by key: price, review and
 match rows are dropped when a listing, run or product is missing; a listing without known
-category and a service row without known listing stay, with a NULL id.
+category, a category without known parent and a service row without known listing stay, with a
+NULL id. Page links need both ends and a known run. A parent may stand anywhere in the feed.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.functions import keys
+from shelfwise.functions import keys, text
 from shelfwise.operators import integrity, loading, resolve
 from shelfwise.sources.feeds import of_type
 from shelfwise.sources.schema import coerce
@@ -37,7 +38,8 @@ def load(feed: DataFrame, competitor_id: int, run_time: str) -> dict[str, DataFr
         "started_at": c("started_at"), "gpt_context_hash": F.coalesce("gpt_context_hash", "git_commit_hash"),
         "crawler_version": c("crawler_version"), "notes": c("notes")}).withColumn("scrape_run_id", c("scrape_run_key"))
     category = _dimension(feed, "CATEGORY", "category_key", {
-        "name": c("name"), "url": c("url")}).withColumns({"category_id": c("category_key"), "competitor_id": shop})
+        "name": c("name"), "url": c("url"), "parent_key": c("parent_category_key").try_cast("bigint")}
+    ).withColumns({"category_id": c("category_key"), "competitor_id": shop})
     product = _dimension(feed, "PRODUCT", "product_key", {
         "canonical_name": c("canonical_name"), "brand": c("brand"), "model": c("model")}, ["canonical_name"]
     ).withColumn("product_id", c("product_key"))
@@ -67,19 +69,26 @@ def load(feed: DataFrame, competitor_id: int, run_time: str) -> dict[str, DataFr
         "delivery_shipping_available", "delivery_courier_available", "cooling_off_days", "free_returns", "warranty_provider",
         "warranty_duration_months", "customer_service_url", *ORDER)
     service = resolve.resolve_left(service, listing, ["listing_key"], "listing_id")
+    links = of_type(feed, "PAGELINK").select(
+        text.first_text(c("from_url"), c("source_url")).alias("from_url"), text.first_text(c("to_url"), c("target_url")).alias("to_url"),
+        F.coalesce(c("scrape_run_id").try_cast("bigint"), c("scrape_run_key")).alias("scrape_run_key"), "scraped_at", *ORDER)
+    links = resolve.resolve_inner(
+        links.filter(c("from_url").isNotNull() & c("to_url").isNotNull()), runs, ["scrape_run_key"], "scrape_run_id")
     expert = of_type(feed, "EXPERT_SUPPORT").select(
         "scraped_at", "source_url", "expert_chat_available", "phone_support_available", "email_support_available",
         "in_store_support", "expert_support_text", *ORDER)
     timed = integrity.with_default_time
     tables = {
         "scraperun": timed(runs, "started_at", run_time),
-        "category": category,
+        "category": resolve.resolve_parent(category),
         "product": product,
         "productlisting": listing,
         "pricesnapshot": timed(prices, "scraped_at", run_time).withColumn(
             "price_snapshot_id", _fact_id("listing_id", "scrape_run_id", "scraped_at", *ORDER)),
         "review": reviews.withColumn("review_id", _fact_id("listing_id", "created_at", *ORDER)),
         "productmatch": matches.withColumn("match_id", _fact_id("product_id", "listing_id", "match_method")),
+        "pagelink": links.withColumns({
+            "page_id": _fact_id("scrape_run_id", "from_url", "to_url", *ORDER), "competitor_id": shop, "url": c("to_url")}),
         "customer_service": timed(service, "scraped_at", run_time).withColumns({
             "customer_service_id": _fact_id("listing_key", "scraped_at", *ORDER), "competitor_id": shop}),
         "expert_support": timed(expert, "scraped_at", run_time).withColumns({

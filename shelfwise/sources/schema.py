@@ -29,7 +29,8 @@ TABLES = {
     "review": "review_id BIGINT NOT NULL, listing_id BIGINT NOT NULL, created_at TIMESTAMP, "
     "rating_value DECIMAL(3,1), rating_scale INT, review_count INT, review_text STRING, "
     "reviewer_name STRING, verified BOOLEAN, verified_purchase BOOLEAN, review_url STRING",
-    "pagelink": "page_id BIGINT NOT NULL, competitor_id INT NOT NULL, page_type STRING, url STRING",
+    "pagelink": "page_id BIGINT NOT NULL, competitor_id INT NOT NULL, page_type STRING, url STRING, "
+    "scrape_run_id BIGINT, from_url STRING, to_url STRING, scraped_at TIMESTAMP",
     "customer_service": "customer_service_id BIGINT NOT NULL, competitor_id INT NOT NULL, "
     "listing_id BIGINT, scraped_at TIMESTAMP NOT NULL, shipping_included BOOLEAN, "
     "free_shipping_threshold_amt DECIMAL(10,2), pickup_point_available BOOLEAN, "
