@@ -211,6 +211,31 @@ def feed_by_fields(spark, d):
     return reduce(DataFrame.unionByName, counts).select("target", "n", "total")
 
 
+@query("feed_key_presence", """
+    WITH f AS (SELECT l_orderkey + l_linenumber AS n, l_orderkey, l_linenumber, l_extendedprice,
+      'https://shop/' || l_orderkey || '/' || l_linenumber AS u FROM lineitem)
+    SELECT ('0x' || substr(md5(u), 1, 12))::BIGINT AS listing_key, CASE WHEN n % 5 = 0 THEN CAST(round(l_extendedprice * 100) AS BIGINT) END AS cents,
+      CASE WHEN n % 5 = 2 THEN false END AS in_stock FROM f WHERE n % 5 IN (0, 1, 2) AND n % 11 <> 0
+    UNION ALL SELECT -1, count(*), NULL FROM f WHERE n % 11 = 0""")
+def feed_key_presence(spark, d):
+    """Price rows of records with a price key, null or not; records without one have none, broken ones are counted."""
+    n = F.col("l_orderkey") + F.col("l_linenumber")
+    price_part = (
+        F.when(n % 5 == 0, F.concat(F.lit(',"current_price":'), F.col("l_extendedprice").cast("decimal(12,2)")))
+        .when(n % 5 == 1, ',"current_price": null').when(n % 5 == 2, ',"in_stock":false,"price_texts":"x"').when(n % 5 == 3, ',"note":"current_price"')
+        .otherwise(""))
+    ending = F.when(n % 11 == 0, ',"brok').when(n % 2 == 0, "},").otherwise("}")
+    path = scratch_path(spark, "presence")
+    table(spark, d, "lineitem").select(F.concat(
+        F.lit('{"type":"item","product_url":"https://shop/'), "l_orderkey", F.lit("/"), "l_linenumber", F.lit('"'), price_part, ending)).write.text(path)
+    records = feeds.read_records(spark, path)
+    prices = normalise.maxiaxi_rows(records, 3)["pricesnapshot"].select(
+        "listing_key", F.round(F.col("current_price") * 100).cast("bigint").alias("cents"), "in_stock")
+    broken = feeds.quarantined(records).agg(
+        F.lit(-1).cast("bigint").alias("listing_key"), F.count("*").alias("cents"), F.lit(None).cast("boolean").alias("in_stock"))
+    return prices.unionByName(broken)
+
+
 @query("feed_price_rows", f"""{_LISTING_FEED_SQL}
     SELECT ('0x' || substr(md5(u), 1, 12))::BIGINT AS listing_key, 3 AS competitor_id, CASE WHEN n % 4 = 0 THEN CAST(round(l_extendedprice * 100) AS BIGINT) END AS cents,
       CASE WHEN n % 4 = 1 THEN CAST(round(l_extendedprice * 100) AS BIGINT) END AS base_cents, CASE WHEN n % 7 = 0 THEN 'EUR' END AS currency,

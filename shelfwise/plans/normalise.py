@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions import keys
 from shelfwise.operators.loading import first_per_key
+from shelfwise.sources import feeds
 
 FEED_ORDER = ["run_no", "line_no", "competitor_id", "product_no"]
 
@@ -51,19 +52,23 @@ def split(records: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+PRICE_FIELDS = [
+    "current_price", "base_price", "discount_amount", "discount_percent", "currency", "price_text", "in_stock", "stock_status_text"]
+
+
 def maxiaxi_rows(feed: DataFrame, competitor_id: int) -> dict[str, DataFrame]:
     """Listing records that are typed 'item' or 'productlisting', told apart by their fields.
 
-    A category key comes from shop and category name. Price rows need any price field.
+    A category key comes from shop and category name. Price rows need any price field: a key that
+    the record has, its value null or not, where the feed keeps the records, else a value.
     """
     name = F.coalesce(F.nullif(F.col("category_name"), F.lit("")), F.nullif(F.col("category"), F.lit("")))
     rows = feed.filter(F.col("type").isin("item", "productlisting") & (F.col("product_url") != ""))
     rows = rows.withColumn("category_label", name).withColumn(
         "category_key", F.when(name.isNotNull(), keys.composite_key(F.lit(competitor_id), name)))
     rows = rows.withColumn("listing_key", keys.md5_key(F.col("product_url")))
-    has_price = F.coalesce(*[F.when(F.col(c).isNotNull(), True) for c in (
-        "current_price", "base_price", "discount_amount", "discount_percent", "currency",
-        "price_text", "in_stock", "stock_status_text")], F.lit(False))
+    has_price = feeds.stated(*PRICE_FIELDS) if feeds.RECORD in feed.columns else F.coalesce(
+        *[F.when(F.col(c).isNotNull(), True) for c in PRICE_FIELDS], F.lit(False))
     return {
         "category": rows.filter("category_key is not null").groupBy("category_key").agg(
             F.min("category_label").alias("name")),

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +14,7 @@ from shelfwise.functions import keys, text, url
 from shelfwise.sources import layouts
 from shelfwise.sources.schema import empty, feed_schema
 
-BAD_LINE = "_bad_line"
+BAD_LINE, RECORD = "_bad_line", "_record"
 MODES = {"quarantine": "PERMISSIVE", "drop": "DROPMALFORMED", "fail": "FAILFAST"}
 
 
@@ -52,6 +55,26 @@ def read_feed(
     return df
 
 
+def read_records(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None) -> DataFrame:
+    """JSON lines with the whole record kept as VARIANT in `_record`, beside the typed columns.
+
+    So a key that stands there with null is told from one that is absent (`stated`). A value that does not
+    fit its column is NULL there and whole in the record. Lines that are no object go to `_bad_line`; blank
+    lines and the brackets of an array are left out, and so is a comma that ends a line.
+    """
+    line = F.regexp_replace(F.trim("value"), r",\s*$", "")
+    lines = spark.read.text(path).select(line.alias("_line")).filter(~F.col("_line").isin("", "[", "]", "[]"))
+    parsed = lines.withColumn(RECORD, F.when(F.col("_line").startswith("{"), F.try_parse_json("_line")))
+    return parsed.select(
+        *[F.try_variant_get(RECORD, f"$.{f.name}", f.dataType.simpleString()).alias(f.name) for f in schema or feed_schema()],
+        RECORD, F.when(F.col(RECORD).isNull(), F.col("_line")).alias(BAD_LINE))
+
+
+def stated(*names: str) -> Column:
+    """Whether the record has one of these keys, whatever its value."""
+    return reduce(or_, [F.try_variant_get(RECORD, f"$.{n}", "variant").isNotNull() for n in names])
+
+
 def read_array(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """A file that is one JSON array, in any layout. One task reads one file."""
     return spark.read.schema(schema or feed_schema()).option("multiLine", True).json(path)

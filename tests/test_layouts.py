@@ -69,3 +69,12 @@ def test_empty_and_odd_files(spark, tmp_path):
         (tmp_path / f"{name}.json").write_text(text)
     got = [r.text for r in layouts.objects(spark, str(tmp_path)).collect()]
     assert sorted(got) == ['{"type": "only", "n": 1', "}"]
+
+
+def test_records_keep_which_keys_were_there(spark, tmp_path):
+    lines = ['[', '{"type":"item","current_price":null,"brand":"x"},', '{"type":"item","current_price":"no number"}', '{"type":"item"}', '', '{"type":', '7', ']']
+    (tmp_path / "f.json").write_text("\n".join(lines))
+    rows = feeds.read_records(spark, str(tmp_path / "f.json")).select(
+        "brand", "current_price", feeds.stated("current_price", "currency").alias("s"), "_bad_line")
+    assert sorted(map(str, (tuple(r) for r in rows.collect()))) == sorted(map(str, [
+        ("x", None, True, None), (None, None, True, None), (None, None, False, None), (None, None, None, '{"type":'), (None, None, None, "7")]))
