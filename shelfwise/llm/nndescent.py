@@ -4,7 +4,10 @@ Method: every vector keeps a list of its nearest neighbours of the same label. L
 neighbours in several orders of sign sketches, then are refined in rounds: neighbours of a vector
 (either way) are compared with each other, and whoever is closer than the furthest in the other's
 list enters it. A list full of possible links is saturated and gets twice the places. A bounded
-sample is compared with all vectors; while it misses links, more orders and rounds follow.
+sample, drawn anew each turn, half of it from vectors in the smallest components, is compared with all vectors.
+A sampled vector counts as missed if any of its links leads to another component. Turns with
+twice the orders follow until two samples in a row have none missed. Should that not come about,
+all vectors of a label are compared across components, in blocks, so nothing found missing is left over.
 Pairs at the threshold or above, by exact cosine, link their vectors.
 
 Neighbours are ranked by the distance of 512-bit sketches; cosines are computed in double
@@ -26,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.llm.common import components, global_index
@@ -38,7 +41,8 @@ NEAR_BITS = 128  # sketches of vectors at cosine 0.93 differ in 61 bits on avera
 PLACES, MOST_PLACES = 8, 64
 ORDER_BITS, ORDERS, REACH = 32, 8, 4
 ROUNDS = 6
-AUDITED, RECALL = 256, 0.995
+AUDITED = 512
+TURNS, CLEAN = 6, 2
 BLOCK = 1024
 
 PREPARED = "row long, vec_id long, label long, dim int, unit binary, sketch binary"
@@ -132,11 +136,17 @@ def by_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(node[at]), pa.array(other[at, step]), pa.array(found[at, step])], schema=EDGE)
 
 
+def order_code(order: int) -> Column:
+    """Bytes of a sketch, led by another byte in each of 64 orders, and in steps that differ after 16."""
+    size, per_round = BITS // 8, BITS // ORDER_BITS
+    lap, start = divmod(order, per_round)
+    at = [(ORDER_BITS // 8 * start + lap + k * (2 * lap + 1)) % size for k in range(ORDER_BITS // 4)]
+    return F.concat(*[F.substring("sketch", i + 1, 1) for i in at])
+
+
 def ordered_candidates(nodes: DataFrame, first: int, orders: int) -> DataFrame:
     """Candidates from neighbours in `orders` orders of the sketches, each led by other bits."""
-    step = ORDER_BITS // 8
-    places = [F.struct(F.lit(first + i).alias("order"), F.concat(
-        F.substring("sketch", step * ((first + i) % (BITS // ORDER_BITS)) + 1, BITS // 8), F.substring("sketch", 1, step)).alias("code")) for i in range(orders)]
+    places = [F.struct(F.lit(first + i).alias("order"), order_code(first + i).alias("code")) for i in range(orders)]
     rows = nodes.select(F.explode(F.array(*places)).alias("o"), "label", "dim", "node", "sketch").select("o.order", "label", "dim", "o.code", "node", "sketch")
     keys = ["order", "label", "dim", "code", "node"]
     return rows.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("code").mapInArrow(by_order, EDGE_DDL)
@@ -196,10 +206,19 @@ def exact(edges: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
     return pairs.join(one, "u").join(two, "v").select("u", "v", "one", "two").mapInArrow(run, "a long, b long")
 
 
-def audit(nodes: DataFrame, joined: DataFrame, least: float, size: int = AUDITED) -> tuple[int, DataFrame]:
-    """Links of a sample of nodes, against all nodes: their number, and those between different
-    components. joined(node, component)."""
-    chosen = nodes.orderBy(F.xxhash64("node", F.lit(7))).limit(size).select("node", "label", "dim", "unit").collect()
+def audit(nodes: DataFrame, joined: DataFrame, least: float, turn: int, size: int = AUDITED) -> DataFrame:
+    """Links between different components that a sample of nodes has, against all nodes.
+
+    joined(node, component). Half of the sample is from all nodes, half from the smallest components,
+    where a missed link is most of what there is.
+    """
+    sizes = joined.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
+    sized = nodes.join(joined.join(sizes, "component"), "node", "left").select("node", "label", "dim", "unit", F.coalesce("n", F.lit(1)).alias("n"))
+    drawn = F.xxhash64("node", F.lit(turn))
+    small = F.greatest("n", F.lit(2))  # whoever is alone, or has one partner, comes first
+    chosen = (
+        sized.orderBy(drawn).limit(size // 2).union(sized.orderBy(small, F.xxhash64("node", F.lit(-1 - turn))).limit(size // 2))
+        .dropDuplicates(["node"]).collect())
     groups: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
     for key in {(r["label"], r["dim"]) for r in chosen}:
         own = [r for r in chosen if (r["label"], r["dim"]) == key]
@@ -217,11 +236,39 @@ def audit(nodes: DataFrame, joined: DataFrame, least: float, size: int = AUDITED
                     one, two = np.nonzero((asked @ there.T >= least) & (ids[:, None] != node[at][None]))
                     yield pa.RecordBatch.from_arrays([pa.array(ids[one]), pa.array(node[at[two]])], names=["a", "b"])
 
-    true = materialise(nodes.select("label", "dim", "node", "unit").mapInArrow(run, "a long, b long"), "nn-audit")
+    true = nodes.select("label", "dim", "node", "unit").mapInArrow(run, "a long, b long")
     of = joined.withColumnRenamed("node", "a").withColumnRenamed("component", "ca")
     to = joined.withColumnRenamed("node", "b").withColumnRenamed("component", "cb")
     missed = true.join(of, "a", "left").join(to, "b", "left").where("ca is null or cb is null or ca <> cb").select("a", "b")
-    return true.count(), materialise(missed, "nn-missed")
+    return materialise(missed, "nn-missed")
+
+
+def in_blocks(placed: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """Rows with a `place` (from 1) in their group, sent to each pair (i, j) of blocks of the group they belong to."""
+    placed = placed.withColumn("block", ((F.col("place") - 1) / BLOCK).cast("int"))
+    sizes = placed.groupBy(*keys).agg((F.max("block") + 1).alias("blocks"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    spread = placed.join(sizes, keys).select(*keys, other.alias("other"), "block", *columns).select(
+        *keys, F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", *columns)
+    return spread.repartition(*keys, "i", "j").sortWithinPartitions(*keys, "i", "j", "node")
+
+
+def across(nodes: DataFrame, joined: DataFrame, least: float) -> DataFrame:
+    """All links (a, b) between different components: every two vectors of a label, in blocks."""
+    own = nodes.join(joined, "node", "left").select("label", "dim", "node", F.coalesce("component", "node").alias("component"), "unit")
+    placed = global_index(own, [F.col("label"), F.col("dim"), F.col("component"), F.col("node")], ["label", "dim"], "nn-all", "place")
+
+    def run(batches):
+        for table in runs_of(batches, 4):
+            i, j = table.column(2)[0].as_py(), table.column(3)[0].as_py()
+            block, node, component = (table.column(k).to_numpy() for k in (4, 5, 6))
+            unit = np.frombuffer(b"".join(table.column(7).to_pylist())).reshape(len(node), -1)
+            one, two = block == i, block == j
+            near = (unit[one] @ unit[two].T >= least) & (component[one][:, None] != component[two][None])
+            a, b = np.nonzero(near)
+            yield pa.RecordBatch.from_arrays([pa.array(node[one][a]), pa.array(node[two][b])], names=["a", "b"])
+
+    return materialise(in_blocks(placed, ["label", "dim"], ["node", "component", "unit"]).mapInArrow(run, "a long, b long"), "nn-across")
 
 
 COUNTS = pa.schema([("node", pa.int64()), ("n", pa.int64())])
@@ -230,11 +277,6 @@ COUNTS = pa.schema([("node", pa.int64()), ("n", pa.int64())])
 def count_links(members: DataFrame, least: float) -> DataFrame:
     """members(node, component, unit, copies) -> (node, n): copies of all linked nodes, its own included."""
     placed = global_index(members, [F.col("component"), F.col("node")], ["component"], "nn-members", "place")
-    placed = placed.withColumn("block", ((F.col("place") - 1) / BLOCK).cast("int"))
-    sizes = placed.groupBy("component").agg((F.max("block") + 1).alias("blocks"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    spread = placed.join(sizes, "component").select("component", other.alias("other"), "block", "node", "unit", "copies").select(
-        "component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "unit", "copies")
 
     def run(batches):
         for table in runs_of(batches, 3):
@@ -251,12 +293,15 @@ def count_links(members: DataFrame, least: float) -> DataFrame:
             for ids, n in parts:
                 yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n.astype(np.int64))], schema=COUNTS)
 
-    keys = ["component", "i", "j"]
-    return spread.repartition(*keys).sortWithinPartitions(*keys, "node").mapInArrow(run, "node long, n long").groupBy("node").agg(F.sum("n").alias("n"))
+    pairs = in_blocks(placed, ["component"], ["node", "unit", "copies"])
+    return pairs.mapInArrow(run, "node long, n long").groupBy("node").agg(F.sum("n").alias("n"))
 
 
-def link(vectors: DataFrame, least: float = LEAST) -> DataFrame:
-    """vectors(vec_id, label, embedding) -> vec_id, n_links, component_id, kept."""
+def link(vectors: DataFrame, least: float = LEAST, turns: int = TURNS) -> DataFrame:
+    """vectors(vec_id, label, embedding) -> vec_id, n_links, component_id, kept.
+
+    After `turns` turns without enough clean audits, the vectors are compared across components.
+    """
     given = vectors.select(
         F.monotonically_increasing_id().alias("row"), F.col("vec_id").cast("long"), F.col("label").cast("long"), "embedding")
     rows = materialise(given.mapInArrow(prepare, PREPARED), "nn-vectors")
@@ -266,8 +311,10 @@ def link(vectors: DataFrame, least: float = LEAST) -> DataFrame:
             F.min("row").alias("node"), F.count(F.lit(1)).alias("copies"), F.first("sketch").alias("sketch")), "nn-nodes")
     lists = materialise(nodes.select("node", F.lit(PLACES).alias("places")), "nn-lists")
     seen = graph = joined = None
-    for turn in range(BITS // ORDER_BITS // ORDERS):
-        more = materialise(ordered_candidates(nodes, turn * ORDERS, ORDERS), "nn-candidates")
+    clean = 0
+    for turn in range(turns):
+        done = ORDERS * (2 ** turn - 1)
+        more = materialise(ordered_candidates(nodes, done, ORDERS * 2 ** turn), "nn-candidates")
         near = more.where(F.col("d") <= NEAR_BITS)
         graph = materialise(nearest(more if graph is None else graph.union(more), lists), "nn-graph")
         before = None
@@ -281,13 +328,18 @@ def link(vectors: DataFrame, least: float = LEAST) -> DataFrame:
         found = exact(near, nodes, least)
         seen = materialise(found if seen is None else found.union(seen), "nn-links")
         joined = materialise(components(seen, "nn"), "nn-components")
-        links, missed = audit(nodes, joined, least)
-        lost = missed.count()
-        if lost:  # what the audit has found counts as well
+        missed = audit(nodes, joined, least, turn)
+        if missed.isEmpty():
+            clean += 1
+        else:  # what the audit has found counts as well
+            clean = 0
             seen = materialise(seen.union(missed), "nn-links")
             joined = materialise(components(seen, "nn"), "nn-components")
-        if lost <= (1 - RECALL) * links:
+        if clean == CLEAN:
             break
+    else:
+        seen = seen.union(across(nodes, joined, least))
+        joined = materialise(components(seen, "nn"), "nn-components")
     counts = count_links(nodes.join(joined, "node").select("node", "component", "unit", "copies"), least)
     of_nodes = nodes.join(joined, "node", "left").join(counts, "node", "left").select(
         *same, F.coalesce("component", "node").alias("component"), (F.coalesce("n", F.col("copies")) - 1).alias("n_links"))
