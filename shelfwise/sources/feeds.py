@@ -71,7 +71,7 @@ def read_records(spark: SparkSession, path: str | list[str], schema: T.StructTyp
 
 
 def stated(*names: str) -> Column:
-    """Whether the record has one of these keys, whatever its value."""
+    """Whether the record has one of these keys, whatever its value; a line that is no record has none."""
     return reduce(or_, [F.try_variant_get(RECORD, f"$.{n}", "variant").isNotNull() for n in names])
 
 

@@ -77,4 +77,4 @@ def test_records_keep_which_keys_were_there(spark, tmp_path):
     rows = feeds.read_records(spark, str(tmp_path / "f.json")).select(
         "brand", "current_price", feeds.stated("current_price", "currency").alias("s"), "_bad_line")
     assert sorted(map(str, (tuple(r) for r in rows.collect()))) == sorted(map(str, [
-        ("x", None, True, None), (None, None, True, None), (None, None, False, None), (None, None, None, '{"type":'), (None, None, None, "7")]))
+        ("x", None, True, None), (None, None, True, None), (None, None, False, None), (None, None, False, '{"type":'), (None, None, False, "7")]))
