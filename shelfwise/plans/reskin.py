@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.functions import keys, price, text, url
-from shelfwise.operators.loading import last_per_key
+from shelfwise.operators.packed import last_per_key
 from shelfwise.session import table
 from shelfwise.sources.schema import empty, feed_schema
 
@@ -70,7 +70,7 @@ LISTING = ["competitor_id", "product_no"]
 
 
 def latest(snaps: DataFrame, *values: str) -> DataFrame:
-    """Latest snapshot per listing, reduced before the shuffle.
+    """Latest snapshot per listing, reduced in hash maps before the shuffle.
 
     Naming the values needed keeps the other columns out of scan and shuffle.
     """
