@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from shelfwise.catalog.registry import query
 from shelfwise.session import scratch_path, table
 from shelfwise.streaming import incremental
+from shelfwise.streaming.firsts import FirstRecords
 
 FEED = (
     T.StructType().add("user_id", "long").add("shop", "long").add("event_id", "long").add("cents", "long"))
@@ -44,3 +45,15 @@ def stream_first_seen(spark, d):
     feed = scratch_path(spark, "runs")
     _events(spark, d).write.json(feed)
     return incremental.first_seen(spark, feed, FEED, "user_id")
+
+
+@query("stream_first_records", f"""{_SQL}
+    SELECT user_id, shop, event_id, cents FROM (
+      SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id % 2, event_id) AS rn FROM e) WHERE rn = 1""")
+def stream_first_records(spark, d):
+    """The first record of each user in feed order: files of the first run, then those of the second."""
+    feed, root = scratch_path(spark, "runs"), scratch_path(spark, "firsts")
+    for half in (0, 1):
+        _events(spark, d).filter(F.col("event_id") % 2 == half).write.mode("append").json(feed)
+        firsts = FirstRecords(spark, feed, FEED, "user_id", ["event_id"], root).advance()
+    return firsts.read()
