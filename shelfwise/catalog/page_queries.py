@@ -80,7 +80,7 @@ def entity_decode(spark, d):
     raw = F.concat(
         F.lit("&euro;&nbsp;"), F.col("p_size"), F.lit(" &#8211; "), F.col("p_name"),
         F.lit(" &amp; &#x1D11E; &#xZZ; &lt;b&gt; &quot;&eacute;&#34;"))
-    return table(spark, d, "part").select("p_partkey", H.unescape(raw).alias("txt"))
+    return spread(table(spark, d, "part")).select("p_partkey", H.unescape(raw).alias("txt"))
 
 
 _A_HREF = r"regexp_extract_all(html, '(?is)<a\b[^>]*\shref=\"([^\"]*)\"[^>]*>', 1)"
@@ -92,7 +92,7 @@ def entity_decode_all(spark, d):
     """References of every kind, decoded once: what '&amp;' shields stays."""
     raw = F.concat(F.lit("caf&agrave; &Eacute;t&ecirc; "), F.col("p_name"), F.lit(
         " &amp;lt; &#8364; &hearts; &CounterClockwiseContourIntegral; &Aopf; &#xe9; &unknown; & b;"))
-    return table(spark, d, "part").select("p_partkey", H.unescape(raw).alias("decoded"))
+    return spread(table(spark, d, "part")).select("p_partkey", H.unescape(raw).alias("decoded"))
 
 
 @query("page_links", rf"""
