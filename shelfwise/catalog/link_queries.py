@@ -73,7 +73,7 @@ def _hub_links(spark, d):
     k = (F.col("p_partkey") % n + 1).cast("int")
     label, target = (F.element_at(F.array(*[F.lit(h[i]) for h in _HUBS]), k) for i in (0, 1))
     here = F.concat(F.lit("https://www.thomann.nl/"), F.call_function("div", F.col("p_partkey"), F.lit(n)), F.lit("/hub.html"))
-    return table(spark, d, "part").select(
+    return spread(table(spark, d, "part")).select(
         here.alias("from_url"), url.resolve(here, target).alias("to_url"), label.alias("label"), F.col("p_partkey").alias("pos"))
 
 
@@ -93,7 +93,7 @@ def subcategory_urls(spark, d):
     FROM part WHERE p_partkey % {len(_HUBS)} NOT IN (0, 1, 3, 8) GROUP BY 1""")
 def subcategories_excluded(spark, d):
     """Set difference: links that are neither subcategories at either depth nor the page itself."""
-    hubs = _hub_links(spark, d).withColumn("to_url", url.strip_tracking(F.col("to_url"), "thomann"))
+    hubs = materialise(_hub_links(spark, d).withColumn("to_url", url.strip_tracking(F.col("to_url"), "thomann")), "hub-links")
     found = links.subcategories(hubs, 0).unionByName(links.subcategories(hubs, 1))
     return links.category_only(hubs, found).groupBy("from_url").agg(F.count("*").alias("n"))
 

@@ -313,8 +313,11 @@ def is_subcategory_link(current: Column, to_url: Column, label: Column, depth: C
     """Which anchors of a hub page lead to a subcategory: by label at the seed, by url below."""
     from shelfwise.functions.text import category_label
 
-    p = F.lower(path(to_url))
-    name = category_label(label)
+    read = F.struct(F.lower(path(to_url)).alias("path"), category_label(label).alias("name"))
+    return bind(read, lambda x: _is_subcategory(current, to_url, x["path"], x["name"], depth))
+
+
+def _is_subcategory(current: Column, to_url: Column, p: Column, name: Column, depth: Column) -> Column:
     seeds = [w.replace("-", " ").replace("/", " ").replace("  ", " ") for w in lexicon.SEED_SUBCATEGORIES]
     open_to_all = (
         is_followed(to_url, "thomann")

@@ -38,3 +38,14 @@ def test_badge_text_is_read_for_words_once_and_not_squeezed(spark):
     assert all(r.got == r.want for r in out.collect())
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "regexp_replace" not in plan and plan.count("lower(") == 1
+
+
+def test_subcategory_links_are_cleaned_once_by_the_filter(spark):
+    from shelfwise.operators import links
+
+    here = "https://www.thomann.nl/1/hub.html"
+    rows = [(here, "https://www.thomann.nl/1/usb_podcast.html?ref=1", "USB", 1), (here, here, "Zelf", 2), (here, None, "x", 3), (None, None, None, 4)]
+    out = links.subcategories(spark.createDataFrame(rows, "from_url string, to_url string, label string, pos int"), 1)
+    assert [tuple(r) for r in out.collect()] == [(here, "https://www.thomann.nl/1/usb_podcast.html", 1)]
+    # The prefix of tracking keys: once in the filter for each end, once for the links that are left. It stood there 12 times.
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("utm_") == 3
