@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwise.functions import keys, text, url
+from shelfwise.session import compile_wide_rows
 from shelfwise.sources import layouts
 from shelfwise.sources.schema import empty, feed_schema
 
@@ -65,7 +66,7 @@ def read_records(spark: SparkSession, path: str | list[str], schema: T.StructTyp
     lines and the brackets of an array are left out, and so is a comma that ends a line.
     """
     line = F.regexp_replace(F.trim("value"), r",\s*$", "")
-    lines = spark.read.text(path).select(line.alias("_line")).filter(~F.col("_line").isin("", "[", "]", "[]"))
+    lines = compile_wide_rows(spark).read.text(path).select(line.alias("_line")).filter(~F.col("_line").isin("", "[", "]", "[]"))
     parsed = lines.withColumn(RECORD, F.when(F.col("_line").startswith("{"), F.try_parse_json("_line")))
     return parsed.select(
         *[F.try_variant_get(RECORD, f"$.{f.name}", f.dataType.simpleString()).alias(f.name) for f in schema or feed_schema()],
