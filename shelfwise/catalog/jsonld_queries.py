@@ -122,4 +122,6 @@ def jsonld_breadcrumb_rows(spark, d):
     """Names zipped with links and unfolded to one row per crumb."""
     html = rendered._script(rendered.crumb_json("https://shop.example.com"))
     staged = _nodes(spark, d, html).withColumn("c", L.crumbs(F.col("nodes")))
-    return staged.select("p_partkey", F.posexplode("c").alias("pos", "x")).select("p_partkey", "pos", "x.name")
+    # The outer form, as the plain one filters on the crumbs first and so reads every page twice.
+    unfolded = staged.select("p_partkey", F.posexplode_outer("c").alias("pos", "x")).where("pos is not null")
+    return unfolded.select("p_partkey", "pos", "x.name")
