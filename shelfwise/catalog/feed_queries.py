@@ -17,6 +17,8 @@ from shelfwise.sources.schema import empty, feed_schema
 
 EVENT_FEED = (
     T.StructType().add("type", "string").add("event_id", "long").add("user_id", "long").add("props", "string"))
+# One task writes a file, many read it.
+RECORDS_A_FILE = 2_000_000
 
 
 def _records(spark, d):
@@ -75,24 +77,27 @@ def feed_array_detect(spark, d):
     UNION ALL SELECT layout, 'bad', count(*), NULL, NULL
     FROM events, (SELECT unnest(['array of lines', 'pretty', 'lines']) AS layout) WHERE event_id % 50 = 7 GROUP BY 1""")
 def feed_array_layouts(spark, d):
-    """Four files, one of each layout; all but the one on a single line hold broken records too."""
+    """A feed in each of four layouts; all but the one on a single line hold broken records too."""
     r = _records(spark, d)
     json = _json(r)
     broken = (F.col("event_id") % 50 == 7) & (F.col("layout") != "one line")
     pretty = F.regexp_replace(F.regexp_replace(json, r'^\{(?=")', '  {\n    '), r"\}$", "\n  }")
     body = F.when(F.col("layout") == "pretty", pretty).otherwise(json)
     cut = F.when(broken, F.substring_index(body, '"props"', 1)).otherwise(body)
+    begins = file_begins(r, "event_id", RECORDS_A_FILE)
+    number = F.size(F.filter(F.array(*map(F.lit, begins)).cast("array<bigint>"), lambda b: b <= F.col("event_id")))
     parts = []
     for name in ("one line", "array of lines", "pretty", "lines"):
-        here = r.withColumn("layout", F.lit(name)).where((F.col("event_id") % 50 != 7) | (F.col("layout") != "one line"))
-        low, high = here.agg(F.min("event_id"), F.max("event_id")).first()
-        first, last = F.col("event_id") == low, F.col("event_id") == high
+        here = r.withColumns({"layout": F.lit(name), "number": number}).where((F.col("event_id") % 50 != 7) | (F.col("layout") != "one line"))
+        ends = here.groupBy("number").agg(F.min("event_id").alias("low"), F.max("event_id").alias("high"))
+        first, last = F.col("event_id") == F.col("low"), F.col("event_id") == F.col("high")
         before, after = {
             "one line": (F.when(first, "[").otherwise(""), F.when(last, "]").otherwise(",")), "lines": (F.lit(""), F.lit("")),
         }.get(name, (F.when(first, "[\n").otherwise(""), F.when(last, "\n]").otherwise(",")))
         path = scratch_path(spark, "layout")
-        (here.select("event_id", F.concat(before, cut, after).alias("value")).repartition(1).sortWithinPartitions("event_id").select("value")
-         .write.option("lineSep", " " if name == "one line" else "\n").text(path))
+        (here.join(F.broadcast(ends), "number").select("number", "event_id", F.concat(before, cut, after).alias("value"))
+         .repartitionByRange(len(begins) + 1, "number").sortWithinPartitions("number", "event_id").select("number", "value")
+         .write.partitionBy("number").option("lineSep", " " if name == "one line" else "\n").text(path))
         feed = materialise(feeds.read_feed(spark, path, EVENT_FEED, layout="any"), "layout-feed")
         good = feeds.good(feed).groupBy("type").agg(
             F.count("*").alias("n"), F.sum("event_id").alias("ids"), F.sum(F.length("props")).cast("long").alias("props_length"))
@@ -102,6 +107,14 @@ def feed_array_layouts(spark, d):
     return reduce(DataFrame.unionByName, parts)
 
 
+def file_begins(records: DataFrame, key: str, most: int) -> list[int]:
+    """Keys at which a new file begins, so that files of consecutive records hold about `most`; none if one file holds all."""
+    files = -(-records.count() // most)
+    if files < 2:
+        return []
+    return sorted(set(records.agg(F.percentile_approx(key, [i / files for i in range(1, files)])).first()[0]))
+
+
 @query("feed_route", """
     SELECT event_type AS target, event_id, (props->>'$.k')::BIGINT AS k FROM events
     WHERE event_type IN ('purchase', 'view', 'click', 'signup', 'error')""")

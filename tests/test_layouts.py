@@ -78,3 +78,37 @@ def test_records_keep_which_keys_were_there(spark, tmp_path):
         "brand", "current_price", feeds.stated("current_price", "currency").alias("s"), "_bad_line")
     assert sorted(map(str, (tuple(r) for r in rows.collect()))) == sorted(map(str, [
         ("x", None, True, None), (None, None, True, None), (None, None, False, None), (None, None, False, '{"type":'), (None, None, False, "7")]))
+
+
+def test_a_feed_of_several_files(spark, tmp_path, monkeypatch):
+    """Files hold a bounded number of records, each an array of its own, so no task writes a whole feed."""
+    from shelfwise.catalog import feed_queries
+
+    rows_ = [(i, i % 7, ["view", "buy"][i % 2], '{"k": %d}' % i) for i in range(200)]
+    spark.createDataFrame(rows_, "event_id LONG, user_id LONG, event_type STRING, props STRING").write.parquet(str(tmp_path / "events.parquet"))
+    written_ = iter(range(4))
+    monkeypatch.setattr(feed_queries, "RECORDS_A_FILE", 60)
+    monkeypatch.setattr(feed_queries, "scratch_path", lambda spark, name: str(tmp_path / f"{name}-{next(written_)}"))
+    got = {(r.layout, r.type): (r.n, r.ids, r.props_length) for r in feed_queries.feed_array_layouts(spark, str(tmp_path)).collect()}
+    good = [r for r in rows_ if r[0] % 50 != 7]
+    for layout in ("one line", "array of lines", "pretty", "lines"):
+        for type_ in ("view", "buy"):
+            mine = [r for r in good if r[2] == type_]
+            assert got.pop((layout, type_)) == (len(mine), sum(r[0] for r in mine), sum(len(r[3]) for r in mine))
+    assert got == {(layout, "bad"): (4, None, None) for layout in ("array of lines", "pretty", "lines")}
+    files = [[p.read_text() for p in (tmp_path / f"layout-{i}").rglob("part-*.txt")] for i in range(4)]
+    assert list(map(len, files)) == [4, 4, 4, 4]
+    assert [r["event_id"] for t in sorted(files[0], key=lambda t: json.loads(t)[0]["event_id"]) for r in json.loads(t)] == [r[0] for r in good]
+
+
+def test_only_the_edges_of_ranges_are_joined(tmp_path):
+    """Whole records leave the task that reads their range; what is cut by ranges has a place to be joined by."""
+    def batch(texts, block, **more):
+        n = len(texts)
+        return layouts.pa.RecordBatch.from_pydict({"value": texts, "file": ["f"] * n, "block": [block] * n} | {k: [v] * n for k, v in more.items()})
+
+    known = {"least": None, "odd": 0, "open": 0, "unfinished": False}
+    got = [r for b in layouts._records([batch(['[{"a":"}', '\\\\"}', ',{"a":{}'], 0, **known), batch(["}", ',{"b":{}'], 0, **known)]) for r in b.to_pylist()]
+    assert [(r["block"], r["part"], r["text"]) for r in got] == [(0, 0, '\n[{"a":"}\\\\"}'), (None, None, ',{"a":{}}'), (0, 1, ',{"b":{}')]
+    report = [r for b in layouts._reports([batch(['[{"a":"}', '\\\\"}', ',{"b":{}'], 0, length=9, size=9, least=None)]) for r in b.to_pylist()]
+    assert [(r["odd0"], r["moves0"], r["anew"], r["bytes"]) for r in report] == [(0, 1, False, 20)]
