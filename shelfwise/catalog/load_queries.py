@@ -188,7 +188,10 @@ def not_null_violations(spark, d):
       ('foreign productmatch.listing_id'), ('foreign review.listing_id')) t(c)""")
 def model_constraints(spark, d):
     """Every constraint holds on the tables normalised from the wide records."""
-    parts = {n: materialise(t, n) for n, t in normalise.split(reskin.wide_records(spark, d)).items()}
+    found = normalise.split(reskin.wide_records(spark, d))
+    parts = {n: materialise(t, n) for n, t in found.items() if n != "productmatch"}
+    # From the stored listings: they are not looked for again.
+    parts["productmatch"] = materialise(normalise.matches(parts["productlisting"]), "productmatch")
     tables = {
         "product": parts["product"].withColumn("product_id", F.col("product_key")),
         "productlisting": parts["productlisting"].withColumn("listing_id", F.col("listing_key")).drop("competitor_id"),

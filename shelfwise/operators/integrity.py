@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfwise.sources.schema import FOREIGN_KEYS, UNIQUE_KEYS, table_schema
 
@@ -62,18 +63,25 @@ def report(tables: dict[str, DataFrame]) -> DataFrame:
     Each table gives, from one scan, a row for each key it owns or refers to: which key column, the value, and
     whether as owner or by which reference. Summed per value, in the map tasks first, a value says
     for itself whether it is owned twice, or referred to and not owned. An empty key violates nothing.
+    Values are compared as whole numbers where all key columns are, else as texts.
     """
     unique = [(name, key) for name, key in UNIQUE_KEYS.items() if name in tables]
     foreign = [f for f in FOREIGN_KEYS if f[0] in tables and f[2] in tables]
     owned = list(dict.fromkeys(unique + [(parent, column) for _, _, parent, column in foreign]))
-    parts = []
-    for name, df in tables.items():
+    used = {}
+    for name in tables:
         uses = [(owned.index((name, c)), -1, c) for n, c in owned if n == name]
         uses += [(owned.index((parent, column)), i, c) for i, (child, c, parent, column) in enumerate(foreign) if child == name]
         if uses:
-            rows = F.explode(F.array(*[F.struct(
-                F.lit(at).alias("owned"), F.lit(kind).alias("kind"), F.col(c).cast("string").alias("value")) for at, kind, c in uses]))
-            parts.append(df.select(rows.alias("u")).select("u.*"))
+            used[name] = uses
+    whole = all(isinstance(tables[name].schema[c].dataType, T.IntegralType) for name, uses in used.items() for _, _, c in uses)
+    parts = []
+    for name, uses in used.items():
+        rows = [[F.lit(at).alias("owned"), F.lit(kind).alias("kind"), F.col(c).cast("long" if whole else "string").alias("value")] for at, kind, c in uses]
+        if len(rows) == 1:
+            parts.append(tables[name].select(*rows[0]))
+        else:
+            parts.append(tables[name].select(F.explode(F.array(*[F.struct(*r) for r in rows])).alias("u")).select("u.*"))
     values = reduce(DataFrame.unionByName, parts).where("value is not null").groupBy("owned", "value").agg(
         F.count_if(F.col("kind") == -1).alias("owners"), *[F.count_if(F.col("kind") == i).alias(f"n{i}") for i in range(len(foreign))])
     found = [F.count_if((F.col("owned") == owned.index((name, key))) & (F.col("owners") > 1)).alias(f"unique {name}.{key}") for name, key in unique]

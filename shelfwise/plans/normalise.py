@@ -40,18 +40,22 @@ def split(records: DataFrame) -> dict[str, DataFrame]:
     review = r.filter(F.col("rating_value").isNotNull() | F.col("review_count").isNotNull()).select(
         snapshot_key.alias("review_id"), F.col("listing_key").alias("listing_id"),
         F.col("scraped_at").alias("created_at"), "rating_value", F.lit(5).alias("rating_scale"), "review_count")
-    match = listing.select(
-        F.col("listing_key").alias("product_id"), F.col("listing_key").alias("listing_id"),
-        F.lit("auto").alias("match_method"), F.lit(1.0).cast("decimal(3,2)").alias("match_score"))
     return {
         "product": product.drop(*FEED_ORDER),
         "productlisting": listing.drop("run_no", "line_no", "product_no"),
         "pricesnapshot": snapshot,
         "review": review,
-        "productmatch": match,
+        "productmatch": matches(listing),
     }
 
 
+def matches(listing: DataFrame) -> DataFrame:
+    """Each listing with the product of its url."""
+    return listing.select(
+        F.col("listing_key").alias("product_id"), F.col("listing_key").alias("listing_id"),
+        F.lit("auto").alias("match_method"), F.lit(1.0).cast("decimal(3,2)").alias("match_score"))
+
+
 PRICE_FIELDS = [
     "current_price", "base_price", "discount_amount", "discount_percent", "currency", "price_text", "in_stock", "stock_status_text"]
 
