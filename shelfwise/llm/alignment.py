@@ -31,6 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.llm.common import BYTES_SETTING
 from shelfwise.llm.encoding import Encoder, byte_letters
 from shelfwise.session import materialise
 
@@ -38,6 +39,8 @@ from shelfwise.session import materialise
 BLOCK = 500_000
 # Pre-tokens whose ids a worker keeps.
 MOST_PIECES = 150_000
+# Of block rows handed to Python at once.
+BATCH_BYTES = "4m"
 # A pair in one number: first id above, second below.
 HALF = 32
 SPACE = "▁"
@@ -204,13 +207,14 @@ def pair_counts(blocks: DataFrame) -> DataFrame:
 
 def compare(docs: DataFrame, byte_path: str, piece_path: str, block: int = BLOCK) -> DataFrame:
     """documents -> doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256."""
+    docs.sparkSession.conf.set(BYTES_SETTING, BATCH_BYTES)
     blocks = materialise(
-        docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(align_blocks(byte_path, piece_path, block), BLOCKS_DDL), "align-blocks")
+        docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(align_blocks(byte_path, piece_path, block), BLOCKS_DDL), "align-blocks", wide=True)
     wanted = blocks.select("block", F.explode("pairs").alias("pair"))
     # A block gets back as many rows as it has different pairs.
     told = wanted.join(pair_counts(blocks), "pair").groupBy("block").agg(F.collect_list(F.struct("pair", "total", "best")).alias("told"))
     told = materialise(told.select(
-        "block", F.col("told.pair").alias("found"), F.col("told.total").alias("total"), F.col("told.best").alias("best")), "align-told")
+        "block", F.col("told.pair").alias("found"), F.col("told.total").alias("total"), F.col("told.best").alias("best")), "align-told", wide=True)
     none = F.array().cast("array<long>")
     joined = blocks.join(told, "block", "left").select(
         "block", "doc_id", "n_a", "n_b", "n_groups", "groups_sha256", "links", *[F.coalesce(n, none).alias(n) for n in ("found", "total", "best")])
